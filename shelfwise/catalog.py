@@ -3,7 +3,7 @@ DataFrame`` and, where SQL can express it, the DuckDB twin.
 
 Float sums differ in their last bits between engines (and between Spark
 partitionings), so both sides snap the declared double columns to a binary
-grid of ``bits`` significant bits as their final step (see
+grid of ``digits`` significant bits as their final step (see
 ``functions.columns.grid_round``). Everything before that step is the
 library's own output.
 """

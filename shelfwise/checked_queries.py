@@ -134,3 +134,216 @@ MASTER_COLS = (JOIN_COLS + ", COGS, Gross_Profit, Profit_Margin_Pct, Avg_Revenue
 def master(spark, sf_dir):
     """Stage 1 output: the 42-column master table."""
     return _master(spark, sf_dir)
+
+
+# ------------------------------------------------------------- quality
+from .operators import quality, report, summaries  # noqa: E402
+from .ml import prep  # noqa: E402
+from .oracle import model_sql, np_round_sql  # noqa: E402
+from .schema import (FEATURE_COLS, MSG_BELOW_COMPETITOR, MSG_HIGH_DISCOUNT,  # noqa: E402
+                     MSG_LOW_FULFILMENT, MSG_LOW_ONLINE, MSG_MARGIN_GAP, MSG_ON_TRACK,
+                     MSG_OVERSTOCK, MSG_UNDERSTOCK, TARGET_COLS)
+
+_DESCRIBE = [("count", "CAST(count(x) AS DOUBLE)"), ("mean", "avg(x)"), ("std", "stddev_samp(x)"),
+             ("min", "min(x)"), ("25%", "quantile_cont(x, 0.25)"), ("50%", "quantile_cont(x, 0.5)"),
+             ("75%", "quantile_cont(x, 0.75)"), ("max", "max(x)")]
+
+
+@register("margin_describe", master_sql(" UNION ALL ".join(
+    f"SELECT '{n}' AS statistic, {np_round_sql(e.replace('(x', '(Net_Profit_Margin'), 2)} AS value, "
+    f"CAST({i + 1} AS BIGINT) AS position FROM master" for i, (n, e) in enumerate(_DESCRIBE))),
+    ("value",))
+def margin_describe(spark, sf_dir):
+    """Summary statistics of the master net margin (2 dp)."""
+    return quality.describe_column(_master(spark, sf_dir), "Net_Profit_Margin")
+
+
+@register("null_counts", master_sql(
+    "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS nulls FROM master"
+        for c in MASTER_COLS.split(", ")) + ") WHERE nulls > 0"))
+def null_counts(spark, sf_dir):
+    """NULL count per master column (columns with NULLs only)."""
+    return quality.null_counts(_master(spark, sf_dir))
+
+
+@register("input_profile", with_ctes(RAW_CTES, ROLLUP_CTES, select="""
+SELECT s.sales_rows, i.inventory_rows, s.sales_categories, i.inventory_categories,
+       s.sales_regions, i.inventory_regions
+FROM (SELECT count(*) AS sales_rows,
+             string_agg(DISTINCT Product_Category, ',' ORDER BY Product_Category) AS sales_categories,
+             string_agg(DISTINCT Region, ',' ORDER BY Region) AS sales_regions FROM sales) s,
+     (SELECT count(*) AS inventory_rows,
+             string_agg(DISTINCT Category, ',' ORDER BY Category) AS inventory_categories,
+             string_agg(DISTINCT Region, ',' ORDER BY Region) AS inventory_regions
+      FROM (SELECT * REPLACE (CASE WHEN Category = 'Groceries' THEN 'STANDARD' ELSE Category END
+                              AS Category) FROM inventory)) i"""))
+def input_profile(spark, sf_dir):
+    """Shapes and sorted distinct categories / regions of both inputs."""
+    raw = master_plan.raw_from_tables(spark, sf_dir)
+    s = quality.input_profile(raw.sales, "Product_Category", "Region").select(
+        F.col("rows").alias("sales_rows"),
+        F.col("Product_Category_values").alias("sales_categories"),
+        F.col("Region_values").alias("sales_regions"))
+    i = quality.input_profile(rollups.remap_category(raw.inventory, raw.category_map),
+                              "Category", "Region").select(
+        F.col("rows").alias("inventory_rows"),
+        F.col("Category_values").alias("inventory_categories"),
+        F.col("Region_values").alias("inventory_regions"))
+    return s.crossJoin(i)
+
+
+# ------------------------------------------------------- modelling frame
+ENC_COLS = ("Region_enc", "Category_enc", "Weather_Mode_enc", "Seasonality_enc")
+
+
+def _model_frame(spark, sf_dir):
+    return prep.model_frame(_master(spark, sf_dir))
+
+
+@register("model_frame", model_sql(f"SELECT {MASTER_COLS}, {', '.join(ENC_COLS)} FROM mf"),
+          MASTER_DOUBLES + ENC_COLS)
+def model_frame(spark, sf_dir):
+    """Encoded master rows with every feature and target present."""
+    return _model_frame(spark, sf_dir)
+
+
+@register("label_codes", model_sql(" UNION ALL ".join(
+    f"SELECT DISTINCT '{c}' AS \"column\", coalesce({c}, 'nan') AS value, "
+    f"CAST({c}_enc AS BIGINT) AS code FROM enc"
+    for c in ("Region", "Category", "Weather_Mode", "Seasonality"))))
+def label_codes(spark, sf_dir):
+    """sorted-label codes fitted on the whole master table."""
+    return prep.label_codes(_master(spark, sf_dir))
+
+
+@register("split_assign", model_sql("SELECT Month, Region, Category, is_test FROM mf_split"))
+def split_assign(spark, sf_dir):
+    """M1: hash-based ~20 % test flag per modelling row."""
+    return prep.with_split(_model_frame(spark, sf_dir)).select(*KEY, "is_test")
+
+
+@register("fold_assign", model_sql(
+    "SELECT Month, Region, Category, "
+    "CAST(ntile(5) OVER (ORDER BY Region, Category, Month) - 1 AS BIGINT) AS fold FROM mf"))
+def fold_assign(spark, sf_dir):
+    """Contiguous 5-fold number in (Region, Category, Month) order."""
+    return (prep.with_folds(_model_frame(spark, sf_dir), 5)
+            .select(*KEY, F.col("fold").cast("bigint").alias("fold")))
+
+
+@register("train_median_threshold", model_sql("SELECT Profit_Threshold FROM thr"),
+          ("Profit_Threshold",))
+def train_median_threshold(spark, sf_dir):
+    """Median net margin of the training rows."""
+    return prep.train_threshold(prep.with_split(_model_frame(spark, sf_dir)))
+
+
+@register("class_label", model_sql(
+    "SELECT Month, Region, Category, Net_Profit_Margin, is_test, "
+    "CAST(Net_Profit_Margin >= Profit_Threshold AS DOUBLE) AS label_cls FROM mf_split, thr"),
+    ("Net_Profit_Margin",))
+def class_label(spark, sf_dir):
+    """high/low profit label against the training median."""
+    df = prep.with_class_label(prep.with_split(_model_frame(spark, sf_dir)))
+    return df.select(*KEY, "Net_Profit_Margin", "is_test", "label_cls")
+
+
+# ------------------------------------------------------------ summaries
+@register("yearly_summary", model_sql("""
+SELECT Year, Region, Category,
+       coalesce(sum(Total_Sales_Amount), 0) AS Yearly_Sales,
+       coalesce(sum(Net_Profit), 0) AS Yearly_Profit,
+       CAST(coalesce(sum(Total_Qty_Sold), 0) AS BIGINT) AS Yearly_Qty,
+       avg(Net_Profit_Margin) AS Avg_Margin_Pct,
+       coalesce(sum(Transport_Cost_Est), 0) AS Total_Transport,
+       CAST(coalesce(sum(Retail_Txn), 0) AS BIGINT) AS Spot_Txn,
+       CAST(coalesce(sum(Online_Txn), 0) AS BIGINT) AS Online_Txn_Count
+FROM mf GROUP BY Year, Region, Category"""),
+    ("Yearly_Sales", "Yearly_Profit", "Avg_Margin_Pct", "Total_Transport"))
+def yearly_summary(spark, sf_dir):
+    """A4: yearly actuals per segment."""
+    return summaries.yearly_summary(_model_frame(spark, sf_dir))
+
+
+@register("monthly_summary_actuals", model_sql("""
+SELECT Year, MonthNum, Region, Category,
+       coalesce(sum(Total_Sales_Amount), 0) AS Monthly_Sales,
+       coalesce(sum(Net_Profit), 0) AS Monthly_Profit,
+       CAST(coalesce(sum(Total_Qty_Sold), 0) AS BIGINT) AS Monthly_Qty,
+       avg(Net_Profit_Margin) AS Avg_Margin_Pct,
+       CAST(coalesce(sum(Retail_Txn), 0) AS BIGINT) AS Spot_Txn,
+       CAST(coalesce(sum(Online_Txn), 0) AS BIGINT) AS Online_Txn_Count,
+       coalesce(sum(Transport_Cost_Est), 0) AS Transport_Cost
+FROM mf GROUP BY Year, MonthNum, Region, Category"""),
+    ("Monthly_Sales", "Monthly_Profit", "Avg_Margin_Pct", "Transport_Cost"))
+def monthly_summary_actuals(spark, sf_dir):
+    """A3 (actual measures): monthly per segment."""
+    return summaries.monthly_summary(_model_frame(spark, sf_dir), with_predictions=False)
+
+
+# --------------------------------------------------------------- report
+@register("margin_quantile", model_sql(
+    "SELECT quantile_cont(Net_Profit_Margin, 0.75) AS Top_Quartile_Margin FROM mf"),
+    ("Top_Quartile_Margin",))
+def margin_quantile(spark, sf_dir):
+    """75th percentile of the modelling-frame net margin."""
+    return report.margin_quantile(_model_frame(spark, sf_dir))
+
+
+METRIC_COLS = ("Avg_Margin_Pct", "Margin_Gap_vs_Top_Quartile", "Avg_Discount_Pct",
+               "Avg_Price_vs_Competitor", "Avg_Inventory_Coverage_Days", "Spot_Sales_Ratio_Avg",
+               "Online_Sales_Ratio_Avg", "Fulfillment_Rate_Avg")
+_METRICS_SELECT = f"""
+SELECT Region, Category,
+  {np_round_sql('m', 2)} AS Avg_Margin_Pct,
+  {np_round_sql('greatest(q75 - m, CAST(0.0 AS DOUBLE))', 2)} AS Margin_Gap_vs_Top_Quartile,
+  {np_round_sql('d * 100', 2)} AS Avg_Discount_Pct,
+  {np_round_sql('pg', 2)} AS Avg_Price_vs_Competitor,
+  {np_round_sql('cov', 1)} AS Avg_Inventory_Coverage_Days,
+  {np_round_sql('sp * 100', 2)} AS Spot_Sales_Ratio_Avg,
+  {np_round_sql('onl * 100', 2)} AS Online_Sales_Ratio_Avg,
+  {np_round_sql('ful * 100', 2)} AS Fulfillment_Rate_Avg
+FROM (SELECT Region, Category, avg(Net_Profit_Margin) AS m, avg(Avg_Discount_Sales) AS d,
+             avg(Price_vs_Competitor) AS pg, avg(Inventory_Coverage) AS cov,
+             avg(Spot_Sales_Ratio) AS sp, avg(Online_Sales_Ratio) AS onl,
+             avg(Fulfillment_Rate) AS ful
+      FROM mf GROUP BY Region, Category),
+     (SELECT quantile_cont(Net_Profit_Margin, 0.75) AS q75 FROM mf)"""
+
+
+@register("improvement_metrics", model_sql(_METRICS_SELECT), METRIC_COLS)
+def improvement_metrics(spark, sf_dir):
+    """Rounded segment metrics and the margin gap."""
+    return report.improvement_metrics(_model_frame(spark, sf_dir))
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_RULES = [
+    ("Margin_Gap_vs_Top_Quartile > 5.0", "MARGIN_GAP",
+     _lit(MSG_MARGIN_GAP.split("{gap}")[0]) + " || printf('%.1f', Margin_Gap_vs_Top_Quartile) || "
+     + _lit(MSG_MARGIN_GAP.split("{gap}")[1])),
+    ("Avg_Discount_Pct > 20.0", "HIGH_DISCOUNT",
+     _lit(MSG_HIGH_DISCOUNT.split("{discount}")[0]) + " || printf('%.1f', Avg_Discount_Pct) || "
+     + _lit(MSG_HIGH_DISCOUNT.split("{discount}")[1])),
+    ("Avg_Price_vs_Competitor < -5.0", "BELOW_COMPETITOR", _lit(MSG_BELOW_COMPETITOR)),
+    ("Avg_Inventory_Coverage_Days > 60.0", "OVERSTOCK", _lit(MSG_OVERSTOCK)),
+    ("Avg_Inventory_Coverage_Days < 10.0", "UNDERSTOCK", _lit(MSG_UNDERSTOCK)),
+    ("Fulfillment_Rate_Avg < 70.0", "LOW_FULFILMENT", _lit(MSG_LOW_FULFILMENT)),
+    ("Online_Sales_Ratio_Avg < 20.0", "LOW_ONLINE", _lit(MSG_LOW_ONLINE)),
+]
+_CODES = "concat_ws(',', " + ", ".join(f"CASE WHEN {c} THEN '{k}' END" for c, k, _ in _RULES) + ")"
+_TEXTS = "concat_ws(' | ', " + ", ".join(f"CASE WHEN {c} THEN {m} END" for c, _, m in _RULES) + ")"
+RULES_SQL = model_sql(f"""
+SELECT *, CASE WHEN {_CODES} = '' THEN 'ON_TRACK' ELSE {_CODES} END AS Rule_Codes,
+          CASE WHEN {_TEXTS} = '' THEN {_lit(MSG_ON_TRACK)} ELSE {_TEXTS} END AS Recommendations
+FROM ({_METRICS_SELECT}) metrics""")
+
+
+@register("improvement_rules", RULES_SQL, METRIC_COLS)
+def improvement_rules(spark, sf_dir):
+    """The improvement report with rule codes and text."""
+    return report.improvement_report(_model_frame(spark, sf_dir))

@@ -107,6 +107,19 @@ def py_round_sql(expr: str, digits: int) -> str:
     return f"(CASE WHEN {x} < 0 THEN -abs({value}) ELSE {value} END)"
 
 
+def np_round(c: Column | str, digits: int) -> Column:
+    """numpy's ``round``: rint(x·10^d) / 10^d (what pandas ``.round`` and
+    ``round()`` of a numpy float compute; ties of the scaled binary value go
+    to even)."""
+    scale = F.lit(float(10 ** digits))
+    return F.rint(col_(c) * scale) / scale
+
+
+def np_round_sql(expr: str, digits: int) -> str:
+    scale = f"{float(10 ** digits)!r}"
+    return f"(round_even(({expr}) * {scale}, 0) / {scale})"
+
+
 def py_format(c: Column | str, digits: int, thousands: bool = False) -> Column:
     """``f"{x:.{d}f}"`` (``f"{x:,.{d}f}"`` with ``thousands``)."""
     pattern = f"%{',' if thousands else ''}.{digits}f"
@@ -127,7 +140,10 @@ def py_format_sql(expr: str, digits: int, thousands: bool = False) -> str:
 # exact means sit on decimal ties and a 1-ulp difference flips the digit.
 # ``grid_round`` keeps ``bits`` significant bits instead: scaling by a power
 # of two, adding 0.5 and flooring are exact operations, so both engines give
-# bit-identical output, and a decimal tie is never a binary grid boundary.
+# bit-identical output. Grid boundaries are odd multiples of 2^(e-bits); a
+# value with d decimals can only sit on one when e >= bits - d, so with 32
+# bits 4-dp money is safe below 2^28 (single precision, 24 bits, is not:
+# 1204208.6875 is a float midpoint).
 # --------------------------------------------------------------------------
 def grid_round(c: Column | str, bits: int = 32) -> Column:
     x = col_(c)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import np_round
+
 
 def join_null_check(joined: DataFrame, probe: str = "Inventory_Level") -> DataFrame:
     """Rows of the master join and how many found no inventory."""
@@ -30,7 +32,7 @@ def describe_column(df: DataFrame, column: str, digits: int = 2) -> DataFrame:
     names = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
     long = stats.unpivot([], [F.col(f"`{n}`") for n in names], "statistic", "value")
     order = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("statistic"))
-    return long.select("statistic", F.bround("value", digits).alias("value"),
+    return long.select("statistic", np_round("value", digits).alias("value"),
                        order.cast("bigint").alias("position"))
 
 

@@ -6,7 +6,7 @@ raw-input mapping and the stage formulas independently of the Spark code.
 
 from __future__ import annotations
 
-from .functions.columns import py_format_sql, py_round_sql
+from .functions.columns import np_round_sql, py_format_sql, py_round_sql
 
 RAW_CTES = """
 geo AS (
@@ -161,4 +161,31 @@ def master_sql(select: str) -> str:
 
 
 __all__ = ["RAW_CTES", "ROLLUP_CTES", "MASTER_CTES", "with_ctes", "master_sql",
-           "py_round_sql", "py_format_sql"]
+           "py_round_sql", "py_format_sql", "np_round_sql", "model_sql"]
+
+
+MODEL_CTES = """
+enc AS (
+  SELECT *,
+    CAST(dense_rank() OVER (ORDER BY coalesce(Region, 'nan')) - 1 AS DOUBLE) AS Region_enc,
+    CAST(dense_rank() OVER (ORDER BY coalesce(Category, 'nan')) - 1 AS DOUBLE) AS Category_enc,
+    CAST(dense_rank() OVER (ORDER BY coalesce(Weather_Mode, 'nan')) - 1 AS DOUBLE)
+      AS Weather_Mode_enc,
+    CAST(dense_rank() OVER (ORDER BY coalesce(Seasonality, 'nan')) - 1 AS DOUBLE)
+      AS Seasonality_enc
+  FROM master),
+mf AS (
+  SELECT * FROM enc WHERE {not_null}),
+mf_split AS (
+  SELECT *, (CAST(('0x' || substr(md5(Region || '|' || Category || '|' || CAST(Month AS VARCHAR)),
+                                  1, 8)) AS BIGINT) % 100) < 20 AS is_test
+  FROM mf),
+thr AS (
+  SELECT median(Net_Profit_Margin) AS Profit_Threshold FROM mf_split WHERE NOT is_test)"""
+
+
+def model_sql(select: str) -> str:
+    from .schema import FEATURE_COLS, TARGET_COLS
+    not_null = " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_COLS + TARGET_COLS)
+    return with_ctes(RAW_CTES, ROLLUP_CTES, MASTER_CTES, MODEL_CTES.replace("{not_null}", not_null),
+                     select=select)
