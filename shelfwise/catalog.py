@@ -56,10 +56,12 @@ def spark_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def oracle_query(name: str) -> str | None:
+    from .oracle import expand_aggregates
     entry = REGISTRY[name]
     if entry.sql is None:
         return None
+    sql = expand_aggregates(entry.sql)
     if not entry.doubles:
-        return entry.sql
+        return sql
     repl = ", ".join(f"{grid_round_sql(c, entry.digits)} AS {c}" for c in entry.doubles)
-    return f"SELECT * REPLACE ({repl}) FROM (\n{entry.sql}\n) AS q"
+    return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS q"

@@ -252,11 +252,11 @@ def class_label(spark, sf_dir):
 # ------------------------------------------------------------ summaries
 @register("yearly_summary", model_sql("""
 SELECT Year, Region, Category,
-       coalesce(sum(Total_Sales_Amount), 0) AS Yearly_Sales,
-       coalesce(sum(Net_Profit), 0) AS Yearly_Profit,
+       @dsum0(Total_Sales_Amount) AS Yearly_Sales,
+       @dsum0(Net_Profit) AS Yearly_Profit,
        CAST(coalesce(sum(Total_Qty_Sold), 0) AS BIGINT) AS Yearly_Qty,
-       avg(Net_Profit_Margin) AS Avg_Margin_Pct,
-       coalesce(sum(Transport_Cost_Est), 0) AS Total_Transport,
+       @davg(Net_Profit_Margin) AS Avg_Margin_Pct,
+       @dsum0(Transport_Cost_Est) AS Total_Transport,
        CAST(coalesce(sum(Retail_Txn), 0) AS BIGINT) AS Spot_Txn,
        CAST(coalesce(sum(Online_Txn), 0) AS BIGINT) AS Online_Txn_Count
 FROM mf GROUP BY Year, Region, Category"""),
@@ -268,13 +268,13 @@ def yearly_summary(spark, sf_dir):
 
 @register("monthly_summary_actuals", model_sql("""
 SELECT Year, MonthNum, Region, Category,
-       coalesce(sum(Total_Sales_Amount), 0) AS Monthly_Sales,
-       coalesce(sum(Net_Profit), 0) AS Monthly_Profit,
+       @dsum0(Total_Sales_Amount) AS Monthly_Sales,
+       @dsum0(Net_Profit) AS Monthly_Profit,
        CAST(coalesce(sum(Total_Qty_Sold), 0) AS BIGINT) AS Monthly_Qty,
-       avg(Net_Profit_Margin) AS Avg_Margin_Pct,
+       @davg(Net_Profit_Margin) AS Avg_Margin_Pct,
        CAST(coalesce(sum(Retail_Txn), 0) AS BIGINT) AS Spot_Txn,
        CAST(coalesce(sum(Online_Txn), 0) AS BIGINT) AS Online_Txn_Count,
-       coalesce(sum(Transport_Cost_Est), 0) AS Transport_Cost
+       @dsum0(Transport_Cost_Est) AS Transport_Cost
 FROM mf GROUP BY Year, MonthNum, Region, Category"""),
     ("Monthly_Sales", "Monthly_Profit", "Avg_Margin_Pct", "Transport_Cost"))
 def monthly_summary_actuals(spark, sf_dir):
@@ -304,10 +304,10 @@ SELECT Region, Category,
   {np_round_sql('sp * 100', 2)} AS Spot_Sales_Ratio_Avg,
   {np_round_sql('onl * 100', 2)} AS Online_Sales_Ratio_Avg,
   {np_round_sql('ful * 100', 2)} AS Fulfillment_Rate_Avg
-FROM (SELECT Region, Category, avg(Net_Profit_Margin) AS m, avg(Avg_Discount_Sales) AS d,
-             avg(Price_vs_Competitor) AS pg, avg(Inventory_Coverage) AS cov,
-             avg(Spot_Sales_Ratio) AS sp, avg(Online_Sales_Ratio) AS onl,
-             avg(Fulfillment_Rate) AS ful
+FROM (SELECT Region, Category, @davg(Net_Profit_Margin) AS m, @davg(Avg_Discount_Sales) AS d,
+             @davg(Price_vs_Competitor) AS pg, @davg(Inventory_Coverage) AS cov,
+             @davg(Spot_Sales_Ratio) AS sp, @davg(Online_Sales_Ratio) AS onl,
+             @davg(Fulfillment_Rate) AS ful
       FROM mf GROUP BY Region, Category),
      (SELECT quantile_cont(Net_Profit_Margin, 0.75) AS q75 FROM mf)"""
 

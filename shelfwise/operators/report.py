@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import np_round, py_format
+from ..functions.columns import davg, np_round, py_format
 from ..schema import (MSG_BELOW_COMPETITOR, MSG_HIGH_DISCOUNT, MSG_LOW_FULFILMENT,
                       MSG_LOW_ONLINE, MSG_MARGIN_GAP, MSG_ON_TRACK, MSG_OVERSTOCK,
                       MSG_UNDERSTOCK, RECOMMENDATION_SEPARATOR, SEGMENT, Thresholds)
@@ -29,13 +29,13 @@ def improvement_metrics(frame: DataFrame, thresholds: Thresholds = Thresholds())
     """A5 + F24: segment means (×100 for shares), rounded like numpy's
     ``round`` (the reference rounds numpy floats), and the gap to the top-quartile margin floored at 0."""
     per_seg = frame.groupBy(*SEGMENT).agg(
-        F.avg("Net_Profit_Margin").alias("_margin"),
-        F.avg("Avg_Discount_Sales").alias("_discount"),
-        F.avg("Price_vs_Competitor").alias("_price_gap"),
-        F.avg("Inventory_Coverage").alias("_coverage"),
-        F.avg("Spot_Sales_Ratio").alias("_spot"),
-        F.avg("Online_Sales_Ratio").alias("_online"),
-        F.avg("Fulfillment_Rate").alias("_fulfil"),
+        davg("Net_Profit_Margin").alias("_margin"),
+        davg("Avg_Discount_Sales").alias("_discount"),
+        davg("Price_vs_Competitor").alias("_price_gap"),
+        davg("Inventory_Coverage").alias("_coverage"),
+        davg("Spot_Sales_Ratio").alias("_spot"),
+        davg("Online_Sales_Ratio").alias("_online"),
+        davg("Fulfillment_Rate").alias("_fulfil"),
     )
     q = F.broadcast(margin_quantile(frame, thresholds.top_quantile))
     joined = per_seg.crossJoin(q)

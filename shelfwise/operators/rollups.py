@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import month_start, sum0
+from ..functions.columns import davg, dsum0, month_start, sum0
 from ..schema import DEFAULT_CATEGORY_MAP, KEY
 
 
@@ -42,33 +42,34 @@ def inventory_rollup(inventory: DataFrame, category_map: dict[str, str] | None =
         _non_null_keys(df)
         .groupBy(*KEY)
         .agg(
-            F.avg("Inventory_Level").alias("Inventory_Level"),
+            davg("Inventory_Level").alias("Inventory_Level"),
             sum0("Units_Sold").alias("Units_Sold_Online"),
             sum0("Units_Ordered").alias("Units_Ordered"),
-            F.avg("Demand_Forecast").alias("Demand_Forecast"),
-            F.avg("Price").alias("Avg_Price"),
-            F.avg("Discount").alias("Avg_Discount_Inv"),
+            davg("Demand_Forecast").alias("Demand_Forecast"),
+            davg("Price").alias("Avg_Price"),
+            davg("Discount").alias("Avg_Discount_Inv"),
             F.mode("Weather_Condition", deterministic=True).alias("Weather_Mode"),
             sum0("Holiday_Promotion").cast("bigint").alias("Holiday_Days"),
-            F.avg("Competitor_Pricing").alias("Competitor_Pricing"),
+            davg("Competitor_Pricing").alias("Competitor_Pricing"),
             F.mode("Seasonality", deterministic=True).alias("Seasonality"),
         )
     )
 
 
 def sales_rollup(sales: DataFrame) -> DataFrame:
-    """A2 (+P2, F1): sales transactions → sales_agg."""
+    """A2 (+P2, F1): sales transactions → sales_agg. Double sums and means
+    are exact (``dsum``), so results do not depend on the partitioning."""
     df = (sales.withColumnRenamed("Product_Category", "Category")
           .withColumn("Month", month_start("Sale_Date")))
     return (
         _non_null_keys(df)
         .groupBy(*KEY)
         .agg(
-            sum0("Sales_Amount").alias("Total_Sales_Amount"),
+            dsum0("Sales_Amount").alias("Total_Sales_Amount"),
             sum0("Quantity_Sold").alias("Total_Qty_Sold"),
-            F.avg("Unit_Cost").alias("Avg_Unit_Cost"),
-            F.avg("Unit_Price").alias("Avg_Unit_Price"),
-            F.avg("Discount").alias("Avg_Discount_Sales"),
+            davg("Unit_Cost").alias("Avg_Unit_Cost"),
+            davg("Unit_Price").alias("Avg_Unit_Price"),
+            davg("Discount").alias("Avg_Discount_Sales"),
             F.count("Product_ID").alias("Num_Transactions"),
             F.count_if(F.col("Customer_Type") == "New").alias("New_Customers"),
             F.count_if(F.col("Customer_Type") == "Returning").alias("Returning_Customers"),

@@ -6,7 +6,9 @@ raw-input mapping and the stage formulas independently of the Spark code.
 
 from __future__ import annotations
 
-from .functions.columns import np_round_sql, py_format_sql, py_round_sql
+import re
+
+from .functions.columns import davg_sql, dsum0_sql, dsum_sql, np_round_sql, py_format_sql, py_round_sql
 
 RAW_CTES = """
 geo AS (
@@ -80,25 +82,25 @@ inv_agg AS (
          a.Competitor_Pricing, s.Seasonality
   FROM (
     SELECT Month, Region, Category,
-           avg(Inventory_Level) AS Inventory_Level,
+           @davg(Inventory_Level) AS Inventory_Level,
            CAST(coalesce(sum(Units_Sold), 0) AS BIGINT) AS Units_Sold_Online,
            CAST(coalesce(sum(Units_Ordered), 0) AS BIGINT) AS Units_Ordered,
-           avg(Demand_Forecast) AS Demand_Forecast,
-           avg(Price) AS Avg_Price,
-           avg(Discount) AS Avg_Discount_Inv,
+           @davg(Demand_Forecast) AS Demand_Forecast,
+           @davg(Price) AS Avg_Price,
+           @davg(Discount) AS Avg_Discount_Inv,
            CAST(coalesce(sum(Holiday_Promotion), 0) AS BIGINT) AS Holiday_Days,
-           avg(Competitor_Pricing) AS Competitor_Pricing
+           @davg(Competitor_Pricing) AS Competitor_Pricing
     FROM inv_m GROUP BY Month, Region, Category) a
   LEFT JOIN weather_mode w USING (Month, Region, Category)
   LEFT JOIN season_mode s USING (Month, Region, Category)),
 sales_agg AS (
   SELECT CAST(date_trunc('month', Sale_Date) AS DATE) AS Month, Region,
          Product_Category AS Category,
-         coalesce(sum(Sales_Amount), 0) AS Total_Sales_Amount,
+         @dsum0(Sales_Amount) AS Total_Sales_Amount,
          CAST(coalesce(sum(Quantity_Sold), 0) AS BIGINT) AS Total_Qty_Sold,
-         avg(Unit_Cost) AS Avg_Unit_Cost,
-         avg(Unit_Price) AS Avg_Unit_Price,
-         avg(Discount) AS Avg_Discount_Sales,
+         @davg(Unit_Cost) AS Avg_Unit_Cost,
+         @davg(Unit_Price) AS Avg_Unit_Price,
+         @davg(Discount) AS Avg_Discount_Sales,
          count(Product_ID) AS Num_Transactions,
          count(*) FILTER (WHERE Customer_Type = 'New') AS New_Customers,
          count(*) FILTER (WHERE Customer_Type = 'Returning') AS Returning_Customers,
@@ -161,7 +163,7 @@ def master_sql(select: str) -> str:
 
 
 __all__ = ["RAW_CTES", "ROLLUP_CTES", "MASTER_CTES", "with_ctes", "master_sql",
-           "py_round_sql", "py_format_sql", "np_round_sql", "model_sql"]
+           "py_round_sql", "py_format_sql", "np_round_sql", "model_sql", "expand_aggregates"]
 
 
 MODEL_CTES = """
@@ -189,3 +191,55 @@ def model_sql(select: str) -> str:
     not_null = " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_COLS + TARGET_COLS)
     return with_ctes(RAW_CTES, ROLLUP_CTES, MASTER_CTES, MODEL_CTES.replace("{not_null}", not_null),
                      select=select)
+
+
+DASH_CTES = """
+lab AS (
+  SELECT mf_split.*, thr.Profit_Threshold,
+         CAST(Net_Profit_Margin >= Profit_Threshold AS DOUBLE) AS label_cls
+  FROM mf_split, thr),
+seg_means AS (
+  SELECT Region, Category, @davg(Total_Sales_Amount) AS ps, @davg(Net_Profit_Margin) AS pm,
+         avg(Total_Qty_Sold) AS pq, avg(label_cls) AS pc
+  FROM lab WHERE NOT is_test GROUP BY Region, Category),
+preds0 AS (
+  SELECT lab.*, s.ps AS Predicted_Sales, s.pm AS Predicted_Margin_Pct,
+         CAST(round_even(s.pq, 0) AS BIGINT) AS Predicted_Sell_Qty,
+         CASE WHEN s.pc >= 0.5 THEN 'High Profit' ELSE 'Low Profit' END AS Predicted_Profit_Class,
+         strftime(Month, '%b %Y') AS MonthLabel
+  FROM lab LEFT JOIN seg_means s USING (Region, Category)),
+preds AS (
+  SELECT *, Predicted_Sales * (Predicted_Margin_Pct / 100)
+            - Avg_Unit_Cost * Predicted_Sell_Qty * CAST(0.02 AS DOUBLE) AS Predicted_Net_Profit
+  FROM preds0),
+monthly AS (
+  SELECT Year, MonthNum, Region, Category,
+         @dsum0(Total_Sales_Amount) AS Monthly_Sales,
+         @dsum0(Net_Profit) AS Monthly_Profit,
+         @dsum0(Predicted_Sales) AS Pred_Sales,
+         @dsum0(Predicted_Net_Profit) AS Pred_Profit
+  FROM preds GROUP BY Year, MonthNum, Region, Category)"""
+
+
+def dash_sql(select: str, improve_select: str | None = None, extra_ctes: str = "") -> str:
+    """Model CTEs + baseline predictions (+ the improvement report as
+    ``improve`` when given)."""
+    from .schema import FEATURE_COLS, TARGET_COLS
+    not_null = " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_COLS + TARGET_COLS)
+    blocks = [RAW_CTES, ROLLUP_CTES, MASTER_CTES, MODEL_CTES.replace("{not_null}", not_null),
+              DASH_CTES]
+    if improve_select is not None:
+        blocks.append(f"\nimprove AS ({improve_select})")
+    if extra_ctes:
+        blocks.append(extra_ctes)
+    return with_ctes(*blocks, select=select)
+
+
+_AGG_TOKEN = re.compile(r"@(dsum0|dsum|davg)\((\w+)\)")
+_AGG_SQL = {"dsum0": dsum0_sql, "dsum": dsum_sql, "davg": davg_sql}
+
+
+def expand_aggregates(sql: str) -> str:
+    """``@dsum(c)`` / ``@dsum0(c)`` / ``@davg(c)`` → the exact-sum SQL that
+    mirrors ``functions.columns.dsum`` / ``dsum0`` / ``davg``."""
+    return _AGG_TOKEN.sub(lambda m: _AGG_SQL[m.group(1)](m.group(2)), sql)
