@@ -198,7 +198,7 @@ ENC_COLS = ("Region_enc", "Category_enc", "Weather_Mode_enc", "Seasonality_enc")
 
 
 def _model_frame(spark, sf_dir):
-    return prep.model_frame(_master(spark, sf_dir))
+    return prep.model_frame(master_plan.staged_master(spark, sf_dir))
 
 
 @register("model_frame", model_sql(f"SELECT {MASTER_COLS}, {', '.join(ENC_COLS)} FROM mf"),
@@ -214,7 +214,7 @@ def model_frame(spark, sf_dir):
     for c in ("Region", "Category", "Weather_Mode", "Seasonality"))))
 def label_codes(spark, sf_dir):
     """sorted-label codes fitted on the whole master table."""
-    return prep.label_codes(_master(spark, sf_dir))
+    return prep.label_codes(master_plan.staged_master(spark, sf_dir))
 
 
 @register("split_assign", model_sql("SELECT Month, Region, Category, is_test FROM mf_split"))

@@ -18,9 +18,17 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+_BOUNDS: dict[tuple, bool] = {}
+
+
 def has_at_most(df: DataFrame, rows: int) -> bool:
-    """True when ``df`` has no more than ``rows`` rows (reads ≤ rows+1)."""
-    return df.limit(rows + 1).count() <= rows
+    """True when ``df`` has no more than ``rows`` rows (reads ≤ rows+1).
+    Answers are remembered per session and plan, so a dimension used by
+    several joins is counted once."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), rows)
+    if key not in _BOUNDS:
+        _BOUNDS[key] = df.limit(rows + 1).count() <= rows
+    return _BOUNDS[key]
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
@@ -29,3 +37,10 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
     if has_at_most(dim, max_rows):
         dim = F.broadcast(dim)
     return fact.join(dim, on, how)
+
+
+def join_facts(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join two line-scale tables with a sort-merge join on the key (both
+    sides shuffled by it; AQE splits a skewed key's partition). Pinned so
+    that neither side is ever broadcast because a file looked small."""
+    return left.join(right.hint("merge"), on, how)

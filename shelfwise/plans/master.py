@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.features import build_master
+from ..session import ensure_checkpoint_dir
 from ..operators.rollups import inventory_rollup, sales_rollup
 from ..schema import BusinessRules
 from ..sources import files, tables
@@ -44,6 +45,24 @@ def master_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return master(raw_from_tables(spark, sf_dir))
 
 
+_STAGED: dict[tuple[str, str], DataFrame] = {}
+
+
+def staged_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The master table as a stage output: computed once per session and
+    folder, then checkpointed (reliably, into the session's checkpoint
+    folder). It holds one row per month and segment whatever the line
+    volume, and every stage-2 step reads it several times (encoding fit,
+    split, threshold, quantile, four models), so it is materialised instead
+    of re-running the line-level joins; the cut lineage also means a lost
+    executor never replays those joins."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STAGED:
+        ensure_checkpoint_dir(spark)
+        _STAGED[key] = master_from_tables(spark, sf_dir).checkpoint(eager=True)
+    return _STAGED[key]
+
+
 def write_master(df: DataFrame, out_dir: str, fmt: str = "parquet") -> str:
     """One file set, sorted by segment and month inside each task."""
     return files.write_table(df.sortWithinPartitions("Region", "Category", "Month"),
