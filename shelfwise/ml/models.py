@@ -137,15 +137,26 @@ class Fitted:
         self.frame.unpersist()
 
 
+ROWS_PER_PARTITION = 50_000
+
+
 def training_frame(master: DataFrame, p: ModelParams = ModelParams()) -> DataFrame:
     """Model frame + split flag + fold + class label + feature vector, cached
-    once and reused by every fit."""
+    once and reused by every fit.
+
+    Tree learning runs one aggregation per tree level over every partition,
+    so the partition count follows the frame's size (one per ~50k rows, at
+    most the cluster's parallelism) instead of the shuffle setting: the
+    frame holds one row per month and segment, a few thousand rows."""
     frame = prep.model_frame(master)
     frame = prep.with_split(frame, p)
     frame = prep.with_folds(frame, p.folds)
     frame = prep.with_class_label(frame)
     frame = prep.assembler().transform(frame)
-    return frame.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = frame.count()
+    parallelism = frame.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(parallelism, -(-rows // ROWS_PER_PARTITION)))
+    return frame.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def fit_models(master: DataFrame, p: ModelParams = ModelParams()) -> Fitted:

@@ -1,0 +1,36 @@
+"""Roll-ups over a file stream equal the batch roll-ups."""
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from shelfwise.operators import rollups
+from shelfwise.sources import tables
+from shelfwise.streaming.rollups import sales_rollup_stream, start_rollup_table
+
+
+def _rows(df):
+    return sorted(tuple(str(x) for x in r) for r in df.collect())
+
+
+def test_sales_rollup_stream_matches_batch(spark, tmp_path):
+    sales = tables.sales_view(spark, SF_SMALL).cache()
+    src, out = str(tmp_path / "drop"), str(tmp_path / "rollup")
+    # two deliveries: lines of even and odd months
+    first = sales.filter(F.month("Sale_Date") % 2 == 0)
+    first.write.option("header", True).csv(src + "/part1")
+    stream = sales_rollup_stream(spark, src + "/*", max_files=2)
+    q = start_rollup_table(stream, out, "sales_rollup_test", checkpoint=str(tmp_path / "ck"))
+    q.processAllAvailable()
+    assert spark.read.parquet(out).count() == rollups.sales_rollup(first).count()
+    sales.filter(F.month("Sale_Date") % 2 == 1).write.option("header", True).csv(src + "/part2")
+    q.processAllAvailable()
+    q.stop()
+    got = spark.read.parquet(out)
+    want = rollups.sales_rollup(sales)
+    cols = ["Month", "Region", "Category", "Total_Qty_Sold", "Num_Transactions", "New_Customers",
+            "Online_Txn"]
+    assert _rows(got.select(cols)) == _rows(want.select(cols))
+    diff = (got.join(want.select("Month", "Region", "Category",
+                                 F.col("Total_Sales_Amount").alias("w")), ["Month", "Region", "Category"])
+            .filter(F.abs(F.col("Total_Sales_Amount") - F.col("w")) > 1e-6))
+    assert diff.count() == 0
+    sales.unpersist()
