@@ -109,3 +109,18 @@ def with_class_label(df_split: DataFrame, target: str = "Net_Profit_Margin") ->
 def assembler() -> VectorAssembler:
     """The 23 features as one vector column."""
     return VectorAssembler(inputCols=FEATURE_COLS, outputCol="features")
+
+
+def median_fill(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Fill NULLs of each column with its exact (interpolated) median.
+    After ``model_frame`` drops incomplete rows this changes nothing (as in
+    the reference); it is kept for frames scored without that drop. All
+    medians come from one aggregation, broadcast as a single row."""
+    cols = FEATURE_COLS if cols is None else cols
+    med = F.broadcast(df.agg(*[F.median(c).alias(f"_med_{i}") for i, c in enumerate(cols)]))
+    out = df.crossJoin(med)
+    out = out.select(*[
+        F.coalesce(F.col(c), F.col(f"_med_{cols.index(c)}").cast(t)).alias(c) if c in cols
+        else F.col(c)
+        for c, t in df.dtypes])
+    return out

@@ -107,3 +107,10 @@ def test_order_qty_rounds_like_numpy(spark):
             for m, f in enumerate(forecasts)]
     out = features.derive_features(_joined(spark, rows)).orderBy("Month").collect()
     assert [r.Recommended_Order_Qty for r in out] == [float(np.round(f * 1.15)) for f in forecasts]
+
+
+def test_median_fill(spark):
+    from shelfwise.ml import prep
+    df = spark.createDataFrame([(1.0, 10), (None, None), (3.0, 30), (4.0, 40)], "a double, b bigint")
+    out = prep.median_fill(df, ["a", "b"]).collect()
+    assert [r.a for r in out] == [1.0, 3.0, 3.0, 4.0] and [r.b for r in out] == [10, 30, 30, 40]
