@@ -25,7 +25,7 @@ MASTER_DOUBLES = SALES_AGG_DOUBLES + INV_AGG_DOUBLES + DERIVED_DOUBLES
 
 
 def _rollups(spark: SparkSession, sf_dir: str):
-    return master_plan.rollups(master_plan.raw_from_tables(spark, sf_dir))
+    return master_plan.rollups_from_tables(spark, sf_dir)
 
 
 def _master(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,7 +202,7 @@ def _model_frame(spark, sf_dir):
 
 
 @register("model_frame", model_sql(f"SELECT {MASTER_COLS}, {', '.join(ENC_COLS)} FROM mf"),
-          MASTER_DOUBLES + ENC_COLS)
+          MASTER_DOUBLES)
 def model_frame(spark, sf_dir):
     """Encoded master rows with every feature and target present."""
     return _model_frame(spark, sf_dir)

@@ -27,7 +27,7 @@ def _rf_regressor(target: str, trees: int, depth: int, p: ModelParams, pred: str
     return RandomForestRegressor(
         featuresCol="features", labelCol=target, predictionCol=pred, numTrees=trees,
         maxDepth=depth, minInstancesPerNode=p.min_leaf, seed=p.seed, maxBins=p.max_bins,
-        featureSubsetStrategy="all", maxMemoryInMB=512, cacheNodeIds=True, checkpointInterval=10)
+        featureSubsetStrategy="all", maxMemoryInMB=512, cacheNodeIds=False, checkpointInterval=10)
 
 
 def sales_estimator(p: ModelParams, pred: str = "Predicted_Sales"):
@@ -41,7 +41,7 @@ def margin_estimator(p: ModelParams, pred: str = "Predicted_Margin_Pct"):
         featuresCol="features", labelCol=MARGIN, predictionCol=pred, maxIter=p.gbt_rounds,
         stepSize=p.gbt_step, maxDepth=p.gbt_depth, subsamplingRate=p.gbt_subsample,
         seed=p.seed, maxBins=p.max_bins, featureSubsetStrategy="all", maxMemoryInMB=512,
-        cacheNodeIds=True, checkpointInterval=10)
+        cacheNodeIds=False, checkpointInterval=10)
 
 
 def qty_estimator(p: ModelParams, pred: str = "_pred_qty"):
@@ -55,7 +55,7 @@ def class_estimator(p: ModelParams, pred: str = "_pred_cls"):
         featuresCol="features", labelCol="label_cls", predictionCol=pred,
         rawPredictionCol="_raw_cls", probabilityCol="_prob_cls", numTrees=p.cls_trees,
         maxDepth=p.cls_depth, minInstancesPerNode=p.min_leaf, seed=p.seed, maxBins=p.max_bins,
-        featureSubsetStrategy="sqrt", maxMemoryInMB=512, cacheNodeIds=True,
+        featureSubsetStrategy="sqrt", maxMemoryInMB=512, cacheNodeIds=False,
         checkpointInterval=10)
 
 

@@ -20,10 +20,16 @@ def remap_category(df: DataFrame, mapping: dict[str, str] | None = None,
     mapping = DEFAULT_CATEGORY_MAP if mapping is None else mapping
     if not mapping:
         return df
+    return df.withColumn(column, _remapped(column, mapping))
+
+
+def _remapped(column: str, mapping: dict[str, str] | None) -> F.Column:
+    """Simultaneous value mapping (each test sees the original value)."""
+    mapping = DEFAULT_CATEGORY_MAP if mapping is None else mapping
     expr = F.col(column)
     for old, new in mapping.items():
         expr = F.when(F.col(column) == old, F.lit(new)).otherwise(expr)
-    return df.withColumn(column, expr)
+    return expr
 
 
 def _non_null_keys(df: DataFrame) -> DataFrame:
@@ -31,6 +37,51 @@ def _non_null_keys(df: DataFrame) -> DataFrame:
                      & F.col("Category").isNotNull())
 
 
+def _inventory_measures(c=lambda n: n) -> list:
+    """A1 measures; ``c`` maps an inventory column name to the input column."""
+    return [
+        davg(c("Inventory_Level")).alias("Inventory_Level"),
+        sum0(c("Units_Sold")).alias("Units_Sold_Online"),
+        sum0(c("Units_Ordered")).alias("Units_Ordered"),
+        davg(c("Demand_Forecast")).alias("Demand_Forecast"),
+        davg(c("Price")).alias("Avg_Price"),
+        davg(c("Discount")).alias("Avg_Discount_Inv"),
+        F.mode(c("Weather_Condition"), deterministic=True).alias("Weather_Mode"),
+        sum0(c("Holiday_Promotion")).cast("bigint").alias("Holiday_Days"),
+        davg(c("Competitor_Pricing")).alias("Competitor_Pricing"),
+        F.mode(c("Seasonality"), deterministic=True).alias("Seasonality"),
+    ]
+
+
+def _sales_measures(c=lambda n: n) -> list:
+    """A2 measures; ``c`` maps a sales column name to the input column."""
+    return [
+        dsum0(c("Sales_Amount")).alias("Total_Sales_Amount"),
+        sum0(c("Quantity_Sold")).alias("Total_Qty_Sold"),
+        davg(c("Unit_Cost")).alias("Avg_Unit_Cost"),
+        davg(c("Unit_Price")).alias("Avg_Unit_Price"),
+        davg(c("Discount")).alias("Avg_Discount_Sales"),
+        F.count(c("Product_ID")).alias("Num_Transactions"),
+        F.count_if(F.col(c("Customer_Type")) == "New").alias("New_Customers"),
+        F.count_if(F.col(c("Customer_Type")) == "Returning").alias("Returning_Customers"),
+        F.count_if(F.col(c("Sales_Channel")) == "Online").alias("Online_Txn"),
+        F.count_if(F.col(c("Sales_Channel")) == "Retail").alias("Retail_Txn"),
+    ]
+
+
+SALES_MEASURES = ["Total_Sales_Amount", "Total_Qty_Sold", "Avg_Unit_Cost", "Avg_Unit_Price",
+                  "Avg_Discount_Sales", "Num_Transactions", "New_Customers",
+                  "Returning_Customers", "Online_Txn", "Retail_Txn"]
+INVENTORY_MEASURES = ["Inventory_Level", "Units_Sold_Online", "Units_Ordered", "Demand_Forecast",
+                      "Avg_Price", "Avg_Discount_Inv", "Weather_Mode", "Holiday_Days",
+                      "Competitor_Pricing", "Seasonality"]
+SALES_INPUTS = ["Sales_Amount", "Quantity_Sold", "Unit_Cost", "Unit_Price", "Discount",
+                "Product_ID", "Customer_Type", "Sales_Channel"]
+INVENTORY_INPUTS = ["Inventory_Level", "Units_Sold", "Units_Ordered", "Demand_Forecast", "Price",
+                    "Discount", "Weather_Condition", "Holiday_Promotion", "Competitor_Pricing",
+                    "Seasonality"]
+
+
 def inventory_rollup(inventory: DataFrame, category_map: dict[str, str] | None = None) -> DataFrame:
     """A1: inventory records → inv_agg (means, zero-default sums, modes).
 
@@ -38,22 +89,7 @@ def inventory_rollup(inventory: DataFrame, category_map: dict[str, str] | None =
     NULL for an all-NULL group; its buffer is a value→count map bounded by
     the number of distinct values (weather and season: a handful)."""
     df = remap_category(inventory, category_map).withColumn("Month", month_start("Date"))
-    return (
-        _non_null_keys(df)
-        .groupBy(*KEY)
-        .agg(
-            davg("Inventory_Level").alias("Inventory_Level"),
-            sum0("Units_Sold").alias("Units_Sold_Online"),
-            sum0("Units_Ordered").alias("Units_Ordered"),
-            davg("Demand_Forecast").alias("Demand_Forecast"),
-            davg("Price").alias("Avg_Price"),
-            davg("Discount").alias("Avg_Discount_Inv"),
-            F.mode("Weather_Condition", deterministic=True).alias("Weather_Mode"),
-            sum0("Holiday_Promotion").cast("bigint").alias("Holiday_Days"),
-            davg("Competitor_Pricing").alias("Competitor_Pricing"),
-            F.mode("Seasonality", deterministic=True).alias("Seasonality"),
-        )
-    )
+    return _non_null_keys(df).groupBy(*KEY).agg(*_inventory_measures())
 
 
 def sales_rollup(sales: DataFrame) -> DataFrame:
@@ -61,19 +97,47 @@ def sales_rollup(sales: DataFrame) -> DataFrame:
     are exact (``dsum``), so results do not depend on the partitioning."""
     df = (sales.withColumnRenamed("Product_Category", "Category")
           .withColumn("Month", month_start("Sale_Date")))
-    return (
-        _non_null_keys(df)
-        .groupBy(*KEY)
-        .agg(
-            dsum0("Sales_Amount").alias("Total_Sales_Amount"),
-            sum0("Quantity_Sold").alias("Total_Qty_Sold"),
-            davg("Unit_Cost").alias("Avg_Unit_Cost"),
-            davg("Unit_Price").alias("Avg_Unit_Price"),
-            davg("Discount").alias("Avg_Discount_Sales"),
-            F.count("Product_ID").alias("Num_Transactions"),
-            F.count_if(F.col("Customer_Type") == "New").alias("New_Customers"),
-            F.count_if(F.col("Customer_Type") == "Returning").alias("Returning_Customers"),
-            F.count_if(F.col("Sales_Channel") == "Online").alias("Online_Txn"),
-            F.count_if(F.col("Sales_Channel") == "Retail").alias("Retail_Txn"),
-        )
-    )
+    return _non_null_keys(df).groupBy(*KEY).agg(*_sales_measures())
+
+
+def combined_rollup(facts: DataFrame, category_map: dict[str, str] | None = None) -> DataFrame:
+    """A1 + A2 in one pass over line facts that carry both views.
+
+    ``facts`` has one row per line with the sales view's columns prefixed
+    ``s_`` (plus ``s_ok`` when the line has its order / customer) and the
+    inventory view's prefixed ``i_`` (plus ``i_ok`` when it has its
+    supplier). Each line is expanded into up to two keyed rows — kind S at
+    (order month, customer region, category) and kind I at (ship month,
+    supplier region, remapped category) — inside the same task, and one
+    ``groupBy(kind, K)`` with map-side partial aggregation computes both
+    roll-ups. Output: kind, K, all sales and inventory measures (only the
+    kind's own measures are meaningful)."""
+    types = dict(facts.dtypes)
+
+    def typed_null(name):
+        return F.lit(None).cast(types[name])
+
+    s_cols = [f"s_{n}" for n in SALES_INPUTS]
+    i_cols = [f"i_{n}" for n in INVENTORY_INPUTS]
+    cat = _remapped("i_Category", category_map)
+    sales_row = F.struct(
+        F.lit("S").alias("kind"), month_start("s_Sale_Date").alias("Month"),
+        F.col("s_Region").alias("Region"), F.col("s_Category").alias("Category"),
+        *[F.col(c).alias(c) for c in s_cols], *[typed_null(c).alias(c) for c in i_cols])
+    inv_row = F.struct(
+        F.lit("I").alias("kind"), month_start("i_Date").alias("Month"),
+        F.col("i_Region").alias("Region"), cat.alias("Category"),
+        *[typed_null(c).alias(c) for c in s_cols], *[F.col(c).alias(c) for c in i_cols])
+    rows = (facts.select(F.explode(F.array(F.when(F.col("s_ok"), sales_row),
+                                           F.when(F.col("i_ok"), inv_row))).alias("r"))
+            .select("r.*").filter(F.col("kind").isNotNull()))
+    return (_non_null_keys(rows).groupBy("kind", *KEY)
+            .agg(*_sales_measures(lambda n: f"s_{n}"),
+                 *_inventory_measures(lambda n: f"i_{n}")))
+
+
+def split_rollup(combined: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sales_agg, inv_agg) from :func:`combined_rollup`."""
+    sales = combined.filter(F.col("kind") == "S").select(*KEY, *SALES_MEASURES)
+    inv = combined.filter(F.col("kind") == "I").select(*KEY, *INVENTORY_MEASURES)
+    return sales, inv
