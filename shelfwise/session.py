@@ -53,22 +53,25 @@ def ensure_sql_settings(spark: SparkSession) -> None:
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()  # Option[String]
-    if jdir.isDefined():
-        return jdir.get()
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    return conf or None
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder; only when none is configured (local
-    tests) create a scratch one. On a cluster ``spark.checkpoint.dir`` must
-    name a shared folder and is used as is."""
+    """Return the checkpoint folder the session names. Only a local-mode
+    session (tests, the bench) without one gets a scratch folder; a cluster
+    session must name a shared folder in ``spark.checkpoint.dir`` — a
+    machine-local folder would not survive the loss of that machine."""
     existing = checkpoint_dir(spark)
     if existing:
-        if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(existing)
         return existing
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the "
+                           "cluster's distributed file system) before running shelfwise")
     local = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
