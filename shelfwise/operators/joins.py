@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Row bound under which a dimension is shipped to every task. At ~50 bytes
-# per projected row this is ~100 MB in the worst case.
+# per projected row this is ~100 MB in the worst case. A session can lower
+# it with the setting below (0 turns checked broadcasts off).
 DEFAULT_BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS_SETTING = "shelfwise.broadcast.maxRows"
 
 
 _BOUNDS: dict[tuple, bool] = {}
@@ -32,9 +34,12 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   max_rows: int | None = None) -> DataFrame:
     """Join ``fact`` to ``dim``, broadcasting ``dim`` only behind a size check."""
-    if has_at_most(dim, max_rows):
+    if max_rows is None:
+        max_rows = int(fact.sparkSession.conf.get(BROADCAST_ROWS_SETTING,
+                                                  str(DEFAULT_BROADCAST_ROWS)))
+    if max_rows > 0 and has_at_most(dim, max_rows):
         dim = F.broadcast(dim)
     return fact.join(dim, on, how)
 
