@@ -141,3 +141,149 @@ def split_rollup(combined: DataFrame) -> tuple[DataFrame, DataFrame]:
     sales = combined.filter(F.col("kind") == "S").select(*KEY, *SALES_MEASURES)
     inv = combined.filter(F.col("kind") == "I").select(*KEY, *INVENTORY_MEASURES)
     return sales, inv
+
+
+# --------------------------------------------------------------------------
+# Two-step form of the combined roll-up (line level → small table).
+#
+# ``mode`` is an object aggregate; with more than a few hundred keys per
+# task Spark's object hash aggregation falls back to sorting every input
+# row. The line-level step therefore only computes additive parts (sums,
+# counts, the integer / fraction halves of exact sums) in a plain hash
+# aggregation, with the two mode columns added to the group key (their
+# values are few: weather conditions, seasons). The second step runs on that
+# small table: it adds the parts up per (kind, month, region, category) and
+# picks each mode as the most frequent value, smallest on ties.
+# --------------------------------------------------------------------------
+_SCALE = 1024.0   # same split as functions.columns.dsum
+
+
+def _exact_parts(col: str, name: str) -> list:
+    y = F.col(col) * F.lit(_SCALE)
+    hi = F.floor(y)
+    return [F.sum(hi.cast("bigint")).alias(f"{name}__hi"), F.sum(y - hi).alias(f"{name}__lo")]
+
+
+def _exact_total(name: str) -> F.Column:
+    return (F.sum(f"{name}__hi").cast("double") + F.sum(f"{name}__lo")) / F.lit(_SCALE)
+
+
+# (output name, kind of measure, input column or (column, value) to count)
+_SALES_SPEC = [
+    ("Total_Sales_Amount", "dsum0", "s_Sales_Amount"),
+    ("Total_Qty_Sold", "sum0", "s_Quantity_Sold"),
+    ("Avg_Unit_Cost", "davg", "s_Unit_Cost"),
+    ("Avg_Unit_Price", "davg", "s_Unit_Price"),
+    ("Avg_Discount_Sales", "davg", "s_Discount"),
+    ("Num_Transactions", "count", "s_Product_ID"),
+    ("New_Customers", "count_if", ("s_Customer_Type", "New")),
+    ("Returning_Customers", "count_if", ("s_Customer_Type", "Returning")),
+    ("Online_Txn", "count_if", ("s_Sales_Channel", "Online")),
+    ("Retail_Txn", "count_if", ("s_Sales_Channel", "Retail")),
+]
+_INVENTORY_SPEC = [
+    ("Inventory_Level", "davg", "i_Inventory_Level"),
+    ("Units_Sold_Online", "sum0", "i_Units_Sold"),
+    ("Units_Ordered", "sum0", "i_Units_Ordered"),
+    ("Demand_Forecast", "davg", "i_Demand_Forecast"),
+    ("Avg_Price", "davg", "i_Price"),
+    ("Avg_Discount_Inv", "davg", "i_Discount"),
+    ("Holiday_Days", "sum0", "i_Holiday_Promotion"),
+    ("Competitor_Pricing", "davg", "i_Competitor_Pricing"),
+]
+_MODES = [("Weather_Mode", "i_Weather_Condition"), ("Seasonality", "i_Seasonality")]
+
+
+def _parts(spec) -> list:
+    out = []
+    for name, kind, src in spec:
+        if kind in ("dsum0", "davg"):
+            out += _exact_parts(src, name)
+        if kind == "davg":
+            out.append(F.count(src).alias(f"{name}__n"))
+        if kind == "sum0":
+            out.append(F.sum(src).alias(f"{name}__s"))
+        if kind == "count":
+            out.append(F.count(src).alias(f"{name}__n"))
+        if kind == "count_if":
+            column, value = src
+            out.append(F.count_if(F.col(column) == value).alias(f"{name}__n"))
+    return out
+
+
+def _finals(spec) -> list:
+    out = []
+    for name, kind, _src in spec:
+        if kind == "dsum0":
+            out.append(F.coalesce(_exact_total(name), F.lit(0.0)).alias(name))
+        elif kind == "davg":
+            out.append((_exact_total(name) / F.nullif(F.sum(f"{name}__n"), F.lit(0))).alias(name))
+        elif kind == "sum0":
+            out.append(F.coalesce(F.sum(f"{name}__s"), F.lit(0)).cast("bigint").alias(name))
+        else:
+            out.append(F.sum(f"{name}__n").cast("bigint").alias(name))
+    return out
+
+
+def _typed_nulls(types: dict, cols: list[str]) -> list:
+    return [F.lit(None).cast(types[c]).alias(c) for c in cols]
+
+
+def _parts_by_key(rows: DataFrame) -> DataFrame:
+    mode_keys = [src for _, src in _MODES]
+    return (_non_null_keys(rows).groupBy("kind", *KEY, *mode_keys)
+            .agg(*_parts(_SALES_SPEC), *_parts(_INVENTORY_SPEC),
+                 *[F.count(src).alias(f"{src}__n") for src in mode_keys]))
+
+
+def combined_rollup_parts(facts: DataFrame, category_map: dict[str, str] | None = None) -> DataFrame:
+    """Step 1 (line level) over line facts: one hash aggregation by (kind,
+    month, region, category, weather, season) of additive parts only."""
+    types = dict(facts.dtypes)
+    s_cols = [f"s_{n}" for n in SALES_INPUTS]
+    i_cols = [f"i_{n}" for n in INVENTORY_INPUTS]
+    sales_row = F.struct(
+        F.lit("S").alias("kind"), month_start("s_Sale_Date").alias("Month"),
+        F.col("s_Region").alias("Region"), F.col("s_Category").alias("Category"),
+        *[F.col(c).alias(c) for c in s_cols], *_typed_nulls(types, i_cols))
+    inv_row = F.struct(
+        F.lit("I").alias("kind"), month_start("i_Date").alias("Month"),
+        F.col("i_Region").alias("Region"), _remapped("i_Category", category_map).alias("Category"),
+        *_typed_nulls(types, s_cols), *[F.col(c).alias(c) for c in i_cols])
+    rows = (facts.select(F.explode(F.array(F.when(F.col("s_ok"), sales_row),
+                                           F.when(F.col("i_ok"), inv_row))).alias("r"))
+            .select("r.*").filter(F.col("kind").isNotNull()))
+    return _parts_by_key(rows)
+
+
+def raw_rollup_parts(sales: DataFrame, inventory: DataFrame,
+                     category_map: dict[str, str] | None = None) -> DataFrame:
+    """Step 1 over the two raw inputs (CSV contract): kind-tagged rows of
+    both, one hash aggregation of additive parts."""
+    s_types = {f"s_{n}": t for n, t in sales.dtypes}
+    i_types = {f"i_{n}": t for n, t in inventory.dtypes}
+    s_cols = [f"s_{n}" for n in SALES_INPUTS]
+    i_cols = [f"i_{n}" for n in INVENTORY_INPUTS]
+    s_rows = sales.select(
+        F.lit("S").alias("kind"), month_start("Sale_Date").alias("Month"), "Region",
+        F.col("Product_Category").alias("Category"),
+        *[F.col(n).alias(f"s_{n}") for n in SALES_INPUTS], *_typed_nulls(i_types, i_cols))
+    i_rows = inventory.select(
+        F.lit("I").alias("kind"), month_start("Date").alias("Month"), "Region",
+        _remapped("Category", category_map).alias("Category"),
+        *_typed_nulls(s_types, s_cols), *[F.col(n).alias(f"i_{n}") for n in INVENTORY_INPUTS])
+    return _parts_by_key(s_rows.unionByName(i_rows))
+
+
+def combined_rollup_finish(parts: DataFrame) -> DataFrame:
+    """Step 2 (small table): totals and modes per (kind, month, region,
+    category). Same output as :func:`combined_rollup`."""
+    keys = ["kind", *KEY]
+    totals = parts.groupBy(*keys).agg(*_finals(_SALES_SPEC), *_finals(_INVENTORY_SPEC))
+    for name, src in _MODES:
+        counts = (parts.filter(F.col(src).isNotNull()).groupBy(*keys, src)
+                  .agg(F.sum(f"{src}__n").alias("_c")))
+        mode = counts.groupBy(*keys).agg(
+            F.min_by(src, F.struct((-F.col("_c")).alias("c"), F.col(src).alias("v"))).alias(name))
+        totals = totals.join(mode, keys, "left")
+    return totals.select(*keys, *SALES_MEASURES, *INVENTORY_MEASURES)

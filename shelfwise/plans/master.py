@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.features import build_master
 from ..session import ensure_checkpoint_dir
-from ..operators.rollups import combined_rollup, inventory_rollup, sales_rollup, split_rollup
+from ..operators.rollups import (combined_rollup_finish, combined_rollup_parts, inventory_rollup,
+                                 raw_rollup_parts, sales_rollup, split_rollup)
 from ..schema import BusinessRules
 from ..sources import files, tables
 
@@ -37,7 +38,12 @@ def rollups(raw: RawInputs) -> tuple[DataFrame, DataFrame]:
 
 
 def master(raw: RawInputs, rules: BusinessRules = BusinessRules()) -> DataFrame:
-    sales_agg, inv_agg = rollups(raw)
+    """Master table from the two raw inputs: one hash aggregation of both
+    (``raw_rollup_parts``), checkpointed as the line-level stage output,
+    then totals, modes, J1 and the derived features on the small table."""
+    ensure_checkpoint_dir(raw.sales.sparkSession)
+    parts = raw_rollup_parts(raw.sales, raw.inventory, raw.category_map).checkpoint(eager=True)
+    sales_agg, inv_agg = split_rollup(combined_rollup_finish(parts))
     return build_master(sales_agg, inv_agg, rules)
 
 
@@ -46,17 +52,17 @@ _ROLLUPS: dict[tuple[str, str], DataFrame] = {}
 
 def rollups_from_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(sales_agg, inv_agg) from one pass over the line table
-    (``tables.line_facts`` → ``rollups.combined_rollup``). The combined
-    aggregate (one row per kind, month and segment) is the roll-up stage's
-    output: checkpointed once per session so that the J1 join, which reads
-    both halves, does not run the line pass twice."""
+    (``tables.line_facts`` → ``rollups.combined_rollup_parts``, a plain hash
+    aggregation of additive parts). That small table is the line-level
+    stage's output: checkpointed once per session, so the totals, the two
+    modes and the J1 join, which all read it, never re-run the line pass."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _ROLLUPS:
         ensure_checkpoint_dir(spark)
-        combined = combined_rollup(tables.line_facts(spark, sf_dir),
-                                   dict(tables.TESTDATA_CATEGORY_MAP))
-        _ROLLUPS[key] = combined.checkpoint(eager=True)
-    return split_rollup(_ROLLUPS[key])
+        parts = combined_rollup_parts(tables.line_facts(spark, sf_dir),
+                                      dict(tables.TESTDATA_CATEGORY_MAP))
+        _ROLLUPS[key] = parts.checkpoint(eager=True)
+    return split_rollup(combined_rollup_finish(_ROLLUPS[key]))
 
 
 def master_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
