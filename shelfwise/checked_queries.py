@@ -197,8 +197,11 @@ def input_profile(spark, sf_dir):
 ENC_COLS = ("Region_enc", "Category_enc", "Weather_Mode_enc", "Seasonality_enc")
 
 
+LABEL_COLS = ("is_test", "Profit_Threshold", "label_cls")
+
+
 def _model_frame(spark, sf_dir):
-    return prep.model_frame(master_plan.staged_master(spark, sf_dir))
+    return master_plan.staged_model_frame(spark, sf_dir).drop(*LABEL_COLS)
 
 
 @register("model_frame", model_sql(f"SELECT {MASTER_COLS}, {', '.join(ENC_COLS)} FROM mf"),

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from .catalog import register
 from .checked_queries import RULES_SQL, _model_frame
-from .ml import baseline, prep
+from .ml import baseline
+from .plans import master as master_plan
 from .oracle import dash_sql
 from .operators import dashboard, report, summaries
 from .schema import Filters, MONTH_NAMES
@@ -16,7 +17,7 @@ IMPROVE_SELECT = RULES_SQL[RULES_SQL.rindex("\nSELECT *, CASE WHEN"):]
 
 
 def _preds(spark, sf_dir):
-    frame = prep.with_class_label(prep.with_split(_model_frame(spark, sf_dir)))
+    frame = master_plan.staged_model_frame(spark, sf_dir)
     return dashboard.with_month_parts(baseline.segment_mean_scores(frame))
 
 

@@ -60,9 +60,9 @@ def rollups_from_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     if key not in _ROLLUPS:
         ensure_checkpoint_dir(spark)
         parts = combined_rollup_parts(tables.line_facts(spark, sf_dir),
-                                      dict(tables.TESTDATA_CATEGORY_MAP))
-        _ROLLUPS[key] = parts.checkpoint(eager=True)
-    return split_rollup(combined_rollup_finish(_ROLLUPS[key]))
+                                      dict(tables.TESTDATA_CATEGORY_MAP)).checkpoint(eager=True)
+        _ROLLUPS[key] = combined_rollup_finish(parts).checkpoint(eager=True)
+    return split_rollup(_ROLLUPS[key])
 
 
 def master_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +88,23 @@ def staged_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _STAGED[key]
 
 
+_FRAMES: dict[tuple[str, str], DataFrame] = {}
+
+
+def staged_model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded modelling frame with split flag, training-median threshold
+    and class label (``prep``), checkpointed once per session: every
+    report, summary and dashboard query starts from it (the reference hands
+    the same frame over as its predictions file)."""
+    from ..ml import prep
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FRAMES:
+        frame = prep.with_class_label(prep.with_split(prep.model_frame(
+            staged_master(spark, sf_dir))))
+        _FRAMES[key] = frame.checkpoint(eager=True)
+    return _FRAMES[key]
+
+
 def write_master(df: DataFrame, out_dir: str, fmt: str = "parquet") -> str:
     """One file set, sorted by segment and month inside each task."""
     return files.write_table(df.sortWithinPartitions("Region", "Category", "Month"),
