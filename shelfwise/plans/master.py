@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.features import build_master
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, stage_table
 from ..operators.rollups import (combined_rollup_finish, combined_rollup_parts, inventory_rollup,
                                  raw_rollup_parts, sales_rollup, split_rollup)
 from ..schema import BusinessRules
@@ -42,7 +42,8 @@ def master(raw: RawInputs, rules: BusinessRules = BusinessRules()) -> DataFrame:
     (``raw_rollup_parts``), checkpointed as the line-level stage output,
     then totals, modes, J1 and the derived features on the small table."""
     ensure_checkpoint_dir(raw.sales.sparkSession)
-    parts = raw_rollup_parts(raw.sales, raw.inventory, raw.category_map).checkpoint(eager=True)
+    parts = stage_table(raw_rollup_parts(raw.sales, raw.inventory, raw.category_map),
+                        "rollup_parts")
     sales_agg, inv_agg = split_rollup(combined_rollup_finish(parts))
     return build_master(sales_agg, inv_agg, rules)
 
@@ -59,9 +60,9 @@ def rollups_from_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _ROLLUPS:
         ensure_checkpoint_dir(spark)
-        parts = combined_rollup_parts(tables.line_facts(spark, sf_dir),
-                                      dict(tables.TESTDATA_CATEGORY_MAP)).checkpoint(eager=True)
-        _ROLLUPS[key] = combined_rollup_finish(parts).checkpoint(eager=True)
+        parts = stage_table(combined_rollup_parts(tables.line_facts(spark, sf_dir),
+                                                  dict(tables.TESTDATA_CATEGORY_MAP)), "rollup_parts")
+        _ROLLUPS[key] = stage_table(combined_rollup_finish(parts), "rollups")
     return split_rollup(_ROLLUPS[key])
 
 
@@ -76,15 +77,15 @@ _STAGED: dict[tuple[str, str], DataFrame] = {}
 def staged_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The master table as a stage output: computed once per session and
     folder, then checkpointed (reliably, into the session's checkpoint
-    folder). It holds one row per month and segment whatever the line
-    volume, and every stage-2 step reads it several times (encoding fit,
+    folder, as a written table). It holds one row per month and segment
+    whatever the line volume, and every stage-2 step reads it several times (encoding fit,
     split, threshold, quantile, four models), so it is materialised instead
     of re-running the line-level joins; the cut lineage also means a lost
     executor never replays those joins."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STAGED:
         ensure_checkpoint_dir(spark)
-        _STAGED[key] = master_from_tables(spark, sf_dir).checkpoint(eager=True)
+        _STAGED[key] = stage_table(master_from_tables(spark, sf_dir), "master")
     return _STAGED[key]
 
 
@@ -101,7 +102,7 @@ def staged_model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     if key not in _FRAMES:
         frame = prep.with_class_label(prep.with_split(prep.model_frame(
             staged_master(spark, sf_dir))))
-        _FRAMES[key] = frame.checkpoint(eager=True)
+        _FRAMES[key] = stage_table(frame, "model_frame")
     return _FRAMES[key]
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -75,3 +76,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def stage_table(df, name: str):
+    """Materialise ``df`` as a parquet table under the session's checkpoint
+    folder and return the table read back: one job (``checkpoint()``
+    without a persisted parent computes its plan twice), a lineage cut,
+    and a columnar input for every later step. The folder is the shared
+    one the cluster names, so the table survives lost executors."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/shelfwise-stages/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
