@@ -24,10 +24,7 @@ def _rows(rows, cols=None):
     return sorted([tuple(str(_norm(x)) for x in r) for r in rows])
 
 
-ORACLE_SET = ["sales_rollup", "inventory_rollup", "master", "unmatched_inventory", "growth_mom",
-              "null_counts", "margin_describe", "model_frame", "fold_assign", "class_label",
-              "yearly_summary", "improvement_rules", "kpi_row", "segment_table_text",
-              "action_list", "classification_report"]
+ORACLE_SET = sorted(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", ORACLE_SET)
