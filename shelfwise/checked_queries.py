@@ -87,10 +87,6 @@ def unmatched_inventory(spark, sf_dir):
     return join_null_check(_joined(spark, sf_dir))
 
 
-def _master_cols(cols: list[str], doubles: tuple[str, ...]):
-    return cols, tuple(c for c in cols if c in doubles)
-
-
 def _register_master_slice(name: str, cols: list[str], doc: str):
     keep = KEY + cols
     dbl = tuple(c for c in cols if c in MASTER_DOUBLES)
@@ -140,9 +136,9 @@ def master(spark, sf_dir):
 from .operators import quality, report, summaries  # noqa: E402
 from .ml import prep  # noqa: E402
 from .oracle import model_sql, np_round_sql  # noqa: E402
-from .schema import (FEATURE_COLS, MSG_BELOW_COMPETITOR, MSG_HIGH_DISCOUNT,  # noqa: E402
-                     MSG_LOW_FULFILMENT, MSG_LOW_ONLINE, MSG_MARGIN_GAP, MSG_ON_TRACK,
-                     MSG_OVERSTOCK, MSG_UNDERSTOCK, TARGET_COLS)
+from .schema import (MSG_BELOW_COMPETITOR, MSG_HIGH_DISCOUNT, MSG_LOW_FULFILMENT,  # noqa: E402
+                     MSG_LOW_ONLINE, MSG_MARGIN_GAP, MSG_ON_TRACK, MSG_OVERSTOCK,
+                     MSG_UNDERSTOCK)
 
 _DESCRIBE = [("count", "CAST(count(x) AS DOUBLE)"), ("mean", "avg(x)"), ("std", "stddev_samp(x)"),
              ("min", "min(x)"), ("25%", "quantile_cont(x, 0.25)"), ("50%", "quantile_cont(x, 0.5)"),

@@ -100,44 +100,8 @@ def sales_rollup(sales: DataFrame) -> DataFrame:
     return _non_null_keys(df).groupBy(*KEY).agg(*_sales_measures())
 
 
-def combined_rollup(facts: DataFrame, category_map: dict[str, str] | None = None) -> DataFrame:
-    """A1 + A2 in one pass over line facts that carry both views.
-
-    ``facts`` has one row per line with the sales view's columns prefixed
-    ``s_`` (plus ``s_ok`` when the line has its order / customer) and the
-    inventory view's prefixed ``i_`` (plus ``i_ok`` when it has its
-    supplier). Each line is expanded into up to two keyed rows — kind S at
-    (order month, customer region, category) and kind I at (ship month,
-    supplier region, remapped category) — inside the same task, and one
-    ``groupBy(kind, K)`` with map-side partial aggregation computes both
-    roll-ups. Output: kind, K, all sales and inventory measures (only the
-    kind's own measures are meaningful)."""
-    types = dict(facts.dtypes)
-
-    def typed_null(name):
-        return F.lit(None).cast(types[name])
-
-    s_cols = [f"s_{n}" for n in SALES_INPUTS]
-    i_cols = [f"i_{n}" for n in INVENTORY_INPUTS]
-    cat = _remapped("i_Category", category_map)
-    sales_row = F.struct(
-        F.lit("S").alias("kind"), month_start("s_Sale_Date").alias("Month"),
-        F.col("s_Region").alias("Region"), F.col("s_Category").alias("Category"),
-        *[F.col(c).alias(c) for c in s_cols], *[typed_null(c).alias(c) for c in i_cols])
-    inv_row = F.struct(
-        F.lit("I").alias("kind"), month_start("i_Date").alias("Month"),
-        F.col("i_Region").alias("Region"), cat.alias("Category"),
-        *[typed_null(c).alias(c) for c in s_cols], *[F.col(c).alias(c) for c in i_cols])
-    rows = (facts.select(F.explode(F.array(F.when(F.col("s_ok"), sales_row),
-                                           F.when(F.col("i_ok"), inv_row))).alias("r"))
-            .select("r.*").filter(F.col("kind").isNotNull()))
-    return (_non_null_keys(rows).groupBy("kind", *KEY)
-            .agg(*_sales_measures(lambda n: f"s_{n}"),
-                 *_inventory_measures(lambda n: f"i_{n}")))
-
-
 def split_rollup(combined: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sales_agg, inv_agg) from :func:`combined_rollup`."""
+    """(sales_agg, inv_agg) from :func:`combined_rollup_finish`."""
     sales = combined.filter(F.col("kind") == "S").select(*KEY, *SALES_MEASURES)
     inv = combined.filter(F.col("kind") == "I").select(*KEY, *INVENTORY_MEASURES)
     return sales, inv
@@ -277,7 +241,8 @@ def raw_rollup_parts(sales: DataFrame, inventory: DataFrame,
 
 def combined_rollup_finish(parts: DataFrame) -> DataFrame:
     """Step 2 (small table): totals and modes per (kind, month, region,
-    category). Same output as :func:`combined_rollup`."""
+    category): kind, month, region, category, then every sales and
+    inventory measure (only the row kind's own measures are meaningful)."""
     keys = ["kind", *KEY]
     totals = parts.groupBy(*keys).agg(*_finals(_SALES_SPEC), *_finals(_INVENTORY_SPEC))
     for name, src in _MODES:
