@@ -17,7 +17,9 @@ from .ml import models
 from .operators import dashboard, summaries
 from .plans import master as master_plan
 from .plans import modelling
+from .functions.columns import np_round
 from .schema import ModelParams
+from .session import stage_table
 
 # Smaller forests / fewer boosting rounds for the per-round checks: the
 # modelling frame has ~2.4k rows at every scale, and the full configuration
@@ -69,18 +71,38 @@ def model_class(spark, sf_dir):
     return models.classification_report(f.cls.transform(f.frame.filter(F.col("is_test"))))
 
 
+_CV: dict[tuple, DataFrame] = {}
+
+
+def _cv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-validated R² per regressor, fitted once per session and staged."""
+    key = (spark.sparkContext.applicationId, sf_dir, CHECK_PARAMS)
+    if key not in _CV:
+        f = _fitted(spark, sf_dir)
+        p = f.params
+        parts = [models.cv_r2(f.frame, est, label, "_cv", p.folds)
+                 .select(F.lit(name).alias("Model"), "CV_R2")
+                 for name, est, label in (
+                     ("Sales_Amount", models.sales_estimator(p, "_cv"), models.SALES),
+                     ("Profit_Margin", models.margin_estimator(p, "_cv"), models.MARGIN),
+                     ("Sell_Quantity", models.qty_estimator(p, "_cv"), models.QTY))]
+        _CV[key] = stage_table(parts[0].unionByName(parts[1]).unionByName(parts[2]), "cv_scores")
+    return _CV[key]
+
+
 @register("cv_scores")
 def cv_scores(spark, sf_dir):
     """M8: 5-fold contiguous cross-validated R² of the three regressors."""
-    f = _fitted(spark, sf_dir)
-    p = f.params
-    parts = [models.cv_r2(f.frame, est, label, "_cv", p.folds).select(F.lit(name).alias("Model"),
-                                                                       "CV_R2")
-             for name, est, label in (
-                 ("Sales_Amount", models.sales_estimator(p, "_cv"), models.SALES),
-                 ("Profit_Margin", models.margin_estimator(p, "_cv"), models.MARGIN),
-                 ("Sell_Quantity", models.qty_estimator(p, "_cv"), models.QTY))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return _cv(spark, sf_dir)
+
+
+@register("model_scores")
+def model_scores(spark, sf_dir):
+    """The full score table — holdout MAE and R², CV R² (4 dp),
+    classifier accuracy — one row per model, sparse columns."""
+    holdout = models.score_table(_fitted(spark, sf_dir), with_cv=False).drop("CV_R2")
+    cv = _cv(spark, sf_dir).select("Model", np_round("CV_R2", 4).alias("CV_R2"))
+    return holdout.join(cv, "Model", "left").select("Model", "MAE", "R2", "CV_R2", "Accuracy")
 
 
 @register("feature_importance")
