@@ -1,8 +1,16 @@
 """Monthly roll-ups of the raw inputs to (Month, Region, Category).
 
-Both roll-ups are a single ``groupBy(K).agg`` (partial aggregation on the
-map side, one small shuffle on K). Rows with a NULL key are removed first,
-as pandas' ``groupby`` drops them.
+Two forms with the same results (tested against each other):
+
+* ``sales_rollup`` / ``inventory_rollup``: one ``groupBy(K).agg`` per input,
+  with ``mode`` for the weather / season columns. Used by the streaming
+  path (a streaming query allows one aggregation).
+* ``*_rollup_parts`` + ``combined_rollup_finish``: both inputs in one hash
+  aggregation of additive parts (line level, partial aggregation map-side,
+  one small shuffle), then totals and modes on the small result. Used by
+  the batch paths.
+
+Rows with a NULL key are removed first, as pandas' ``groupby`` drops them.
 """
 
 from __future__ import annotations

@@ -7,10 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.features import build_master
-from ..session import ensure_checkpoint_dir, stage_table
 from ..operators.rollups import (combined_rollup_finish, combined_rollup_parts, inventory_rollup,
                                  raw_rollup_parts, sales_rollup, split_rollup)
 from ..schema import BusinessRules
+from ..session import ensure_checkpoint_dir, stage_table
 from ..sources import files, tables
 
 
@@ -34,12 +34,13 @@ def raw_from_csv(spark: SparkSession, sales_path: str, inventory_path: str) -> R
 
 
 def rollups(raw: RawInputs) -> tuple[DataFrame, DataFrame]:
+    """A2 / A1 as two single aggregations (the streaming form; lazy)."""
     return sales_rollup(raw.sales), inventory_rollup(raw.inventory, raw.category_map)
 
 
 def master(raw: RawInputs, rules: BusinessRules = BusinessRules()) -> DataFrame:
     """Master table from the two raw inputs: one hash aggregation of both
-    (``raw_rollup_parts``), checkpointed as the line-level stage output,
+    (``raw_rollup_parts``), written as the line-level stage table,
     then totals, modes, J1 and the derived features on the small table."""
     ensure_checkpoint_dir(raw.sales.sparkSession)
     parts = stage_table(raw_rollup_parts(raw.sales, raw.inventory, raw.category_map),
@@ -55,8 +56,9 @@ def rollups_from_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     """(sales_agg, inv_agg) from one pass over the line table
     (``tables.line_facts`` → ``rollups.combined_rollup_parts``, a plain hash
     aggregation of additive parts). That small table is the line-level
-    stage's output: checkpointed once per session, so the totals, the two
-    modes and the J1 join, which all read it, never re-run the line pass."""
+    stage's output, written once per session as a stage table (and the
+    finished roll-up after it), so the totals, the two modes and the J1
+    join, which all read it, never re-run the line pass."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _ROLLUPS:
         ensure_checkpoint_dir(spark)
@@ -76,12 +78,11 @@ _STAGED: dict[tuple[str, str], DataFrame] = {}
 
 def staged_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The master table as a stage output: computed once per session and
-    folder, then checkpointed (reliably, into the session's checkpoint
-    folder, as a written table). It holds one row per month and segment
-    whatever the line volume, and every stage-2 step reads it several times (encoding fit,
-    split, threshold, quantile, four models), so it is materialised instead
-    of re-running the line-level joins; the cut lineage also means a lost
-    executor never replays those joins."""
+    folder and written as a parquet stage table in the session's checkpoint
+    folder. It holds one row per month and segment whatever the line
+    volume, and every stage-2 step reads it several times (encoding fit,
+    split, threshold, quantile, four models); the cut lineage also means a
+    lost executor never replays the line-level joins."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STAGED:
         ensure_checkpoint_dir(spark)
@@ -94,7 +95,7 @@ _FRAMES: dict[tuple[str, str], DataFrame] = {}
 
 def staged_model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoded modelling frame with split flag, training-median threshold
-    and class label (``prep``), checkpointed once per session: every
+    and class label (``prep``), written once per session as a stage table: every
     report, summary and dashboard query starts from it (the reference hands
     the same frame over as its predictions file)."""
     from ..ml import prep
