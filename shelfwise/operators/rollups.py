@@ -3,12 +3,11 @@
 Two forms with the same results (tested against each other):
 
 * ``sales_rollup`` / ``inventory_rollup``: one ``groupBy(K).agg`` per input,
-  with ``mode`` for the weather / season columns. Used by the streaming
-  path (a streaming query allows one aggregation).
-* ``*_rollup_parts`` + ``combined_rollup_finish``: both inputs in one hash
-  aggregation of additive parts (line level, partial aggregation map-side,
-  one small shuffle), then totals and modes on the small result. Used by
-  the batch paths.
+  with ``mode`` for the weather / season columns (reference form; tests).
+* ``*_parts`` + ``combined_rollup_finish``: a hash aggregation of additive
+  parts (line level, partial aggregation map-side, one small shuffle), then
+  totals and modes on the small result. Parts of disjoint inputs add up, so
+  the batch paths and the streaming path (parts per micro-batch) use it.
 
 Rows with a NULL key are removed first, as pandas' ``groupby`` drops them.
 """
@@ -228,23 +227,47 @@ def combined_rollup_parts(facts: DataFrame, category_map: dict[str, str] | None
     return _parts_by_key(rows)
 
 
-def raw_rollup_parts(sales: DataFrame, inventory: DataFrame,
-                     category_map: dict[str, str] | None = None) -> DataFrame:
-    """Step 1 over the two raw inputs (CSV contract): kind-tagged rows of
-    both, one hash aggregation of additive parts."""
-    s_types = {f"s_{n}": t for n, t in sales.dtypes}
-    i_types = {f"i_{n}": t for n, t in inventory.dtypes}
-    s_cols = [f"s_{n}" for n in SALES_INPUTS]
+def _sales_rows(sales: DataFrame, i_types: dict) -> DataFrame:
     i_cols = [f"i_{n}" for n in INVENTORY_INPUTS]
-    s_rows = sales.select(
+    return sales.select(
         F.lit("S").alias("kind"), month_start("Sale_Date").alias("Month"), "Region",
         F.col("Product_Category").alias("Category"),
         *[F.col(n).alias(f"s_{n}") for n in SALES_INPUTS], *_typed_nulls(i_types, i_cols))
-    i_rows = inventory.select(
+
+
+def _inventory_rows(inventory: DataFrame, s_types: dict,
+                    category_map: dict[str, str] | None) -> DataFrame:
+    s_cols = [f"s_{n}" for n in SALES_INPUTS]
+    return inventory.select(
         F.lit("I").alias("kind"), month_start("Date").alias("Month"), "Region",
         _remapped("Category", category_map).alias("Category"),
         *_typed_nulls(s_types, s_cols), *[F.col(n).alias(f"i_{n}") for n in INVENTORY_INPUTS])
-    return _parts_by_key(s_rows.unionByName(i_rows))
+
+
+def _contract_types() -> tuple[dict, dict]:
+    from ..schema import INVENTORY_SCHEMA, SALES_SCHEMA
+    s_types = {f"s_{f.name}": f.dataType.simpleString() for f in SALES_SCHEMA.fields}
+    i_types = {f"i_{f.name}": f.dataType.simpleString() for f in INVENTORY_SCHEMA.fields}
+    return s_types, i_types
+
+
+def raw_rollup_parts(sales: DataFrame, inventory: DataFrame,
+                     category_map: dict[str, str] | None = None) -> DataFrame:
+    """Step 1 over the two raw inputs (CSV contract): kind-tagged rows of
+    both, one hash aggregation of additive parts."""
+    s_types, i_types = _contract_types()
+    return _parts_by_key(_sales_rows(sales, i_types)
+                         .unionByName(_inventory_rows(inventory, s_types, category_map)))
+
+
+def sales_parts(sales: DataFrame) -> DataFrame:
+    """Step 1 over sales rows only (same schema as :func:`raw_rollup_parts`)."""
+    return _parts_by_key(_sales_rows(sales, _contract_types()[1]))
+
+
+def inventory_parts(inventory: DataFrame, category_map: dict[str, str] | None = None) -> DataFrame:
+    """Step 1 over inventory rows only (same schema as :func:`raw_rollup_parts`)."""
+    return _parts_by_key(_inventory_rows(inventory, _contract_types()[0], category_map))
 
 
 def combined_rollup_finish(parts: DataFrame) -> DataFrame:

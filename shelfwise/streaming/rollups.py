@@ -1,13 +1,16 @@
 """The monthly roll-ups (A1, A2) over raw files that keep arriving.
 
-The reference reads each raw file once; here the same operator functions
-run on a Structured Streaming file source, so a folder that receives new
-sales / inventory CSV drops keeps its roll-up current. The streaming
-aggregation state is one row per (Month, Region, Category) — months ×
-segments, independent of the line volume — so ``complete`` output mode is
-cheap, and each micro-batch overwrites the roll-up table with the full,
-exact result (idempotent on replay after a failure; progress lives in the
-checkpoint folder, which must be on shared storage on a cluster).
+The reference reads each raw file once; here the same roll-up runs on a
+Structured Streaming file source, so a folder that receives new sales /
+inventory CSV drops keeps its roll-up current. Each micro-batch is reduced
+to additive parts (``rollups.sales_parts`` / ``inventory_parts``: one hash
+aggregation, one row per kind, month, segment and mode value) and written
+to ``<out>/parts/<stream>/epoch=<n>``, overwriting that epoch's folder, so a
+batch replayed after a failure replaces rather than duplicates its parts.
+The roll-up tables are then re-finished from all parts — a small table,
+since parts hold one row per key and batch. No streaming aggregation state
+is kept; progress lives in the checkpoint folder (shared storage on a
+cluster).
 """
 
 from __future__ import annotations
@@ -16,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import nan_to_null
-from ..operators.rollups import inventory_rollup, sales_rollup
+from ..operators.rollups import (combined_rollup_finish, inventory_parts, sales_parts,
+                                 split_rollup)
 from ..schema import INVENTORY_CSV_SCHEMA, INVENTORY_RENAMES, SALES_SCHEMA
 from ..session import checkpoint_dir
 
@@ -29,37 +33,52 @@ def _csv_stream(spark: SparkSession, path: str, schema, max_files: int) -> DataF
         else df[f"`{f.name}`"] for f in schema.fields])
 
 
-def sales_rollup_stream(spark: SparkSession, sales_dir: str, max_files: int = 100) -> DataFrame:
-    """Streaming A2 over CSV files dropped into ``sales_dir``."""
-    return sales_rollup(_csv_stream(spark, sales_dir, SALES_SCHEMA, max_files))
+def sales_stream(spark: SparkSession, sales_dir: str, max_files: int = 100) -> DataFrame:
+    """Raw sales rows from CSV files dropped into ``sales_dir``."""
+    return _csv_stream(spark, sales_dir, SALES_SCHEMA, max_files)
 
 
-def inventory_rollup_stream(spark: SparkSession, inventory_dir: str,
-                            category_map: dict[str, str] | None = None,
-                            max_files: int = 100) -> DataFrame:
-    """Streaming A1 over CSV files dropped into ``inventory_dir``."""
-    raw = _csv_stream(spark, inventory_dir, INVENTORY_CSV_SCHEMA, max_files)
-    return inventory_rollup(raw.withColumnsRenamed(INVENTORY_RENAMES), category_map)
+def inventory_stream(spark: SparkSession, inventory_dir: str, max_files: int = 100) -> DataFrame:
+    """Raw inventory rows (renamed columns) from CSV files in ``inventory_dir``."""
+    return _csv_stream(spark, inventory_dir, INVENTORY_CSV_SCHEMA,
+                       max_files).withColumnsRenamed(INVENTORY_RENAMES)
 
 
-def start_rollup_table(rollup: DataFrame, out_path: str, name: str,
-                       checkpoint: str | None = None,
-                       trigger_seconds: int | None = None) -> StreamingQuery:
-    """Keep ``out_path`` (parquet) equal to the current roll-up.
+def finish_rollup(spark: SparkSession, parts_dir: str, kind: str) -> DataFrame:
+    """The ``kind`` roll-up ("sales" → sales_agg, else inv_agg) from every
+    part written so far under ``parts_dir``."""
+    parts = spark.read.parquet(parts_dir).drop("epoch")
+    sales_agg, inv_agg = split_rollup(combined_rollup_finish(parts))
+    return sales_agg if kind == "sales" else inv_agg
+
+
+def start_rollup_stream(raw: DataFrame, kind: str, out_dir: str, name: str,
+                        category_map: dict[str, str] | None = None,
+                        checkpoint: str | None = None,
+                        trigger_seconds: int | None = None) -> StreamingQuery:
+    """Keep ``<out_dir>/<kind>_rollup`` (parquet) current from a raw
+    ``kind`` ("sales" or "inventory") stream; its parts live under
+    ``<out_dir>/parts/<name>`` (one folder per stream, so two streams never
+    write the same files).
 
     ``checkpoint`` defaults to ``<spark.checkpoint.dir>/streams/<name>``."""
-    spark = rollup.sparkSession
+    spark = raw.sparkSession
     if checkpoint is None:
         base = checkpoint_dir(spark)
         if not base:
             raise ValueError("no checkpoint folder: pass one or set spark.checkpoint.dir")
         checkpoint = f"{base.rstrip('/')}/streams/{name}"
 
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+    parts_dir = f"{out_dir}/parts/{name}"
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        parts = sales_parts(batch) if kind == "sales" else inventory_parts(batch, category_map)
+        parts.write.mode("overwrite").parquet(f"{parts_dir}/epoch={epoch}")
+        rollup = finish_rollup(batch.sparkSession, parts_dir, kind)
+        rollup.write.mode("overwrite").parquet(f"{out_dir}/{kind}_rollup")
 
-    writer = (rollup.writeStream.outputMode("complete").queryName(name)
-              .option("checkpointLocation", checkpoint).foreachBatch(write))
+    writer = (raw.writeStream.queryName(name).option("checkpointLocation", checkpoint)
+              .foreachBatch(write))
     if trigger_seconds:
         writer = writer.trigger(processingTime=f"{trigger_seconds} seconds")
     return writer.start()

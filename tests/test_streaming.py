@@ -1,36 +1,43 @@
-"""Roll-ups over a file stream equal the batch roll-ups."""
+"""Roll-ups over file streams equal the batch roll-ups."""
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from shelfwise.operators import rollups
+from shelfwise.schema import INVENTORY_RENAMES
 from shelfwise.sources import tables
-from shelfwise.streaming.rollups import sales_rollup_stream, start_rollup_table
+from shelfwise.streaming.rollups import inventory_stream, sales_stream, start_rollup_stream
 
 
-def _rows(df):
-    return sorted(tuple(str(x) for x in r) for r in df.collect())
+def _rows(df, cols):
+    return sorted(tuple(str(x) for x in r) for r in df.select(cols).collect())
 
 
-def test_sales_rollup_stream_matches_batch(spark, tmp_path):
+def test_rollup_streams_match_batch(spark, tmp_path):
     sales = tables.sales_view(spark, SF_SMALL).cache()
-    src, out = str(tmp_path / "drop"), str(tmp_path / "rollup")
-    # two deliveries: lines of even and odd months
-    first = sales.filter(F.month("Sale_Date") % 2 == 0)
-    first.write.option("header", True).csv(src + "/part1")
-    stream = sales_rollup_stream(spark, src + "/*", max_files=2)
-    q = start_rollup_table(stream, out, "sales_rollup_test", checkpoint=str(tmp_path / "ck"))
-    q.processAllAvailable()
-    assert spark.read.parquet(out).count() == rollups.sales_rollup(first).count()
-    sales.filter(F.month("Sale_Date") % 2 == 1).write.option("header", True).csv(src + "/part2")
-    q.processAllAvailable()
-    q.stop()
-    got = spark.read.parquet(out)
-    want = rollups.sales_rollup(sales)
-    cols = ["Month", "Region", "Category", "Total_Qty_Sold", "Num_Transactions", "New_Customers",
-            "Online_Txn"]
-    assert _rows(got.select(cols)) == _rows(want.select(cols))
-    diff = (got.join(want.select("Month", "Region", "Category",
-                                 F.col("Total_Sales_Amount").alias("w")), ["Month", "Region", "Category"])
-            .filter(F.abs(F.col("Total_Sales_Amount") - F.col("w")) > 1e-6))
-    assert diff.count() == 0
+    inv = tables.inventory_view(spark, SF_SMALL).cache()
+    src, out = str(tmp_path / "drop"), str(tmp_path / "out")
+    back = {v: k for k, v in INVENTORY_RENAMES.items()}
+    # two deliveries of sales lines, one of inventory lines
+    sales.filter(F.month("Sale_Date") % 2 == 0).write.option("header", True).csv(src + "/s/1")
+    inv.withColumnsRenamed(back).write.option("header", True).csv(src + "/i/1")
+    qs = start_rollup_stream(sales_stream(spark, src + "/s/*", 2), "sales", out, "sales_t",
+                             checkpoint=str(tmp_path / "ck_s"))
+    qi = start_rollup_stream(inventory_stream(spark, src + "/i/*", 2), "inventory", out, "inv_t",
+                             tables.TESTDATA_CATEGORY_MAP, checkpoint=str(tmp_path / "ck_i"))
+    qs.processAllAvailable()
+    qi.processAllAvailable()
+    sales.filter(F.month("Sale_Date") % 2 == 1).write.option("header", True).csv(src + "/s/2")
+    qs.processAllAvailable()
+    qs.stop()
+    qi.stop()
+    got_s, got_i = spark.read.parquet(out + "/sales_rollup"), spark.read.parquet(out + "/inventory_rollup")
+    want_s = rollups.sales_rollup(sales)
+    want_i = rollups.inventory_rollup(inv, tables.TESTDATA_CATEGORY_MAP)
+    s_cols = ["Month", "Region", "Category", "Total_Qty_Sold", "Num_Transactions", "New_Customers",
+              "Online_Txn", "Total_Sales_Amount", "Avg_Unit_Cost"]
+    i_cols = ["Month", "Region", "Category", "Units_Sold_Online", "Weather_Mode", "Seasonality",
+              "Holiday_Days", "Inventory_Level"]
+    assert _rows(got_s, s_cols) == _rows(want_s, s_cols)
+    assert _rows(got_i, i_cols) == _rows(want_i, i_cols)
     sales.unpersist()
+    inv.unpersist()
