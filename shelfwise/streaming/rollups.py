@@ -52,6 +52,17 @@ def finish_rollup(spark: SparkSession, parts_dir: str, kind: str) -> DataFrame:
     return sales_agg if kind == "sales" else inv_agg
 
 
+def process_batch(batch: DataFrame, epoch: int, kind: str, out_dir: str, name: str,
+                  category_map: dict[str, str] | None = None) -> None:
+    """One micro-batch: write its parts for ``epoch`` (replacing any earlier
+    attempt of the same epoch), then re-finish ``<out_dir>/<kind>_rollup``."""
+    parts_dir = f"{out_dir}/parts/{name}"
+    parts = sales_parts(batch) if kind == "sales" else inventory_parts(batch, category_map)
+    parts.write.mode("overwrite").parquet(f"{parts_dir}/epoch={epoch}")
+    rollup = finish_rollup(batch.sparkSession, parts_dir, kind)
+    rollup.write.mode("overwrite").parquet(f"{out_dir}/{kind}_rollup")
+
+
 def start_rollup_stream(raw: DataFrame, kind: str, out_dir: str, name: str,
                         category_map: dict[str, str] | None = None,
                         checkpoint: str | None = None,
@@ -69,13 +80,8 @@ def start_rollup_stream(raw: DataFrame, kind: str, out_dir: str, name: str,
             raise ValueError("no checkpoint folder: pass one or set spark.checkpoint.dir")
         checkpoint = f"{base.rstrip('/')}/streams/{name}"
 
-    parts_dir = f"{out_dir}/parts/{name}"
-
     def write(batch: DataFrame, epoch: int) -> None:
-        parts = sales_parts(batch) if kind == "sales" else inventory_parts(batch, category_map)
-        parts.write.mode("overwrite").parquet(f"{parts_dir}/epoch={epoch}")
-        rollup = finish_rollup(batch.sparkSession, parts_dir, kind)
-        rollup.write.mode("overwrite").parquet(f"{out_dir}/{kind}_rollup")
+        process_batch(batch, epoch, kind, out_dir, name, category_map)
 
     writer = (raw.writeStream.queryName(name).option("checkpointLocation", checkpoint)
               .foreachBatch(write))
