@@ -3,9 +3,11 @@
 ``join_dimension`` broadcasts the dimension side only after proving a row
 bound on it: ``limit(n + 1).count()`` reads at most ``n + 1`` rows, so the
 check costs the same whether the table holds a hundred rows or a billion.
-Beyond the bound the join is left to the planner (sort-merge join on the
-key, with AQE splitting skewed partitions and switching to broadcast at run
-time if the shuffled side turns out small).
+Beyond the bound both sides are shuffled on the key and joined by hashing
+the dimension's partition (a dimension partition is small even when the
+table is not), which spares sorting the line-sized side; AQE splits a
+skewed key's partition. ``join_facts`` joins two line-scale tables with a
+sort-merge join (neither side's partition need fit in memory).
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
                                                   str(DEFAULT_BROADCAST_ROWS)))
     if max_rows > 0 and has_at_most(dim, max_rows):
         dim = F.broadcast(dim)
+    else:
+        dim = dim.hint("shuffle_hash")
     return fact.join(dim, on, how)
 
 

@@ -22,7 +22,7 @@ def test_broadcast_only_below_bound(spark):
         assert "BroadcastHashJoin" in _plan(small)
         big = joins.join_dimension(fact, dim, fact.k == dim.k2, max_rows=10)
         plan = _plan(big)
-        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        assert "BroadcastHashJoin" not in plan and "ShuffledHashJoin" in plan
         assert small.count() == big.count() == 50
         spark.conf.set(joins.BROADCAST_ROWS_SETTING, "0")             # session switch: never
         assert "BroadcastHashJoin" not in _plan(joins.join_dimension(fact, dim, fact.k == dim.k2))
