@@ -7,8 +7,10 @@ mapping is fixed (``FIXTURES.md`` §3) and mirrored by the oracle SQL.
 
 Plan shape (per view): the line table is the only large input. Dimension
 sides are broadcast only behind a row-count check (``join_dimension``);
-``orders`` and the per-customer first-order date are large and meet the line
-table through a sort-merge join on the order key (``join_facts``). The first-order date is a
+``orders`` meets the line table through a sort-merge join on the order key
+(``join_facts``); customers (with region and first-order date) meet
+``orders`` as a dimension: broadcast below the row bound, else a shuffled
+hash join built from the customer partition. The first-order date is a
 ``groupBy`` (partial aggregation, so a customer holding a third of all
 orders is combined map-side) rather than a window, which would put such a
 customer into one task.
@@ -69,7 +71,7 @@ def _orders_enriched(spark: SparkSession, sf_dir: str, geo: DataFrame) -> DataFr
                    .withColumnRenamed("o_custkey", "f_custkey"))
     customers = cust_region.join(first_order, cust_region.c_custkey == first_order.f_custkey)
     return (
-        join_facts(orders, customers, orders.o_custkey == customers.c_custkey)
+        join_dimension(orders, customers, orders.o_custkey == customers.c_custkey)
         .select(
             "o_orderkey", "Sale_Date", "Region",
             F.when(F.col("Sale_Date") == F.col("first_date"), F.lit("New"))
