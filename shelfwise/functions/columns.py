@@ -112,17 +112,19 @@ def py_round_sql(expr: str, digits: int) -> str:
 # query gives last-bit differences between runs, clusters and engines; when
 # a result is then rounded to cents, decimal-structured money sits on a .xx5
 # tie about once in a hundred and the last bit decides. ``dsum`` splits each
-# value at 2^-10: the integer part of x·2^10 is summed exactly as BIGINT, the
-# fraction in [0, 1) as a double (its rounding error is orders of magnitude
-# below one unit of the result). Valid for group totals below ~9e15; two
-# cheap aggregates per column, both inside codegen.
+# value at 2^-10: the integer part of x·2^10 (exact as BIGINT for |x| below
+# 9e15) is summed exactly as DECIMAL(38,0) — a BIGINT sum would overflow
+# once a group's total passes ~9e15, e.g. a skewed group at 100 TB — and
+# the fraction in [0, 1) as a double (its rounding error is orders of
+# magnitude below one unit of the result).
 _SPLIT_SCALE = float(2 ** 10)
+EXACT_TYPE = "decimal(38,0)"
 
 
 def dsum(c: Column | str) -> Column:
     y = col_(c) * F.lit(_SPLIT_SCALE)
     hi = F.floor(y)
-    return ((F.sum(hi.cast("bigint")).cast("double") + F.sum(y - hi))
+    return ((F.sum(hi.cast("bigint").cast(EXACT_TYPE)).cast("double") + F.sum(y - hi))
             / F.lit(_SPLIT_SCALE))
 
 
@@ -138,7 +140,7 @@ def davg(c: Column | str) -> Column:
 
 def dsum_sql(expr: str) -> str:
     y = f"(({expr}) * {_SPLIT_SCALE!r})"
-    return (f"((CAST(sum(CAST(floor({y}) AS BIGINT)) AS DOUBLE) "
+    return (f"((CAST(sum(CAST(CAST(floor({y}) AS BIGINT) AS {EXACT_TYPE.upper()})) AS DOUBLE) "
             f"+ sum({y} - floor({y}))) / {_SPLIT_SCALE!r})")
 
 
@@ -206,106 +208,3 @@ def grid_round_sql(expr: str, bits: int = 32) -> str:
     q = f"({top} * {2.0 ** -bits!r})"
     return (f"(CASE WHEN {x} = 0 THEN CAST(0.0 AS DOUBLE) "
             f"ELSE CAST(floor({x} / {q} + 0.5) AS DOUBLE) * {q} END)")
-
-
-# Exact, order-independent sums of doubles. Spark's ``sum`` of doubles
-# depends on the partitioning (the merge order of partial sums), so the same
-# query gives last-bit differences between runs, clusters and engines; when
-# a result is then rounded to cents, decimal-structured money sits on a .xx5
-# tie about once in a hundred and the last bit decides. ``dsum`` splits each
-# value at 2^-10: the integer part of x·2^10 is summed exactly as BIGINT, the
-# fraction in [0, 1) as a double (its rounding error is orders of magnitude
-# below one unit of the result). Valid for group totals below ~9e15; two
-# cheap aggregates per column, both inside codegen.
-_SPLIT_SCALE = float(2 ** 10)
-
-
-def dsum(c: Column | str) -> Column:
-    y = col_(c) * F.lit(_SPLIT_SCALE)
-    hi = F.floor(y)
-    return ((F.sum(hi.cast("bigint")).cast("double") + F.sum(y - hi))
-            / F.lit(_SPLIT_SCALE))
-
-
-def dsum0(c: Column | str) -> Column:
-    """:func:`dsum`, 0 for an empty or all-NULL group."""
-    return F.coalesce(dsum(c), F.lit(0.0))
-
-
-def davg(c: Column | str) -> Column:
-    """Mean from :func:`dsum` (NULL when no value is present)."""
-    return dsum(c) / F.nullif(F.count(col_(c)), F.lit(0))
-
-
-def dsum_sql(expr: str) -> str:
-    y = f"(({expr}) * {_SPLIT_SCALE!r})"
-    return (f"((CAST(sum(CAST(floor({y}) AS BIGINT)) AS DOUBLE) "
-            f"+ sum({y} - floor({y}))) / {_SPLIT_SCALE!r})")
-
-
-def dsum0_sql(expr: str) -> str:
-    return f"coalesce({dsum_sql(expr)}, CAST(0.0 AS DOUBLE))"
-
-
-def davg_sql(expr: str) -> str:
-    return f"({dsum_sql(expr)} / nullif(count({expr}), 0))"
-
-
-def np_round(c: Column | str, digits: int) -> Column:
-    """numpy's ``round``: rint(x·10^d) / 10^d (what pandas ``.round`` and
-    ``round()`` of a numpy float compute; ties of the scaled binary value go
-    to even)."""
-    scale = F.lit(float(10 ** digits))
-    return F.rint(col_(c) * scale) / scale
-
-
-def np_round_sql(expr: str, digits: int) -> str:
-    scale = f"{float(10 ** digits)!r}"
-    return f"(round_even(({expr}) * {scale}, 0) / {scale})"
-
-
-def py_format(c: Column | str, digits: int, thousands: bool = False) -> Column:
-    """``f"{x:.{d}f}"`` (``f"{x:,.{d}f}"`` with ``thousands``)."""
-    pattern = f"%{',' if thousands else ''}.{digits}f"
-    return F.format_string(pattern, py_round(c, digits))
-
-
-def py_format_sql(expr: str, digits: int, thousands: bool = False) -> str:
-    pattern = f"%{',' if thousands else ''}.{digits}f"
-    return f"printf('{pattern}', {py_round_sql(expr, digits)})"
-
-
-# --------------------------------------------------------------------------
-# Comparison grid.
-#
-# Two engines (or two Spark partitionings) sum floats in different orders and
-# disagree in the last bits. Decimal rounding cannot hide that here: retail
-# data is decimal-structured (2-dp prices averaged over 16 or 32 lines), so
-# exact means sit on decimal ties and a 1-ulp difference flips the digit.
-# ``grid_round`` keeps ``bits`` significant bits instead: scaling by a power
-# of two, adding 0.5 and flooring are exact operations, so both engines give
-# bit-identical output. Grid boundaries are odd multiples of 2^(e-bits); a
-# value with d decimals can only sit on one when e >= bits - d, so with 32
-# bits 4-dp money is safe below 2^28 (single precision, 24 bits, is not:
-# 1204208.6875 is a float midpoint).
-# --------------------------------------------------------------------------
-def grid_round(c: Column | str, bits: int = 32) -> Column:
-    x = col_(c)
-    a = F.abs(x)
-    e0 = F.floor(F.log2(a))
-    e = (F.when(F.pow(F.lit(2.0), e0) > a, e0 - 1)
-         .when(F.pow(F.lit(2.0), e0 + 1) <= a, e0 + 1)
-         .otherwise(e0))
-    q = F.pow(F.lit(2.0), e - F.lit(bits))
-    return F.when(x == 0, F.lit(0.0)).otherwise(F.floor(x / q + F.lit(0.5)).cast("double") * q)
-
-
-def grid_round_sql(expr: str, bits: int = 32) -> str:
-    x = f"({expr})"
-    a = f"abs({x})"
-    e0 = f"floor(log2(CASE WHEN {x} = 0 THEN 1.0 ELSE {a} END))"
-    e = (f"(CASE WHEN pow(2.0, {e0}) > {a} THEN {e0} - 1 "
-         f"WHEN pow(2.0, {e0} + 1) <= {a} THEN {e0} + 1 ELSE {e0} END)")
-    q = f"pow(2.0, {e} - {bits})"
-    return (f"(CASE WHEN {x} = 0 THEN CAST(0.0 AS DOUBLE) "
-            f"ELSE CAST(floor({x} / {q} + 0.5) AS DOUBLE) * {q} END)")

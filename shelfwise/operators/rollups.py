@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import davg, dsum0, month_start, sum0
+from ..functions.columns import EXACT_TYPE, davg, dsum0, month_start, sum0
 from ..schema import DEFAULT_CATEGORY_MAP, KEY
 
 
@@ -132,7 +132,8 @@ _SCALE = 1024.0   # same split as functions.columns.dsum
 def _exact_parts(col: str, name: str) -> list:
     y = F.col(col) * F.lit(_SCALE)
     hi = F.floor(y)
-    return [F.sum(hi.cast("bigint")).alias(f"{name}__hi"), F.sum(y - hi).alias(f"{name}__lo")]
+    return [F.sum(hi.cast("bigint").cast(EXACT_TYPE)).alias(f"{name}__hi"),
+            F.sum(y - hi).alias(f"{name}__lo")]
 
 
 def _exact_total(name: str) -> F.Column:
