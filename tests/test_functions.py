@@ -68,3 +68,10 @@ def test_null_discipline(spark):
 def test_month_short_name(spark):
     df = spark.createDataFrame([(1,), (12,), (13,)], "m int")
     assert [r[0] for r in df.select(C.month_short_name("m")).collect()] == ["Jan", "Dec", "13"]
+
+
+def test_dsum_no_overflow_on_large_totals(spark):
+    # 2000 × 1e13 = 2e16; scaled by 2^10 that is ~2e19, beyond a BIGINT sum
+    df = spark.range(2000).select((F.lit(1e13) + F.col("id").cast("double") * 0.25).alias("x"))
+    total = df.agg(C.dsum("x")).first()[0]
+    assert total == 2000 * 1e13 + 0.25 * sum(range(2000))
