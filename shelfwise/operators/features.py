@@ -17,9 +17,9 @@ from ..schema import KEY, SEGMENT, BusinessRules
 
 def join_master(sales_agg: DataFrame, inv_agg: DataFrame) -> DataFrame:
     """Left join on K. Keys are unique on both sides (both are group-by
-    outputs), so the row count equals sales_agg's. Both inputs are already
-    hash-partitioned on K by their aggregations, so the sort-merge join adds
-    no exchange; AQE turns it into a broadcast join when a side is small."""
+    outputs), so the row count equals sales_agg's. Both sides hold one row
+    per month and segment whatever the line volume; the planner (AQE)
+    broadcasts the inventory side by its measured size."""
     return sales_agg.join(inv_agg, KEY, "left")
 
 
