@@ -46,13 +46,13 @@ def main(argv: list[str] | None = None) -> None:
     ensure_sql_settings(spark)
     ensure_checkpoint_dir(spark)
     if args.cmd == "master":
-        if args.tables:
-            raw = master_plan.raw_from_tables(spark, args.tables)
+        if args.tables:      # one pass over the line table
+            table = master_plan.master_from_tables(spark, args.tables)
         elif args.sales and args.inventory:
-            raw = master_plan.raw_from_csv(spark, args.sales, args.inventory)
+            table = master_plan.master(master_plan.raw_from_csv(spark, args.sales, args.inventory))
         else:
             ap.error("give --tables or both --sales and --inventory")
-        path = master_plan.write_master(master_plan.master(raw), args.out, args.format)
+        path = master_plan.write_master(table, args.out, args.format)
         print(f"master table written to {path}")
     else:
         p = ModelParams()
