@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, urls
+from . import decontaminate, packing, urls
 
 QUERIES = {
     "op1_url_filters": urls.query,
+    "op2_best_fit_packing": packing.query,
     "op10_decontamination": decontaminate.query,
 }
 
