@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, packing, urls
+from . import decontaminate, packing, substrings, urls
 
 QUERIES = {
     "op1_url_filters": urls.query,
     "op2_best_fit_packing": packing.query,
+    "op3_substring_dedup": substrings.query,
     "op10_decontamination": decontaminate.query,
 }
 

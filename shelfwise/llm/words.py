@@ -104,7 +104,7 @@ def sequence_hashes(hashes: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
     power, inverse = _powers(_RADIX_SEQ, n)
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(values * power, out=sums[1:])
-    return mix((sums[size:] - sums[:-size]) * inverse[:n - size + 1] + np.uint64(size) * _MUL)
+    return mix((sums[size:] - sums[:-size]) * inverse[:n - size + 1] + np.uint64(size * int(_MUL) % (1 << 64)))
 
 
 def within(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
