@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, packing, substrings, urls
+from . import decontaminate, ngram_join, packing, substrings, urls
 
 QUERIES = {
     "op1_url_filters": urls.query,
     "op2_best_fit_packing": packing.query,
     "op3_substring_dedup": substrings.query,
+    "op7_ngram_jaccard_join": ngram_join.query,
     "op10_decontamination": decontaminate.query,
 }
 
