@@ -30,9 +30,10 @@ rows are separate documents; an empty table gives no rows.
 from __future__ import annotations
 
 import bisect
-import itertools
 import math
+import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -48,9 +49,11 @@ from .common import partitions, read, stage_table
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 
 _BLANK = re.compile(r"[ \t\n\r]+")
+_CONTROL = re.compile("[\x1c-\x1f]")
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -58,30 +61,68 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class Encoder:
+class Encoder(dict):
     """Whole-text ids as little-endian unsigned 32-bit bytes.
 
     This tokenizer drops white space and never joins what it parts, so a
-    text's ids are those of its blank-separated chunks in turn; each distinct
-    chunk is encoded once while it stays in the cache."""
+    text's ids are those of its blank-separated chunks in turn. The dict
+    keeps the ids of chunks met before (two generations of ``CACHE_WORDS``).
+    A plain chunk (Latin-1 letters and perhaps one full stop or comma, where
+    normalising means lower-casing and the letters are one pre-token) goes
+    straight to the tokenizer's BPE model; any other through all its steps."""
 
     def __init__(self, path: str):
-        import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {"": b""}
+        self.model = self.tokenizer.model
+        self.older: dict[str, bytes] = {}
+        # the byte-level alphabet: each byte's stand-in character, as the library maps it
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = str.maketrans({c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x100)})
+
+    def __missing__(self, chunk: str) -> bytes:
+        out = self.older.get(chunk)
+        if out is None:
+            plain = _PLAIN.fullmatch(chunk)
+            if plain is None:
+                out = self.pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+            else:
+                word, end = plain.groups()
+                lower = word.lower()
+                if end or lower != chunk:
+                    out = self[lower] + (self[end] if end else b"")
+                else:
+                    out = self.pack([t.id for t in self.model.tokenize(
+                        lower if lower.isascii() else lower.translate(self.letters))])
+        if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
+        if len(chunk) <= 64:
+            self[chunk] = out
+        return out
+
+    @staticmethod
+    def pack(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         for text in texts:
-            chunks = _BLANK.split(text or "")
-            if len(self.cache) > CACHE_WORDS:
-                self.cache = {"": b""}
-            missing = list(set(chunks) - self.cache.keys())
-            for some in itertools.batched(missing, 4096):
-                for word, e in zip(some, self.tokenizer.encode_batch_fast(list(some), add_special_tokens=False)):
-                    self.cache[word] = np.array(e.ids, dtype="<u4").tobytes()
-            yield b"".join(map(self.cache.__getitem__, chunks))
+            text = text or ""
+            # str.split also parts at U+001C..1F, which this tokenizer doesn't count as white space
+            chunks = text.split() if _CONTROL.search(text) is None else _BLANK.split(text)
+            yield b"".join(map(self.__getitem__, chunks))
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker process's encoder for this file; it outlives a task, so later tasks find words met before."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 PIECES = T.StructType([
@@ -99,7 +140,7 @@ def tokenize(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
     schema = T.StructType([*PIECES.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]) if with_ids else PIECES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path)
+        encode = encoder(path)
         for batch in batches:
             rows: list[list] = [[] for _ in schema]
             for key, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
