@@ -82,8 +82,13 @@ class Words:
         power, inverse = _powers(_RADIX, len(buf))
         sums = np.zeros(len(buf) + 1, dtype=np.uint64)
         np.cumsum(_BYTE_VALUES[buf] * power, out=sums[1:])
-        length = (self.end - self.start).astype(np.uint64)
-        self.hash = mix((sums[self.end] - sums[self.start]) * inverse[self.start] + length * _MUL)
+        self._sums, self._inverse = sums, inverse
+        self.hash = self.hash_of(self.start, self.end)
+
+    def hash_of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hash of any stretches of ``data``; equal bytes give equal values."""
+        length = (end - start).astype(np.uint64)
+        return mix((self._sums[end] - self._sums[start]) * self._inverse[start] + length * _MUL)
 
     def __len__(self) -> int:
         return len(self.hash)
