@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontaminate, ngram_join, packing, substrings, urls
+from . import decontaminate, langid, ngram_join, packing, substrings, toxicity, urls
 
 QUERIES = {
     "op1_url_filters": urls.query,
     "op2_best_fit_packing": packing.query,
     "op3_substring_dedup": substrings.query,
+    "op5_language_id": langid.query,
     "op7_ngram_jaccard_join": ngram_join.query,
+    "op9_toxicity": toxicity.query,
     "op10_decontamination": decontaminate.query,
 }
 

@@ -127,7 +127,7 @@ def mark_tokens(w: Words, toxic: np.ndarray, rows: np.ndarray, which: np.ndarray
     bad = np.bincount(number, weights=toxic[one[:, 0].astype(np.int64)])
     every = np.bincount(number)
     rate = (bad / max(1, toxic.sum())) / (bad / max(1, toxic.sum()) + (every - bad) / max(1, (1 - toxic).sum()))
-    mine = keys[(bad >= max(4, 0.02 * toxic.sum())) & (rate >= 0.97)]
+    mine = keys[(bad >= max(3, 0.02 * toxic.sum())) & (rate >= 0.97)]
     k = np.minimum(np.searchsorted(mine, rows), max(len(mine) - 1, 0))
     hit = (mine[k] == rows).any(axis=1) if len(mine) else np.zeros(len(rows), dtype=bool)
     return hit[which] & (toxic[doc] == 1)
