@@ -69,7 +69,10 @@ def read_answers(answers, names: np.ndarray, n: int) -> np.ndarray:
 def shared(frame: DataFrame, names_of: Callable[..., tuple[np.ndarray, np.ndarray | None]], label: str) -> DataFrame:
     """(block, answers) for the blocks of ``frame`` that have any shared name.
     ``names_of`` gives a row's distinct names, in an order that it always
-    gives them in, and perhaps a second array of values that must agree too."""
+    gives them in, and perhaps a second array of values that must agree too
+    (``names_of.wide``). With ``names_of.short`` only the upper 32 bits travel
+    beside the bucket: names may then be called shared that are not, evenly
+    for all that hold them."""
     n = partitions(frame.sparkSession) * 2
     columns = frame.columns
 
@@ -81,13 +84,14 @@ def shared(frame: DataFrame, names_of: Callable[..., tuple[np.ndarray, np.ndarra
                 which, sent = [], []
                 for bucket, at in buckets_of(names, n):
                     which.append(bucket)
-                    sent.append(names[at].tobytes() + (more[at].tobytes() if more is not None else b""))
+                    mine = (names[at] >> np.uint64(32)).astype(np.uint32) if short else names[at]
+                    sent.append(mine.tobytes() + (more[at].tobytes() if more is not None else b""))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([values["block"]] * len(which), pa.int64()), pa.array(which, pa.int32()),
                      pa.array(sent, pa.binary())], names=["block", "bucket", "names"])
 
     def answer(group: pd.DataFrame) -> pd.DataFrame:
-        sent = [np.frombuffer(x, dtype=np.uint64) for x in group["names"]]
+        sent = [np.frombuffer(x, dtype=np.uint32 if short else np.uint64) for x in group["names"]]
         if wide:
             first = np.concatenate([s[:len(s) // 2] for s in sent])
             second = np.concatenate([s[len(s) // 2:] for s in sent])
@@ -108,7 +112,7 @@ def shared(frame: DataFrame, names_of: Callable[..., tuple[np.ndarray, np.ndarra
                 rows.append((block, bucket, np.packbits(mine).tobytes()))
         return pd.DataFrame(rows, columns=["block", "bucket", "bits"])
 
-    wide = getattr(names_of, "wide", False)
+    wide, short = getattr(names_of, "wide", False), getattr(names_of, "short", False)
     sent = frame.mapInArrow(send, "block bigint, bucket int, names binary")
     answers = sent.groupBy("bucket").applyInPandas(answer, "block bigint, bucket int, bits binary")
     return stage_table(answers.groupBy("block").agg(
