@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, langid, ngram_join, packing, substrings, toxicity, urls
+from . import decontaminate, langid, neighbours, ngram_join, packing, substrings, toxicity, urls
 
 QUERIES = {
     "op1_url_filters": urls.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_substring_dedup": substrings.query,
     "op5_language_id": langid.query,
     "op7_ngram_jaccard_join": ngram_join.query,
+    "op8_nearest_neighbours": neighbours.query,
     "op9_toxicity": toxicity.query,
     "op10_decontamination": decontaminate.query,
 }
