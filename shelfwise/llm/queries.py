@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
-from . import decontaminate, langid, neighbours, ngram_join, packing, substrings, toxicity, urls
+import corpus_pipeline
+
+from . import decontaminate, langid, neighbours, ngram_join, packing, pii, preferences, substrings, toxicity, urls
 
 QUERIES = {
     "op1_url_filters": urls.query,
     "op2_best_fit_packing": packing.query,
     "op3_substring_dedup": substrings.query,
+    "op4_chat_formatting": preferences.query,
     "op5_language_id": langid.query,
+    "op6_pii": pii.query,
     "op7_ngram_jaccard_join": ngram_join.query,
     "op8_nearest_neighbours": neighbours.query,
     "op9_toxicity": toxicity.query,
     "op10_decontamination": decontaminate.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL = {
     "op1_url_filters": urls.SQL,
+    "op4_chat_formatting": preferences.SQL,
 }
