@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 from .plans import master as master_plan
 from .plans import modelling
 from .schema import ModelParams
-from .session import ensure_checkpoint_dir, ensure_sql_settings
+from .session import ensure_checkpoint_dir, ensure_sql_settings, remove_stages
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -63,6 +63,7 @@ def main(argv: list[str] | None = None) -> None:
         if args.no_cv:
             p = replace(p, cv=False)
         modelling.run(spark, args.out, p, args.format).show(truncate=False)
+    remove_stages(spark)
 
 
 if __name__ == "__main__":

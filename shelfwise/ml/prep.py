@@ -13,6 +13,7 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import exact_quantiles
 from ..operators.joins import join_dimension
 from ..schema import ENCODED_COLS, FEATURE_COLS, SEGMENT, TARGET_COLS, ModelParams
 
@@ -94,8 +95,7 @@ def with_folds(df: DataFrame, k: int = 5) -> DataFrame:
 
 def train_threshold(df_split: DataFrame, target: str = "Net_Profit_Margin") -> DataFrame:
     """Median target over the training rows only (one row)."""
-    return (df_split.filter(~F.col("is_test"))
-            .agg(F.median(target).alias("Profit_Threshold")))
+    return exact_quantiles(df_split.filter(~F.col("is_test")), {"Profit_Threshold": (target, 0.5)})
 
 
 def with_class_label(df_split: DataFrame, target: str = "Net_Profit_Margin") -> DataFrame:
@@ -115,9 +115,9 @@ def median_fill(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Fill NULLs of each column with its exact (interpolated) median.
     After ``model_frame`` drops incomplete rows this changes nothing (as in
     the reference); it is kept for frames scored without that drop. All
-    medians come from one aggregation, broadcast as a single row."""
+    medians come from one sorted pass, broadcast as a single row."""
     cols = FEATURE_COLS if cols is None else cols
-    med = F.broadcast(df.agg(*[F.median(c).alias(f"_med_{i}") for i, c in enumerate(cols)]))
+    med = F.broadcast(exact_quantiles(df, {f"_med_{i}": (c, 0.5) for i, c in enumerate(cols)}))
     out = df.crossJoin(med)
     out = out.select(*[
         F.coalesce(F.col(c), F.col(f"_med_{cols.index(c)}").cast(t)).alias(c) if c in cols

@@ -1,10 +1,11 @@
-"""Registered model queries (rows-only: tree training is not SQL).
-
-Every query reads the whole driver tables, builds the master table, and
-fits the four models with ``CHECK_PARAMS``. Fits are memoised per
-(session, folder) so the queries of one check run share them; the library
-default (``ModelParams()``) is the reference configuration of 200 trees /
-rounds, used by ``plans.modelling`` and the CLI.
+"""Registered model queries (rows-only: tree training is not SQL; the same
+outputs on a closed-form scorer are oracle-checked in ``standin_queries``).
+
+Every query reads the whole driver tables and fits with the reference
+configuration (``ModelParams()``: 200 trees or rounds, five folds). The
+training frame, each fitted model and the cross-validation are kept per
+session, folder and state of its tables (``plans.master.stage_key``), so the
+queries of one check run share them and replaced tables are fitted anew.
 """
 
 from __future__ import annotations
@@ -13,81 +14,86 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .catalog import register
+from .functions.columns import np_round
 from .ml import models
 from .operators import dashboard, summaries
 from .plans import master as master_plan
 from .plans import modelling
-from .functions.columns import np_round
 from .schema import ModelParams
 from .session import stage_table
 
-# Smaller forests / fewer boosting rounds for the per-round checks: the
-# modelling frame has ~2.4k rows at every scale, and the full configuration
-# costs ~3 minutes of fitting (plus 15 cross-validation fits).
-CHECK_PARAMS = ModelParams(sales_trees=20, qty_trees=20, cls_trees=20, gbt_rounds=20)
+PARAMS = ModelParams()
+
+_FRAMES: dict[tuple, DataFrame] = {}
+_MODELS: dict[str, dict[tuple, object]] = {name: {} for name in models.ESTIMATORS}
+
+
+def _frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return master_plan.remember(_FRAMES, master_plan.stage_key(spark, sf_dir), lambda: models.training_frame(
+        master_plan.staged_master(spark, sf_dir), PARAMS))
+
 
-_CACHE: dict[tuple, models.Fitted] = {}
+def _model(spark: SparkSession, sf_dir: str, which: str):
+    return master_plan.remember(_MODELS[which], master_plan.stage_key(spark, sf_dir),
+                                lambda: models.fit_one(_frame(spark, sf_dir), which, PARAMS))
 
 
-def _fitted(spark: SparkSession, sf_dir: str, params: ModelParams = CHECK_PARAMS) -> models.Fitted:
-    key = (spark.sparkContext.applicationId, sf_dir, params)
-    if key not in _CACHE:
-        master = master_plan.staged_master(spark, sf_dir)
-        _CACHE[key] = models.fit_models(master, params)
-    return _CACHE[key]
+def _fitted(spark: SparkSession, sf_dir: str) -> models.Fitted:
+    """All four models; those not fitted yet are fitted side by side."""
+    key = master_plan.stage_key(spark, sf_dir)
+    frame = _frame(spark, sf_dir)
+    missing = [m for m in models.ESTIMATORS if key not in _MODELS[m]]
+    train = frame.filter(~F.col("is_test"))
+    done = models.fit_all([(models.ESTIMATORS[m](PARAMS), train) for m in missing]) if missing else []
+    for m, fitted in zip(missing, done):
+        master_plan.remember(_MODELS[m], key, lambda fitted=fitted: fitted)
+    return models.Fitted(**{m: _MODELS[m][key] for m in models.ESTIMATORS}, frame=frame, params=PARAMS)
 
 
-def _holdout(fitted: models.Fitted, model, label: str, pred: str, name: str) -> DataFrame:
-    test = fitted.frame.filter(F.col("is_test"))
-    return models.regression_metrics(model.transform(test), label, pred).select(
+def _holdout(spark, sf_dir, which: str, label: str, pred: str, name: str) -> DataFrame:
+    test = _frame(spark, sf_dir).filter(F.col("is_test"))
+    return models.regression_metrics(_model(spark, sf_dir, which).transform(test), label, pred).select(
         F.lit(name).alias("Model"), "MAE", "R2")
 
 
 @register("model_sales")
 def model_sales(spark, sf_dir):
     """M2 + M6-M7: sales forest, holdout MAE and R²."""
-    f = _fitted(spark, sf_dir)
-    return _holdout(f, f.sales, models.SALES, "Predicted_Sales", "Sales_Amount")
+    return _holdout(spark, sf_dir, "sales", models.SALES, "Predicted_Sales", "Sales_Amount")
 
 
 @register("model_margin")
 def model_margin(spark, sf_dir):
     """M3 + M6-M7: margin boosting, holdout MAE and R²."""
-    f = _fitted(spark, sf_dir)
-    return _holdout(f, f.margin, models.MARGIN, "Predicted_Margin_Pct", "Profit_Margin")
+    return _holdout(spark, sf_dir, "margin", models.MARGIN, "Predicted_Margin_Pct", "Profit_Margin")
 
 
 @register("model_quantity")
 def model_quantity(spark, sf_dir):
     """M4 + M6-M7: quantity forest, holdout MAE and R²."""
-    f = _fitted(spark, sf_dir)
-    return _holdout(f, f.qty, models.QTY, "_pred_qty", "Sell_Quantity")
+    return _holdout(spark, sf_dir, "qty", models.QTY, "_pred_qty", "Sell_Quantity")
 
 
 @register("model_class")
 def model_class(spark, sf_dir):
     """M5 + M9-M10: profit classifier, holdout classification report."""
-    f = _fitted(spark, sf_dir)
-    return models.classification_report(f.cls.transform(f.frame.filter(F.col("is_test"))))
+    test = _frame(spark, sf_dir).filter(F.col("is_test"))
+    return models.classification_report(_model(spark, sf_dir, "cls").transform(test))
 
 
 _CV: dict[tuple, DataFrame] = {}
 
 
 def _cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cross-validated R² per regressor, fitted once per session and staged."""
-    key = (spark.sparkContext.applicationId, sf_dir, CHECK_PARAMS)
-    if key not in _CV:
-        f = _fitted(spark, sf_dir)
-        p = f.params
-        parts = [models.cv_r2(f.frame, est, label, "_cv", p.folds)
-                 .select(F.lit(name).alias("Model"), "CV_R2")
-                 for name, est, label in (
-                     ("Sales_Amount", models.sales_estimator(p, "_cv"), models.SALES),
-                     ("Profit_Margin", models.margin_estimator(p, "_cv"), models.MARGIN),
-                     ("Sell_Quantity", models.qty_estimator(p, "_cv"), models.QTY))]
-        _CV[key] = stage_table(parts[0].unionByName(parts[1]).unionByName(parts[2]), "cv_scores")
-    return _CV[key]
+    """Cross-validated R² per regressor, staged."""
+    def make():
+        frame, p = _frame(spark, sf_dir), PARAMS
+        parts = models.cv_all(frame, [
+            ("Sales_Amount", models.sales_estimator(p, "_cv"), models.SALES),
+            ("Profit_Margin", models.margin_estimator(p, "_cv"), models.MARGIN),
+            ("Sell_Quantity", models.qty_estimator(p, "_cv"), models.QTY)], p.folds)
+        return stage_table(parts, "cv_scores")
+    return master_plan.remember(_CV, master_plan.stage_key(spark, sf_dir), make)
 
 
 @register("cv_scores")
@@ -125,14 +131,14 @@ def monthly_summary_scored(spark, sf_dir):
 
 @register("score_union")
 def score_union(spark, sf_dir):
-    """Sparse model score table (holdout metrics, no CV)."""
-    return dashboard.score_union(models.score_table(_fitted(spark, sf_dir), with_cv=False))
+    """Sparse model score table."""
+    return dashboard.score_union(model_scores(spark, sf_dir))
 
 
 @register("score_cards")
 def score_cards(spark, sf_dir):
     """Model score cards from the score table."""
-    return dashboard.score_cards(models.score_table(_fitted(spark, sf_dir), with_cv=False))
+    return dashboard.score_cards(model_scores(spark, sf_dir))
 
 
 @register("top_features")

@@ -20,14 +20,23 @@ from ..schema import (CURRENCY, HIGH_PROFIT, IMPORTANCE_LABELS, LAKH, MODEL_CARD
 
 # ------------------------------------------------------------------ filters
 def apply_filters(df: DataFrame, filters: Filters = Filters()) -> DataFrame:
-    """Region / category membership and an optional year."""
+    """Region / category membership and an optional year. The year is
+    the frame's ``Year``, or that of its ``Month``; a year filter on a frame
+    that has neither is an error (the report has none: filter it by
+    ``filters.without_year()``)."""
     cond = F.lit(True)
     if filters.regions is not None:
         cond = cond & F.col("Region").isin(list(filters.regions))
     if filters.categories is not None:
         cond = cond & F.col("Category").isin(list(filters.categories))
-    if filters.year is not None and "Year" in df.columns:
-        cond = cond & (F.col("Year") == filters.year)
+    if filters.year is not None:
+        if "Year" in df.columns:
+            year = F.col("Year")
+        elif "Month" in df.columns:
+            year = F.year("Month")
+        else:
+            raise ValueError("a year filter needs a Year or Month column")
+        cond = cond & (year == filters.year)
     return df.filter(cond)
 
 
@@ -52,6 +61,8 @@ def with_month_parts(preds: DataFrame) -> DataFrame:
 
 
 def _rank(df: DataFrame, *order) -> DataFrame:
+    """``rank`` over one row per segment, month or region: their number is the
+    categories', not the data's, so the window's single task stays small."""
     return df.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
@@ -79,10 +90,10 @@ def kpi_row(preds_f: DataFrame) -> DataFrame:
 
 
 def monthly_trend(monthly_f: DataFrame) -> DataFrame:
-    """D2 (A10, F26, O5): revenue and profit by month number."""
+    """D2 (A10, F26, O5): revenue and profit by month number, in that order."""
     t = monthly_f.groupBy("MonthNum").agg(dsum("Monthly_Sales").alias("Revenue"),
                                           dsum("Monthly_Profit").alias("Profit"))
-    return t.withColumn("Month", month_short_name("MonthNum"))
+    return t.withColumn("Month", month_short_name("MonthNum")).orderBy("MonthNum")
 
 
 def sales_by_category(preds_f: DataFrame) -> DataFrame:
@@ -230,9 +241,10 @@ def score_cards(scores: DataFrame) -> DataFrame:
 
 def top_features(fi: DataFrame, k: int = 12) -> DataFrame:
     """D15 (O3): the k most important features of the sales model (top-k
-    is the feature; ties broken by name)."""
-    return _rank(fi.select("Feature", "Importance_Sales"),
-                 F.desc("Importance_Sales"), "Feature").filter(F.col("rank") <= k)
+    is the feature; ties broken by name). Each task hands on its own k; only
+    those are ranked."""
+    top = fi.select("Feature", "Importance_Sales").orderBy(F.desc("Importance_Sales"), "Feature").limit(k)
+    return _rank(top, F.desc("Importance_Sales"), "Feature")
 
 
 def importance_long(fi: DataFrame, k: int = 10) -> DataFrame:

@@ -1,13 +1,14 @@
 """Join helpers.
 
-``join_dimension`` broadcasts the dimension side only after proving a row
-bound on it: ``limit(n + 1).count()`` reads at most ``n + 1`` rows, so the
-check costs the same whether the table holds a hundred rows or a billion.
-Beyond the bound both sides are shuffled on the key and joined by hashing
-the dimension's partition (a dimension partition is small even when the
-table is not), which spares sorting the line-sized side; AQE splits a
-skewed key's partition. ``join_facts`` joins two line-scale tables with a
-sort-merge join (neither side's partition need fit in memory).
+``join_dimension`` is a plain equi-join: no hint and no size check of its
+own. Spark broadcasts the smaller side when its measured size lies below
+``spark.sql.autoBroadcastJoinThreshold`` (before the run from file sizes,
+and again at run time from shuffle sizes under AQE); beyond it the sides are
+shuffled on the key and sort-merged, which spills, and AQE splits a skewed
+key's partition as long as both sides come straight from an exchange.
+``fresh_exchange`` makes sure of that for a side that is already
+partitioned by the key. ``join_facts`` joins two line-scale tables with a
+sort-merge join, never a broadcast.
 """
 
 from __future__ import annotations
@@ -15,37 +16,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a dimension is shipped to every task. At ~50 bytes
-# per projected row this is ~100 MB in the worst case. A session can lower
-# it with the setting below (0 turns checked broadcasts off).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-BROADCAST_ROWS_SETTING = "shelfwise.broadcast.maxRows"
 
-
-_BOUNDS: dict[tuple, bool] = {}
-
-
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """True when ``df`` has no more than ``rows`` rows (reads ≤ rows+1).
-    Answers are remembered per session and plan, so a dimension used by
-    several joins is counted once."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), rows)
-    if key not in _BOUNDS:
-        _BOUNDS[key] = df.limit(rows + 1).count() <= rows
-    return _BOUNDS[key]
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join ``fact`` to ``dim``; Spark picks the strategy by measured size."""
+    return fact.join(dim, on, how)
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int | None = None) -> DataFrame:
-    """Join ``fact`` to ``dim``, broadcasting ``dim`` only behind a size check."""
-    if max_rows is None:
-        max_rows = int(fact.sparkSession.conf.get(BROADCAST_ROWS_SETTING,
-                                                  str(DEFAULT_BROADCAST_ROWS)))
-    if max_rows > 0 and has_at_most(dim, max_rows):
-        dim = F.broadcast(dim)
-    else:
-        dim = dim.hint("shuffle_hash")
-    return fact.join(dim, on, how)
+def fresh_exchange(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with its integer key recomputed (two bitwise negations), so that
+    Spark does not take it as partitioned by the key any more and plans an
+    exchange below the next join on it. AQE splits a hot key only between two
+    exchanges: without this a key that holds a third of the other side's rows
+    would stay in one task."""
+    return df.withColumn(key, F.bitwise_not(F.bitwise_not(F.col(key))))
 
 
 def join_facts(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:

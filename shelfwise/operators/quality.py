@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import np_round
+from ..functions.quantiles import exact_quantiles
 
 
 def join_null_check(joined: DataFrame, probe: str = "Inventory_Level") -> DataFrame:
@@ -17,18 +18,17 @@ def join_null_check(joined: DataFrame, probe: str = "Inventory_Level") -> DataFr
 def describe_column(df: DataFrame, column: str, digits: int = 2) -> DataFrame:
     """Count / mean / std / min / 25 % / 50 % / 75 % / max with exact,
     linearly interpolated quartiles (``summary()`` would approximate them),
-    as one (statistic, value) row each. One aggregation pass."""
+    as one (statistic, value) row each."""
     x = F.col(column)
     stats = df.agg(
         F.count(x).cast("double").alias("count"),
         F.avg(x).alias("mean"),
         F.stddev_samp(x).alias("std"),
         F.min(x).alias("min"),
-        F.percentile(x, 0.25).alias("25%"),
-        F.percentile(x, 0.5).alias("50%"),
-        F.percentile(x, 0.75).alias("75%"),
         F.max(x).alias("max"),
     )
+    quartiles = exact_quantiles(df, {"25%": (column, 0.25), "50%": (column, 0.5), "75%": (column, 0.75)})
+    stats = stats.crossJoin(F.broadcast(quartiles))          # one row each
     names = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
     long = stats.unpivot([], [F.col(f"`{n}`") for n in names], "statistic", "value")
     order = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("statistic"))

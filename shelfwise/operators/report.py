@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import davg, np_round, py_format
+from ..functions.quantiles import exact_quantiles
 from ..schema import (MSG_BELOW_COMPETITOR, MSG_HIGH_DISCOUNT, MSG_LOW_FULFILMENT,
                       MSG_LOW_ONLINE, MSG_MARGIN_GAP, MSG_ON_TRACK, MSG_OVERSTOCK,
                       MSG_UNDERSTOCK, RECOMMENDATION_SEPARATOR, SEGMENT, Thresholds)
@@ -22,7 +23,7 @@ RULE_CODES = ["MARGIN_GAP", "HIGH_DISCOUNT", "BELOW_COMPETITOR", "OVERSTOCK",
 
 def margin_quantile(frame: DataFrame, q: float = 0.75) -> DataFrame:
     """Exact, linearly interpolated quantile of the net margin (one row)."""
-    return frame.agg(F.percentile("Net_Profit_Margin", q).alias("Top_Quartile_Margin"))
+    return exact_quantiles(frame, {"Top_Quartile_Margin": ("Net_Profit_Margin", q)})
 
 
 def improvement_metrics(frame: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:

@@ -7,7 +7,7 @@ Two forms with the same results (tested against each other):
 * ``*_parts`` + ``combined_rollup_finish``: a hash aggregation of additive
   parts (line level, partial aggregation map-side, one small shuffle), then
   totals and modes on the small result. Parts of disjoint inputs add up, so
-  the batch paths and the streaming path (parts per micro-batch) use it.
+  all paths use it.
 
 Rows with a NULL key are removed first, as pandas' ``groupby`` drops them.
 """

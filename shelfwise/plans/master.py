@@ -10,7 +10,7 @@ from ..operators.features import build_master
 from ..operators.rollups import (combined_rollup_finish, combined_rollup_parts, inventory_rollup,
                                  raw_rollup_parts, sales_rollup, split_rollup)
 from ..schema import BusinessRules
-from ..session import ensure_checkpoint_dir, stage_table
+from ..session import ensure_checkpoint_dir, stage_table, tables_stamp
 from ..sources import files, tables
 
 
@@ -34,7 +34,7 @@ def raw_from_csv(spark: SparkSession, sales_path: str, inventory_path: str) -> R
 
 
 def rollups(raw: RawInputs) -> tuple[DataFrame, DataFrame]:
-    """A2 / A1 as two single aggregations (the streaming form; lazy)."""
+    """A2 / A1 as two single aggregations (lazy)."""
     return sales_rollup(raw.sales), inventory_rollup(raw.inventory, raw.category_map)
 
 
@@ -49,23 +49,38 @@ def master(raw: RawInputs, rules: BusinessRules = BusinessRules()) -> DataFrame:
     return build_master(sales_agg, inv_agg, rules)
 
 
-_ROLLUPS: dict[tuple[str, str], DataFrame] = {}
+def stage_key(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """What a remembered stage belongs to: the session, the folder, and the
+    state of the tables in it (files, sizes, times), so replaced tables are
+    computed anew in the same session."""
+    return spark.sparkContext.applicationId, sf_dir, tables_stamp(spark, sf_dir, tables.SOURCES)
+
+
+def remember(store: dict, key: tuple[str, str, str], make):
+    """The stored value of ``key``, made if absent; values of earlier states of the folder go."""
+    if key not in store:
+        for old in [k for k in store if k[:2] == key[:2]]:
+            del store[old]
+        store[key] = make()
+    return store[key]
+
+
+_ROLLUPS: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def rollups_from_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(sales_agg, inv_agg) from one pass over the line table
     (``tables.line_facts`` → ``rollups.combined_rollup_parts``, a plain hash
     aggregation of additive parts). That small table is the line-level
-    stage's output, written once per session as a stage table (and the
-    finished roll-up after it), so the totals, the two modes and the J1
-    join, which all read it, never re-run the line pass."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _ROLLUPS:
+    stage's output, written once per session and state of the tables as a
+    stage table (and the finished roll-up after it), so the totals, the two
+    modes and the J1 join, which all read it, never re-run the line pass."""
+    def make():
         ensure_checkpoint_dir(spark)
         parts = stage_table(combined_rollup_parts(tables.line_facts(spark, sf_dir),
                                                   dict(tables.TESTDATA_CATEGORY_MAP)), "rollup_parts")
-        _ROLLUPS[key] = stage_table(combined_rollup_finish(parts), "rollups")
-    return split_rollup(_ROLLUPS[key])
+        return stage_table(combined_rollup_finish(parts), "rollups")
+    return split_rollup(remember(_ROLLUPS, stage_key(spark, sf_dir), make))
 
 
 def master_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +88,7 @@ def master_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_master(sales_agg, inv_agg)
 
 
-_STAGED: dict[tuple[str, str], DataFrame] = {}
+_STAGED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def staged_master(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,14 +98,11 @@ def staged_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     volume, and every stage-2 step reads it several times (encoding fit,
     split, threshold, quantile, four models); the cut lineage also means a
     lost executor never replays the line-level joins."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STAGED:
-        ensure_checkpoint_dir(spark)
-        _STAGED[key] = stage_table(master_from_tables(spark, sf_dir), "master")
-    return _STAGED[key]
+    return remember(_STAGED, stage_key(spark, sf_dir),
+                    lambda: stage_table(master_from_tables(spark, sf_dir), "master"))
 
 
-_FRAMES: dict[tuple[str, str], DataFrame] = {}
+_FRAMES: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def staged_model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,12 +111,9 @@ def staged_model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     report, summary and dashboard query starts from it (the reference hands
     the same frame over as its predictions file)."""
     from ..ml import prep
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FRAMES:
-        frame = prep.with_class_label(prep.with_split(prep.model_frame(
-            staged_master(spark, sf_dir))))
-        _FRAMES[key] = stage_table(frame, "model_frame")
-    return _FRAMES[key]
+    return remember(_FRAMES, stage_key(spark, sf_dir), lambda: stage_table(
+        prep.with_class_label(prep.with_split(prep.model_frame(staged_master(spark, sf_dir)))),
+        "model_frame"))
 
 
 def write_master(df: DataFrame, out_dir: str, fmt: str = "parquet") -> str:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,7 @@ from ..sources import files
 @dataclass
 class Outputs:
     fitted: models.Fitted
+    scored: DataFrame
     predictions: DataFrame
     monthly_summary: DataFrame
     yearly_summary: DataFrame
@@ -42,10 +44,11 @@ def select_prediction_columns(scored: DataFrame) -> DataFrame:
 def build(master: DataFrame, params: ModelParams = ModelParams(),
           thresholds: Thresholds = Thresholds(), rules: BusinessRules = BusinessRules()) -> Outputs:
     fitted = models.fit_models(master, params)
-    scored = models.score(fitted, rules)
+    scored = models.score(fitted, rules).persist(StorageLevel.MEMORY_AND_DISK)   # read by three tables
     test = fitted.frame.filter(F.col("is_test"))
     return Outputs(
         fitted=fitted,
+        scored=scored,
         predictions=select_prediction_columns(scored),
         monthly_summary=summaries.monthly_summary(scored),
         yearly_summary=summaries.yearly_summary(scored),
@@ -67,5 +70,6 @@ def run(spark: SparkSession, out_dir: str, params: ModelParams = ModelParams(),
     for name, df in out.tables().items():
         small = name in ("feature_importance", "model_scores", "improvement_report")
         paths[name] = files.write_table(df, f"{out_dir}/{name}", fmt, single_file=small)
+    out.scored.unpersist()
     out.fitted.unpersist()
     return files.output_counts(spark, paths, fmt)

@@ -56,6 +56,11 @@ INVENTORY_SCHEMA = T.StructType([
     for f in INVENTORY_CSV_SCHEMA.fields
 ])
 
+# Cells that mean "no value" in the CSV inputs (fixed values: the texts that
+# the reference's reader takes as missing).
+MISSING_TEXTS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+                 "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
 KEY = ["Month", "Region", "Category"]
 SEGMENT = ["Region", "Category"]
 
@@ -170,6 +175,10 @@ class Filters:
     regions: tuple[str, ...] | None = None
     categories: tuple[str, ...] | None = None
 
+    def without_year(self) -> Filters:
+        """The same filters for a frame over all years, such as the report."""
+        return Filters(None, self.regions, self.categories)
+
 
 @dataclass(frozen=True)
 class ModelParams:

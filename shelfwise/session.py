@@ -7,7 +7,10 @@ tests, the bench and the driver smoke check only.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -52,8 +55,16 @@ def ensure_sql_settings(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def is_single_machine(spark: SparkSession) -> bool:
+    """``local`` and ``local[...]`` run in one process; ``local-cluster`` and
+    all others have executors with folders of their own."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder the cluster names, if any."""
+    """The shared checkpoint folder the cluster names, if any. A ``file:``
+    folder is taken as named: whoever names one on a cluster says that all
+    machines mount it."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
@@ -70,10 +81,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(existing)
         return existing
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_single_machine(spark):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the "
                            "cluster's distributed file system) before running shelfwise")
     local = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(local)
     return local
 
@@ -85,7 +97,32 @@ def stage_table(df, name: str):
     and a columnar input for every later step. The folder is the shared
     one the cluster names, so the table survives lost executors."""
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/shelfwise-stages/{name}-{uuid.uuid4().hex}"
+    path = f"{_stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def _stage_folder(spark: SparkSession) -> str:
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/shelfwise-stages/{spark.sparkContext.applicationId}"
+
+
+def remove_stages(spark: SparkSession) -> None:
+    """Delete this application's stage tables; call it when a run has ended
+    and its results are written (frames that read stage tables end with it)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stage_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def tables_stamp(spark: SparkSession, folder: str, tables: tuple[str, ...]) -> str:
+    """Names, sizes and modification times of the files of some tables: what
+    a remembered result was computed from. A replaced table changes it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for table in tables:
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{table}.parquet")
+        files = path.getFileSystem(conf).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return repr(sorted(found))

@@ -6,14 +6,15 @@ pipeline stage runs on data whose volume grows with the given tables. The
 mapping is fixed (``FIXTURES.md`` §3) and mirrored by the oracle SQL.
 
 Plan shape (per view): the line table is the only large input. Dimension
-sides are broadcast only behind a row-count check (``join_dimension``);
+sides are joined without hints (``join_dimension``): Spark broadcasts them
+when they measure small, else both sides are shuffled and sort-merged;
 ``orders`` meets the line table through a sort-merge join on the order key
 (``join_facts``); customers (with region and first-order date) meet
-``orders`` as a dimension: broadcast below the row bound, else a shuffled
-hash join built from the customer partition. The first-order date is a
-``groupBy`` (partial aggregation, so a customer holding a third of all
-orders is combined map-side) rather than a window, which would put such a
-customer into one task.
+``orders`` behind an exchange of their own (``fresh_exchange``), so AQE can
+split the partition of a customer who holds a third of all orders. The
+first-order date is a ``groupBy`` (partial aggregation, so such a customer
+is combined map-side) rather than a window, which would put that customer
+into one task.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import join_dimension, join_facts
+from ..operators.joins import fresh_exchange, join_dimension, join_facts
 
 # Fixed values of the mapping.
 # The inventory view stores part type STANDARD as "Groceries" so that the
@@ -39,15 +40,12 @@ SEASONS = {12: "Winter", 1: "Winter", 2: "Winter",
            9: "Autumn", 10: "Autumn", 11: "Autumn"}
 
 
-_HANDLES: dict[tuple[str, str, str], DataFrame] = {}
+#: The given tables that the two raw inputs are derived from.
+SOURCES = ("lineitem", "orders", "customer", "supplier", "part", "nation", "region")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One scan handle per table and session (the footer is read once)."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _HANDLES:
-        _HANDLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return _HANDLES[key]
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +67,9 @@ def _orders_enriched(spark: SparkSession, sf_dir: str, geo: DataFrame) -> DataFr
     first_order = (orders.groupBy("o_custkey")
                    .agg(F.min("Sale_Date").alias("first_date"))
                    .withColumnRenamed("o_custkey", "f_custkey"))
-    customers = cust_region.join(first_order, cust_region.c_custkey == first_order.f_custkey)
+    customers = fresh_exchange(
+        cust_region.join(first_order, cust_region.c_custkey == first_order.f_custkey)
+        .select("c_custkey", "Region", "first_date"), "c_custkey")
     return (
         join_dimension(orders, customers, orders.o_custkey == customers.c_custkey)
         .select(

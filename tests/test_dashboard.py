@@ -1,6 +1,7 @@
 """Dashboard operators: filters, empty check, labels, score cards, top-k."""
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.operators import dashboard
@@ -80,3 +81,18 @@ def test_month_trend_names(spark):
                               "MonthNum bigint, Monthly_Sales double, Monthly_Profit double")
     t = {r.MonthNum: r for r in dashboard.monthly_trend(m).collect()}
     assert t[1].Month == "Jan" and t[1].Revenue == 15.0 and t[12].Month == "Dec"
+
+
+def test_year_filter_filters_or_raises(spark):
+    months = spark.createDataFrame([("2023-01-01", "E"), ("2024-01-01", "E")], "Month string, Region string").withColumn(
+        "Month", F.to_date("Month"))
+    assert dashboard.apply_filters(months, Filters(year=2024)).count() == 1
+    report = months.drop("Month")
+    with pytest.raises(ValueError, match="Year or Month"):
+        dashboard.apply_filters(report, Filters(year=2024))
+    assert dashboard.apply_filters(report, Filters(year=2024, regions=("E",)).without_year()).count() == 2
+
+
+def test_trend_is_in_calendar_order(spark):
+    m = spark.createDataFrame([(12, 1.0, 1.0), (2, 1.0, 1.0), (10, 1.0, 1.0)], "MonthNum bigint, Monthly_Sales double, Monthly_Profit double")
+    assert [r.MonthNum for r in dashboard.monthly_trend(m).collect()] == [2, 10, 12]
