@@ -51,6 +51,33 @@ def features(w: Words, at: np.ndarray) -> np.ndarray:
     return np.stack(columns, axis=1)
 
 
+class Tokens:
+    """Tokens of some texts, read a slice at a time: ``which`` (each token's
+    distinct word), ``first`` (each text's first token, and the total) and
+    ``rows`` (the distinct words' features)."""
+
+    def __init__(self, texts: list[str | None]):
+        words, counts, seen, rows = [], [], [np.zeros(0, np.uint64)], [np.zeros((0, 1 + len(_HEADS) + len(_TAILS)), np.uint64)]
+        for a, b in slices(texts):
+            w = Words(texts[a:b], NON_ALNUM, fold=True)
+            own, at = np.unique(w.hash, return_index=True)
+            words.append(w.hash)
+            counts.append(w.counts())
+            seen.append(own)
+            rows.append(features(w, at))
+        words = np.concatenate([np.zeros(0, np.uint64), *words])
+        own, at = np.unique(np.concatenate(seen), return_index=True)
+        self.rows = np.concatenate(rows)[at]
+        self.which = np.searchsorted(own, words)
+        self.first = np.append(0, np.cumsum(np.concatenate([np.zeros(0, np.int64), *counts]))).astype(np.int64)
+
+    def counts(self) -> np.ndarray:
+        return np.diff(self.first)
+
+    def __len__(self) -> int:
+        return len(self.which)
+
+
 def marginals(logit: np.ndarray, first: np.ndarray, trans: np.ndarray) -> np.ndarray:
     """P(toxic) of every token; ``logit``: toxic against clean weight of each
     token, texts one after the other; ``trans[i, j]``: weight of tag j after
@@ -89,48 +116,47 @@ class Field:
     def __init__(self, keys=None, weights=None, bias=0.0, trans=None, document=None):
         self.keys, self.weights, self.bias, self.trans, self.document = keys, weights, bias, trans, document
 
-    def logits(self, w: Words) -> np.ndarray:
-        _, at, which = np.unique(w.hash, return_index=True, return_inverse=True)
-        f = features(w, at)
-        k = np.minimum(np.searchsorted(self.keys, f), len(self.keys) - 1)
-        return (np.where(self.keys[k] == f, self.weights[k], 0.0).sum(axis=1) + self.bias)[which]
+    def logits(self, t: Tokens) -> np.ndarray:
+        k = np.minimum(np.searchsorted(self.keys, t.rows), len(self.keys) - 1)
+        return (np.where(self.keys[k] == t.rows, self.weights[k], 0.0).sum(axis=1) + self.bias)[t.which]
 
-    def summary(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
+    def summary(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
         """(token marginals, a row of document features each text)."""
-        p = marginals(self.logits(w), w.first, self.trans)
-        n = w.counts()
+        p = marginals(self.logits(t), t.first, self.trans)
+        n = t.counts()
         sure = np.append(0.0, np.cumsum(p))
-        total = np.maximum(sure[w.first[1:]] - sure[w.first[:-1]], 0)
+        total = np.maximum(sure[t.first[1:]] - sure[t.first[:-1]], 0)
         top = np.zeros(len(n))
         full = n > 0
         if full.any():
-            top[full] = np.maximum.reduceat(p, w.first[:-1][full])
+            top[full] = np.maximum.reduceat(p, t.first[:-1][full])
         return p, np.stack([np.log1p(total), np.sqrt(total / np.maximum(n, 1)), top], axis=1)
 
-    def score(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
+    def score(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
         """(token marginals, document scores)."""
         if self.document is None:
-            return np.zeros(len(w)), np.zeros(len(w.first) - 1)
-        p, x = self.summary(w)
+            return np.zeros(len(t)), np.zeros(len(t.first) - 1)
+        p, x = self.summary(t)
         return p, 1 / (1 + np.exp(-np.clip(x @ self.document[:-1] + self.document[-1], -30, 30)))
 
 
-def mark_tokens(w: Words, toxic: np.ndarray, rows: np.ndarray, which: np.ndarray) -> np.ndarray:
+def mark_tokens(t: Tokens, toxic: np.ndarray) -> np.ndarray:
     """Token labels from document labels: True in toxic texts where a feature is theirs alone or nearly so."""
-    doc = np.repeat(np.arange(len(toxic)), w.counts())
-    pair = np.unique(np.stack([doc, which], axis=1), axis=0)          # a word once a document
-    values = rows[pair[:, 1]]
-    owner = np.repeat(pair[:, 0], values.shape[1])
-    flat = values.ravel()
-    one = np.unique(np.stack([owner.astype(np.uint64), flat], axis=1)[flat != 0], axis=0)
-    keys, number = np.unique(one[:, 1], return_inverse=True)
-    bad = np.bincount(number, weights=toxic[one[:, 0].astype(np.int64)])
-    every = np.bincount(number)
-    rate = (bad / max(1, toxic.sum())) / (bad / max(1, toxic.sum()) + (every - bad) / max(1, (1 - toxic).sum()))
-    mine = keys[(bad >= max(3, 0.02 * toxic.sum())) & (rate >= 0.97)]
-    k = np.minimum(np.searchsorted(mine, rows), max(len(mine) - 1, 0))
-    hit = (mine[k] == rows).any(axis=1) if len(mine) else np.zeros(len(rows), dtype=bool)
-    return hit[which] & (toxic[doc] == 1)
+    doc = np.repeat(np.arange(len(toxic)), t.counts())
+    pair = np.unique(t.which * len(toxic) + doc)                     # a word once a document
+    word, owner = pair // len(toxic), pair % len(toxic)
+    bad_documents, all_documents = max(1, toxic.sum()), len(toxic)
+    hit = np.zeros(len(t.rows), dtype=bool)
+    for column in t.rows.T:                                          # one kind of feature after the other
+        keys, number = np.unique(column, return_inverse=True)
+        once = np.unique(number[word] * len(toxic) + owner)
+        number_, owner_ = once // len(toxic), once % len(toxic)
+        every = np.bincount(number_, minlength=len(keys))
+        bad = np.bincount(number_, weights=toxic[owner_], minlength=len(keys))
+        share = bad / bad_documents
+        rate = share / np.maximum(share + (every - bad) / max(1, all_documents - bad_documents), 1e-12)
+        hit |= ((bad >= max(3, 0.02 * bad_documents)) & (rate >= 0.97) & (keys != 0))[number]
+    return hit[t.which] & (toxic[doc] == 1)
 
 
 def fit(texts: list[str], toxic: list[int], epochs: int = 12, rate: float = 0.3, decay: float = 1e-4) -> Field:
@@ -139,10 +165,9 @@ def fit(texts: list[str], toxic: list[int], epochs: int = 12, rate: float = 0.3,
     texts, label = list(seen), np.array(list(seen.values()))
     if not len(label) or label.min() == label.max():
         return Field()
-    w = Words(texts, NON_ALNUM, fold=True)
-    _, at, which = np.unique(w.hash, return_index=True, return_inverse=True)
-    rows = features(w, at)
-    y = mark_tokens(w, label, rows, which)
+    w = Tokens(texts)
+    rows, which = w.rows, w.which
+    y = mark_tokens(w, label)
     # segments: all with a marked token, and as many others (twice) dealt by their place's hash
     place = np.arange(len(w)) - np.repeat(w.first[:-1], w.counts())
     doc = np.repeat(np.arange(len(label)), w.counts())
@@ -258,7 +283,7 @@ def tag(docs: DataFrame, field: Field, text: str = "text", limit: float = 0.5) -
             scores, spans = [], []
             for a, b in slices(texts):
                 w = Words(texts[a:b], NON_ALNUM, fold=True)
-                p, score = model.score(w)
+                p, score = model.score(Tokens(texts[a:b]))
                 scores += score.tolist()
                 lengths = [len(t.encode("utf-8", "surrogatepass")) if t is not None else 0 for t in texts[a:b]]
                 offset = np.append(0, np.cumsum(np.array(lengths, dtype=np.int64) + 1))[:-1] + 1
