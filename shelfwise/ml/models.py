@@ -28,7 +28,7 @@ def _rf_regressor(target: str, trees: int, depth: int, p: ModelParams, pred: str
     return RandomForestRegressor(
         featuresCol="features", labelCol=target, predictionCol=pred, numTrees=trees,
         maxDepth=depth, minInstancesPerNode=p.min_leaf, seed=p.seed, maxBins=p.max_bins,
-        featureSubsetStrategy="all", maxMemoryInMB=512, cacheNodeIds=False, checkpointInterval=10)
+        featureSubsetStrategy="all", maxMemoryInMB=256, cacheNodeIds=False, checkpointInterval=10)
 
 
 def sales_estimator(p: ModelParams, pred: str = "Predicted_Sales"):
@@ -41,7 +41,7 @@ def margin_estimator(p: ModelParams, pred: str = "Predicted_Margin_Pct"):
     return GBTRegressor(
         featuresCol="features", labelCol=MARGIN, predictionCol=pred, maxIter=p.gbt_rounds,
         stepSize=p.gbt_step, maxDepth=p.gbt_depth, subsamplingRate=p.gbt_subsample,
-        seed=p.seed, maxBins=p.max_bins, featureSubsetStrategy="all", maxMemoryInMB=512,
+        seed=p.seed, maxBins=p.max_bins, featureSubsetStrategy="all", maxMemoryInMB=256,
         cacheNodeIds=False, checkpointInterval=10)
 
 
@@ -56,7 +56,7 @@ def class_estimator(p: ModelParams, pred: str = "_pred_cls"):
         featuresCol="features", labelCol="label_cls", predictionCol=pred,
         rawPredictionCol="_raw_cls", probabilityCol="_prob_cls", numTrees=p.cls_trees,
         maxDepth=p.cls_depth, minInstancesPerNode=p.min_leaf, seed=p.seed, maxBins=p.max_bins,
-        featureSubsetStrategy="sqrt", maxMemoryInMB=512, cacheNodeIds=False,
+        featureSubsetStrategy="sqrt", maxMemoryInMB=256, cacheNodeIds=False,
         checkpointInterval=10)
 
 
@@ -141,8 +141,10 @@ class Fitted:
 # Partitions of the training frame. A fixed number, dealt by the row key and
 # sorted inside: bagging is seeded per partition, so the fitted models depend
 # on the rows and the seed alone, not on the cluster, the session's shuffle
-# setting or the frame's size.
-TRAINING_PARTITIONS = 8
+# setting or the frame's size. Two, because every tree level aggregates one
+# array of all its nodes per partition: on a frame of some thousand rows (one
+# per month and segment) more partitions only multiply that.
+TRAINING_PARTITIONS = 2
 
 
 def training_frame(master: DataFrame, p: ModelParams = ModelParams()) -> DataFrame:
