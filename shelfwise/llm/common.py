@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -31,6 +33,32 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def by_group(df: DataFrame, keys: list[str], rows_of: Callable[[dict[str, np.ndarray]], list[tuple]], schema: str) -> DataFrame:
+    """``rows_of`` applied to each group's columns. Groups are dealt and
+    sorted by their keys and cut out of the batches, so a small group costs a
+    slice of arrays, not a frame of its own. Only for groups of bounded size."""
+    names = [part.split()[0] for part in schema.split(",")]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for f in frames:
+            f = f if rest is None else pd.concat([rest, f], ignore_index=True)
+            if not len(f):
+                continue
+            key = f[keys].to_numpy()
+            cut = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist()]
+            rest = f.iloc[cut[-1]:]
+            yield made(f, cut)
+        if rest is not None and len(rest):
+            yield made(rest, [0, len(rest)])
+
+    def made(f: pd.DataFrame, cut: list[int]) -> pd.DataFrame:
+        columns = {c: f[c].to_numpy() for c in f.columns}
+        rows = [r for a, b in zip(cut[:-1], cut[1:]) for r in rows_of({c: v[a:b] for c, v in columns.items()})]
+        return pd.DataFrame(rows, columns=names)
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+
+
 def add_struct(df: DataFrame, base: str, struct: T.StructType, text: str,
                make: Callable[[], Callable[[list], pa.StructArray]]) -> tuple[DataFrame, str]:
     """``df`` with one more struct column computed from the text column in

@@ -293,7 +293,8 @@ def anonymise(docs: DataFrame, text: str = "text", key: bytes = KEY, send: int =
     found = own.select(digest, F.col(f"`{text}`")).mapInArrow(mentions, "d string, " + _ENTITY).distinct()
     found = found.join(later, ["kind", "value"]).groupBy("d").agg(
         F.collect_list(F.struct("kind", "value", "attempt")).alias(extra))       # a text's own entities
-    joined = own.join(found, F.col(digest) == F.col("d"), "left").drop("d")
+    other = fresh_name(own, "other_digest")
+    joined = own.join(found.withColumnRenamed("d", other), F.col(digest) == F.col(other), "left").drop(other)
     at = joined.columns.index(extra)
 
     def make_column():

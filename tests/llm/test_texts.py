@@ -80,6 +80,16 @@ def test_ngram_join_nulls_and_empty(spark):
     assert ngram_join.join_sets(docs.limit(0)).count() == 0
 
 
+def test_one_of_repeated_rows_stays(spark):
+    rows = [(4, "a b c d e f", 1), (4, "a b c d e f", 1), (9, "a b c d e f", 2), (5, "x y", 1), (5, "other words", 1), (6, "", 1), (6, "", 1),
+            (None, "a b c d e f", 1), (None, "a b c d e f", 1)]
+    docs = spark.createDataFrame(rows, DOCS + ", other_id int")
+    kept = ngram_join.one_of_each_group(docs)
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id or -1, r.text) for r in kept.collect())
+    assert got == [(-1, "a b c d e f")] * 2 + [(4, "a b c d e f"), (5, "other words"), (5, "x y"), (6, ""), (6, "")]
+
+
 def test_count_tree_bound_loses_nothing():
     rng = np.random.default_rng(0)
     base = rng.integers(0, 1 << 62, 4000).astype(np.uint64)
