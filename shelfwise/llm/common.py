@@ -56,7 +56,8 @@ def by_group(df: DataFrame, keys: list[str], rows_of: Callable[[dict[str, np.nda
         columns = {c: f[c].to_numpy() for c in f.columns}
         rows = [r for a, b in zip(cut[:-1], cut[1:]) for r in rows_of({c: v[a:b] for c, v in columns.items()})]
         return pd.DataFrame(rows, columns=names)
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+    n = partitions(df.sparkSession)      # given, so that groups with few bytes and much work aren't coalesced
+    return df.repartition(n, *keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
 
 
 def add_struct(df: DataFrame, base: str, struct: T.StructType, text: str,
