@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from .common import partitions, read, stage_table
+from .common import by_group, partitions, read, stage_table
 
 CAPACITY = 4096
 END_ID = 1
@@ -245,28 +245,51 @@ def assign(summaries: list[tuple[int, int, int, int, int]]) -> list[tuple[int, i
 
 
 def _slots(matches):
-    """Batch function: the (gap part, gap rank) that each left-over item may use, else -1."""
-    by_part: dict[int, list] = {}
-    for m in matches:
-        by_part.setdefault(m[0], []).append(m)
-    tables = {p: (np.array([m[1] for m in ms]), np.array([m[2:] for m in ms])) for p, ms in by_part.items()}
+    """Batch function over a sweep's left-overs: kind (0 gap, 1 item), id,
+    size, and the slot (gap part, gap rank) that an item may use or a gap
+    offers this round, -1 for none."""
+    items: dict[int, list] = {}
+    gaps: dict[int, list] = {}
+    for part, first, take, q, gap0, each in matches:
+        items.setdefault(part, []).append((first, take, q, gap0, each))
+        gaps.setdefault(q, []).append((gap0, -(-take // each)))
+    tables = {p: np.array(m) for p, m in items.items()}
+    used = {q: np.array(sorted(m)) for q, m in gaps.items()}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             part, slot = np.full(len(f), -1), np.full(len(f), -1)
+            kind, rank = f["kind"].to_numpy(), f["rank"].to_numpy()
             for p, at in f.groupby("part").indices.items():
-                if p in tables:
-                    first, rest = tables[p]
-                    rank = f["rank"].to_numpy()[at]
-                    k = np.searchsorted(first, rank, side="right") - 1
-                    take, q, gap0, each = rest[k].T
-                    ok = rank - first[k] < take
-                    part[at] = np.where(ok, q, -1)
-                    slot[at] = np.where(ok, gap0 + (rank - first[k]) // each, -1)
-            yield f.assign(gap_part=part, gap_rank=slot)[["id", "size", "gap_part", "gap_rank"]]
+                mine = at[kind[at] == ITEM]
+                if p in tables and len(mine):
+                    first, take, q, gap0, each = tables[p].T
+                    k = np.maximum(np.searchsorted(first, rank[mine], side="right") - 1, 0)
+                    into = rank[mine] - first[k]
+                    ok = (into >= 0) & (into < take[k])
+                    part[mine] = np.where(ok, q[k], -1)
+                    slot[mine] = np.where(ok, gap0[k] + into // each[k], -1)
+                mine = at[kind[at] == GAP]
+                if p in used and len(mine):
+                    first, n = used[p].T
+                    k = np.maximum(np.searchsorted(first, rank[mine], side="right") - 1, 0)
+                    ok = (rank[mine] >= first[k]) & (rank[mine] < first[k] + n[k])
+                    part[mine] = np.where(ok, p, -1)
+                    slot[mine] = np.where(ok, rank[mine], -1)
+            yield pd.DataFrame({"kind": (kind == ITEM).astype(np.int32), "id": f["id"], "size": f["size"],
+                                "gap_part": part, "gap_rank": slot})
     return run
 
 
+def _fill(group: dict[str, np.ndarray]) -> list[tuple]:
+    """One slot: its gap and the items it takes (at most ``capacity``)."""
+    kind, ids, sizes = group["kind"], group["id"], group["size"]
+    gap = int(ids[kind == 0][0])
+    rest = int(sizes[kind == 0][0] - sizes[kind == 1].sum())
+    rows = [(2, int(i), int(n), gap) for i, n in zip(ids[kind == 1], sizes[kind == 1])]
+    return rows + [(0, gap, rest, -1)] * (rest > 0)
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(key, length) pieces of 1 to ``capacity`` tokens, keys unique →
     (key, sequence_id, offset)."""
@@ -274,13 +297,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     n = partitions(spark)
     full = pieces.filter(F.col("length") == capacity).select(
         "key", (F.col("key") * 2).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
-    items = pieces.filter(F.col("length") < capacity).select(F.col("key").alias("id"), F.col("length").alias("size"))
-    gaps = None
+    state = pieces.filter(F.col("length") < capacity).select(
+        F.lit(1).alias("kind"), F.col("key").alias("id"), F.col("length").alias("size"))
     placements, opened = [], 0
     while True:
-        state = items.select(F.lit(1).alias("kind"), "id", "size")
-        if gaps is not None:
-            state = state.unionByName(gaps.select(F.lit(0).alias("kind"), "id", "size"))
         histogram = state.groupBy("kind", "size").count().collect()         # at most 2 * capacity rows
         if not any(h.kind == 1 for h in histogram):
             break
@@ -292,28 +312,23 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             state = state.unionByName(spark.range(opened, opened + new).select(
                 F.lit(0).alias("kind"), "id", F.lit(capacity).cast("bigint").alias("size")))
             opened += new
-        swept = state.repartitionByRange(n, F.desc("size"), "kind", "id").sortWithinPartitions(
-            F.desc("size"), "kind", "id").select("kind", "id", "size").mapInPandas(_sweep_range, _ROUND)
-        swept = stage_table(swept, "pack-round")
+        swept = stage_table(state.repartitionByRange(n, F.desc("size"), "kind", "id").sortWithinPartitions(
+            F.desc("size"), "kind", "id").select("kind", "id", "size").mapInPandas(_sweep_range, _ROUND), "pack-round")
         summary = swept.filter(F.col("kind") == SUMMARY).select("part", "id", "size", "bin", "low").collect()
         matches = assign([tuple(s) for s in summary])
         placements.append(swept.filter(F.col("kind") == PLACED).select("id", "bin"))
-        left = swept.filter(F.col("kind") == ITEM)
-        wide = swept.filter(F.col("kind") == GAP).select("id", "size", "part", "rank")
-        small = swept.filter(F.col("kind") == SMALL).select("id", "size")
+        left = swept.filter(F.col("kind").isin(ITEM, GAP, SMALL))
         if not matches:
-            items, gaps = left.select("id", "size"), wide.select("id", "size").unionByName(small)
+            state = left.select((F.col("kind") == ITEM).cast("int").alias("kind"), "id", "size")
             continue
-        slotted = left.select("id", "size", "part", "rank").mapInPandas(
-            _slots(matches), "id bigint, size bigint, gap_part int, gap_rank bigint")
-        joined = stage_table(slotted.alias("i").join(
-            wide.alias("g"), (F.col("gap_part") == F.col("g.part")) & (F.col("gap_rank") == F.col("g.rank")), "full").select(
-            F.col("i.id").alias("item"), F.col("i.size").alias("item_size"),
-            F.col("g.id").alias("bin"), F.col("g.size").alias("gap")), "pack-match")
-        placements.append(joined.filter("item IS NOT NULL AND bin IS NOT NULL").select(F.col("item").alias("id"), "bin"))
-        items = joined.filter("bin IS NULL").select(F.col("item").alias("id"), F.col("item_size").alias("size"))
-        gaps = joined.filter("bin IS NOT NULL").groupBy(F.col("bin").alias("id")).agg(
-            (F.max("gap") - F.coalesce(F.sum("item_size"), F.lit(0))).alias("size")).filter("size > 0").unionByName(small)
+        slotted = left.select("kind", "id", "size", "part", "rank").mapInPandas(
+            _slots(matches), "kind int, id bigint, size bigint, gap_part int, gap_rank bigint")
+        settled = by_group(slotted.filter("gap_part >= 0"), ["gap_part", "gap_rank"], _fill,
+                           "kind int, id bigint, size bigint, bin bigint")
+        settled = stage_table(slotted.filter("gap_part < 0").select("kind", "id", "size", F.lit(-1).cast("bigint").alias("bin")).unionByName(
+            settled), "pack-match")
+        placements.append(settled.filter("kind = 2").select("id", "bin"))
+        state = settled.filter("kind < 2").select("kind", "id", "size")
     if not placements:
         return full
     placed = placements[0]
