@@ -3,6 +3,9 @@
 Labels mark documents, so tokens are labelled first: in the training rows a
 feature of a word (the word, its beginnings and its ends) that nearly always
 comes in toxic documents marks the tokens that have it, in those documents.
+How many documents that takes is a matter of evidence, not of their share: at
+least ``LEAST``, and a likelihood ratio of the toxic against the clean rate
+over ``EVIDENCE`` (chance in one of a thousand), the same at every size.
 The field has two tags (clean, toxic); a token's tag depends on its features'
 weights and on its neighbour's tag. It is fitted by conditional likelihood on
 segments with and without toxic tokens. Scoring runs forward and backward
@@ -36,6 +39,7 @@ from .words import NON_ALNUM, Words, mix, slices
 SAMPLE = 2000
 THRESHOLD = 0.7
 SEGMENT = 48
+LEAST, EVIDENCE = 3, 10.83
 _HEADS, _TAILS = (3, 4, 5, 6, 7), (3, 4, 5)
 
 
@@ -140,6 +144,18 @@ class Field:
         return p, 1 / (1 + np.exp(-np.clip(x @ self.document[:-1] + self.document[-1], -30, 30)))
 
 
+def evidence(bad: np.ndarray, good: np.ndarray, bad_documents: int, good_documents: int) -> np.ndarray:
+    """Log-likelihood ratio (G squared, one degree of freedom) that a feature
+    of so many toxic and clean documents has different rates in the two."""
+    share = (bad + good) / (bad_documents + good_documents)
+    total = np.zeros(len(bad))
+    for seen, of in ((bad, bad_documents), (good, good_documents)):
+        for count, expected in ((seen, of * share), (of - seen, of * (1 - share))):
+            some = count > 0
+            total[some] += count[some] * np.log(count[some] / expected[some])
+    return 2 * total
+
+
 def mark_tokens(t: Tokens, toxic: np.ndarray) -> np.ndarray:
     """Token labels from document labels: True in toxic texts where a feature is theirs alone or nearly so."""
     doc = np.repeat(np.arange(len(toxic)), t.counts())
@@ -154,8 +170,10 @@ def mark_tokens(t: Tokens, toxic: np.ndarray) -> np.ndarray:
         every = np.bincount(number_, minlength=len(keys))
         bad = np.bincount(number_, weights=toxic[owner_], minlength=len(keys))
         share = bad / bad_documents
-        rate = share / np.maximum(share + (every - bad) / max(1, all_documents - bad_documents), 1e-12)
-        hit |= ((bad >= max(3, 0.02 * bad_documents)) & (rate >= 0.97) & (keys != 0))[number]
+        good_documents = max(1, all_documents - bad_documents)
+        rate = share / np.maximum(share + (every - bad) / good_documents, 1e-12)
+        sure = evidence(bad, every - bad, bad_documents, good_documents) >= EVIDENCE
+        hit |= ((bad >= LEAST) & sure & (rate >= 0.97) & (keys != 0))[number]
     return hit[t.which] & (toxic[doc] == 1)
 
 

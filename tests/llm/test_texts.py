@@ -271,6 +271,22 @@ def test_toxicity_learns_stems(spark):
     assert toxicity.tag(docs.limit(0), field)[0].count() == 0
 
 
+def test_toxicity_rare_words_are_marked_by_evidence():
+    rng = random.Random(8)
+    plain = [f"{a}{b}" for a in "bcdfg" for b in ("ala", "ere", "ini", "olo")]
+
+    def text(bad):
+        return " ".join([*rng.choices(plain, k=12), *([bad] if bad else []), *rng.choices(plain, k=12)])
+    bad = ["zorbax"] * 10 + ["qumtek"] * 2 + ["vequent"] * 588            # 10 of 600 are under two in a hundred
+    texts, toxic = [text(b) for b in bad] + [text("") for _ in bad], np.array([1] * 600 + [0] * 600)
+    t = toxicity.Tokens(texts)
+    marked = toxicity.mark_tokens(t, toxic).nonzero()[0]
+    owners = set((np.searchsorted(t.first, marked, side="right") - 1).tolist())
+    assert owners == set(range(600)) - {10, 11} and len(marked) == 598     # two documents are no evidence
+    scores = toxicity.fit(texts, toxic.tolist()).score(toxicity.Tokens([text("zorbax"), text(""), text("vequent")]))[1]
+    assert scores[0] >= 0.7 and scores[1] < 0.7 and scores[2] >= 0.7
+
+
 def test_preferences(spark):
     turns = [(1, 0, "system", "s"), (1, 1, "user", "Q"), (1, 2, "assistant", "good"), (1, 3, "user", "thanks"), (1, 4, "assistant", "é!"),
              (2, 0, "system", "s"), (2, 1, "user", "Q"), (2, 2, "assistant", "bad"),
