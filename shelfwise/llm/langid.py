@@ -14,9 +14,10 @@ A text gets the language of the lowest cross-entropy per predicted character.
 a text whose cross-entropy lies more than so many standard errors over its
 language's own (from the counts) is ``und``.
 
-The models travel to every task. Their size is bounded: at most ``max_grams``
-4-grams in all, the most frequent, are kept (their number follows from the
-languages, not from the number of documents; the given tables stay far below).
+Every 4-gram counts. Up to ``max_grams`` of them the models travel to every
+task (the given tables stay far below). Beyond that they are ``Tables``: the
+same figures, made and written by Spark, to which the texts' 4-grams are
+joined; the driver then holds a few numbers a language.
 
 Defined results: null text or text without a letter is ``und`` with score 0;
 so is everything when nothing could be learned; rows with a null language
@@ -33,11 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_struct, read
+from .common import add_struct, fresh_name, read, stage_table
 from .words import Words, separators, slices
 
 ORDER = 4
-MAX_GRAMS = 4_000_000
+MAX_GRAMS = 4_000_000           # more than these stay in tables
+TASK_GRAMS = 1_000_000          # counted in a task before they are handed on
+FINE = 1 << 28                  # log probabilities are added as whole numbers of 1 / FINE, in any order
 UNKNOWN = "und"
 TEMPERATURE = 20.0
 
@@ -102,6 +105,12 @@ def count_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
                     n = np.bincount(which, weights=times[g.owner], minlength=len(keys)).astype(np.int64)
                     some = n > 0
                     total[name] = _add(total.get(name), keys[some], n[some])
+                if sum(len(keys) for keys, _ in total.values()) > TASK_GRAMS:
+                    yield from rows(total)
+                    total = {}
+        yield from rows(total)
+
+    def rows(total) -> Iterator[pa.RecordBatch]:
         for name, (keys, n) in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys)), pa.array(keys.astype(np.int64)), pa.array(n)],
                                              names=["lang", "gram", "n"])
@@ -165,8 +174,87 @@ class Model:
         return out
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_grams: int = MAX_GRAMS) -> dict[str, Model]:
-    counts = count_grams(docs, text, lang).orderBy(F.desc("n"), "lang", "gram").limit(max_grams).toPandas()
+def _last(gram, k: int):
+    """The last k characters of a packed n-gram column."""
+    return F.col(gram).bitwiseAND(F.lit((1 << (16 * k)) - 1))
+
+
+def _context(gram):
+    return F.shiftrightunsigned(gram, 16)
+
+
+class Tables:
+    """The models of all languages as written tables, by the formulas of
+    ``Model``. ``grams[k]``: gram -> {language: log p} of order k;
+    ``contexts[k]``: context -> {language: log back-off}; ``languages``: one
+    row a language (log p of an unknown character, mean and deviation)."""
+
+    def __init__(self, counts: DataFrame):
+        level = counts.select("lang", "gram", F.col("n").cast("double").alias("c"))
+        levels = {ORDER: level}
+        for k in range(ORDER - 1, 0, -1):                     # continuation counts: distinct characters before
+            level = stage_table(level.groupBy("lang", _last("gram", k).alias("gram")).agg(
+                F.count(F.lit(1)).cast("double").alias("c")), "language-level")
+            levels[k] = level
+        self.grams, self.contexts = {}, {}
+        vocabulary = levels[1].groupBy("lang").agg((F.count(F.lit(1)) + 1).alias("vocabulary"))
+        lower = None
+        for k in range(1, ORDER + 1):
+            ones, twos = F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)
+            discount = levels[k].groupBy("lang").agg(
+                F.when((ones > 0) & (twos > 0), ones / (ones + 2 * twos)).otherwise(0.5).alias("discount"))
+            context = stage_table(levels[k].groupBy("lang", _context("gram").alias("context")).agg(
+                F.count(F.lit(1)).alias("kinds"), F.sum("c").alias("total")).join(F.broadcast(discount), "lang").withColumn(
+                "back", F.col("discount") * F.col("kinds") / F.col("total")), "language-contexts")
+            gram = levels[k].withColumn("context", _context("gram")).join(context, ["lang", "context"])
+            if lower is None:
+                gram = gram.join(F.broadcast(vocabulary), "lang").withColumn("low", 1 / F.col("vocabulary"))
+                first = context
+            else:
+                gram = gram.withColumn("suffix", _last("gram", k - 1)).join(
+                    lower.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("low")), ["lang", "suffix"])
+            p = F.greatest(F.col("c") - F.col("discount"), F.lit(0.0)) / F.col("total") + F.col("back") * F.col("low")
+            lower = stage_table(gram.select("lang", "gram", "c", p.alias("p")).withColumn("log_p", _log("p")), "language-grams")
+            self.grams[k] = stage_table(lower.groupBy("gram").agg(_by_language("log_p")), "language-grams")
+            self.contexts[k] = stage_table(context.groupBy("context").agg(_by_language(_log("back"))), "language-contexts")
+        mean = -F.sum(F.col("c") * F.col("log_p")) / F.sum("c")
+        square = F.sum(F.col("c") * F.col("log_p") ** 2) / F.sum("c")
+        fit = lower.groupBy("lang").agg(mean.alias("mean"), F.sqrt(F.greatest(square - mean * mean, F.lit(0.0))).alias("deviation"))
+        self.languages = stage_table(fit.join(vocabulary, "lang").join(first.select("lang", "back"), "lang").select(
+            "lang", "mean", "deviation", (_log("back") - F.log("vocabulary")).alias("unknown")), "languages")
+
+    def log_p(self, grams: DataFrame) -> DataFrame:
+        """(gram, lang, log_p) of each gram in every language."""
+        for k in range(ORDER, 0, -1):
+            own, context = self.grams[k].withColumnRenamed("by", f"g{k}"), self.contexts[k].withColumnRenamed("by", f"b{k}")
+            if k == 1:                                       # at most 65,536 characters
+                own = F.broadcast(own)
+            grams = grams.withColumn("_own", _last("gram", k) if k < ORDER else F.col("gram"))
+            grams = grams.join(own.withColumnRenamed("gram", "_own"), "_own", "left")
+            if k > 1:
+                context = F.broadcast(context) if k == 2 else context
+                grams = grams.withColumn("context", _context("_own")).join(context, "context", "left").drop("context")
+            grams = grams.drop("_own")
+        log_p = F.coalesce(F.try_element_at("g1", "lang"), F.col("unknown"))
+        for k in range(2, ORDER + 1):
+            log_p = F.coalesce(F.try_element_at(f"g{k}", F.col("lang")),
+                               F.coalesce(F.try_element_at(f"b{k}", F.col("lang")), F.lit(0.0)) + log_p)
+        return grams.crossJoin(F.broadcast(self.languages)).select("gram", "lang", log_p.alias("log_p"))
+
+
+def _log(value):
+    return F.log(value).cast("float").cast("double")          # as precise as a Model's
+
+
+def _by_language(value):
+    return F.map_from_entries(F.collect_list(F.struct("lang", F.col(value) if isinstance(value, str) else value))).alias("by")
+
+
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_grams: int = MAX_GRAMS) -> dict[str, Model] | Tables:
+    counts = stage_table(count_grams(docs, text, lang), "language-counts")
+    if counts.count() > max_grams:
+        return Tables(counts)
+    counts = counts.toPandas()                                # at most max_grams rows
     return {str(name): Model(g["gram"].to_numpy().astype(np.uint64), g["n"].to_numpy())
             for name, g in counts.groupby("lang")}
 
@@ -205,10 +293,51 @@ def guess(models: dict[str, Model], texts: list[str | None], reject: float | Non
     return out
 
 
-def identify(docs: DataFrame, models: dict[str, Model], text: str = "text",
+def _text_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, gram, n) of (row, text)."""
+    for batch in batches:
+        rows, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+        for a, b in slices(texts):
+            g = Grams(texts[a:b])
+            if not len(g.gram):
+                continue
+            keys, which = np.unique(g.gram, return_inverse=True)
+            size = np.bincount(g.owner, minlength=g.n_words)
+            begin, times = np.append(0, np.cumsum(size))[:-1], size[g.word_of]
+            end = np.cumsum(times)                            # each word place's grams, one after the other
+            at = np.arange(end[-1]) - np.repeat(end - times, times) + np.repeat(begin[g.word_of], times)
+            pair, n = np.unique(np.repeat(g.text_of_word(), times) * len(keys) + which[at], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[a:b][pair // len(keys)]), pa.array(keys[pair % len(keys)].astype(np.int64)),
+                                              pa.array(n.astype(np.int64))], names=["row", "gram", "n"])
+
+
+def _identify_by_tables(docs: DataFrame, models: Tables, text: str, reject: float | None) -> tuple[DataFrame, str]:
+    name, row = fresh_name(docs, "language"), fresh_name(docs, "row")
+    staged = stage_table(docs.withColumn(row, F.monotonically_increasing_id()), "language-documents")
+    asked = staged.select(F.col(row), F.col(f"`{text}`")).mapInArrow(_text_grams, "row bigint, gram bigint, n bigint")
+    fine = models.log_p(asked.select("gram").distinct()).withColumn("fine", F.round(F.col("log_p") * FINE).cast("bigint"))
+    by = fine.groupBy("gram").agg(F.collect_list(F.struct("lang", "fine")).alias("by"))
+    each = asked.join(by, "gram").select("row", "n", F.inline("by")).groupBy("row", "lang").agg(
+        (-F.sum(F.col("n") * F.col("fine")) / F.lit(float(FINE)) / F.sum("n")).alias("entropy"), F.sum("n").alias("n"))
+    each = each.join(F.broadcast(models.languages.select("lang", "mean", "deviation")), "lang")
+    best = each.groupBy("row").agg(F.min(F.struct("entropy", "lang", "n", "mean", "deviation")).alias("best"),
+                                   F.collect_list("entropy").alias("all"))
+    low = F.col("best.entropy")
+    share = 1 / F.aggregate(F.array_sort("all"), F.lit(0.0), lambda s, e: s + F.exp(-TEMPERATURE * (e - low)))
+    far = F.lit(False) if reject is None else low > F.col("best.mean") + reject * F.col("best.deviation") / F.sqrt("best.n")
+    guessed = best.select(F.col("row").alias(row), F.struct(
+        F.when(far, UNKNOWN).otherwise(F.col("best.lang")).alias("lang"), share.alias("score"), low.alias("entropy")).alias(name))
+    nothing = F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("entropy"))
+    found = staged.join(guessed, row, "left")
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce(F.col(name), nothing).alias(name)), name
+
+
+def identify(docs: DataFrame, models: dict[str, Model] | Tables, text: str = "text",
              reject: float | None = None) -> tuple[DataFrame, str]:
     """``docs`` with a struct column (lang, score, entropy), and its name."""
-    sent = docs.sparkSession.sparkContext.broadcast(models)   # at most max_grams entries
+    if isinstance(models, Tables):
+        return _identify_by_tables(docs, models, text, reject)
+    sent = docs.sparkSession.sparkContext.broadcast(models)   # at most max_grams 4-grams
 
     def make():
         def column(texts):

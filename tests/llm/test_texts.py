@@ -186,6 +186,25 @@ def test_language_nulls_and_empty(spark):
     assert langid.train(docs.limit(0)) == {}
 
 
+def test_language_grams_over_the_bound_all_count(spark):
+    rng = random.Random(6)
+    letters = {"de": "abcdefgh", "en": "abcdefij", "xx": "klm\u4e00\u9fa5"}
+    rows = [(i, " ".join("".join(rng.choices(letters[n], k=5)) for _ in range(w)), n)
+            for i, (n, w) in enumerate([("de", 80), ("en", 80), ("de", 60), ("en", 60), ("xx", 3)])]
+    docs = spark.createDataFrame(rows + [(8, None, "de"), (9, "12 !", "en"), (10, "QQ zorro \u4e8c", None)], "doc_id bigint, text string, lang string")
+    whole, cut = langid.train(docs), langid.train(docs, max_grams=50)
+    assert len(whole["xx"].tables[3][0]) < 25 and isinstance(cut, langid.Tables)
+    for reject in (None, -0.5):                    # the second rejects some
+        (a, name), (b, same) = langid.identify(docs, whole, reject=reject), langid.identify(docs, cut, reject=reject)
+        assert name == same == "language" and a.schema.names == b.schema.names
+        want, got = ({r.doc_id: r for r in x.collect()} for x in (a, b))
+        assert want.keys() == got.keys() and got[4].language.lang in ("xx", "und")
+        for i, r in want.items():
+            assert got[i].text == r.text and got[i].language.lang == r.language.lang
+            assert got[i].language.score == pytest.approx(r.language.score, abs=1e-6)
+            assert got[i].language.entropy == pytest.approx(r.language.entropy, abs=1e-6)
+
+
 def test_pii_replaces_everything_consistently(spark):
     text = ("Mail bob.smith@mail.example.com or BOB.SMITH@MAIL.EXAMPLE.COM, call +1 (417) 555-1301 or +1 417 555 1301. "
             "Card 4111 1111 1111 1111 = 4111111111111111. Ip 10.1.2.3, not version 1.2.3. SSN 123-45-6789. IBAN DE89 3704 0044 0532 0130 00. "
