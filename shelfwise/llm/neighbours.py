@@ -13,8 +13,8 @@
    vectors without any structure that is most of them).
 
 A partition may hold any number of vectors (a third of all may be one and the
-same): members are dealt into chunks of about ``CHUNK``, queries meet chunk by
-chunk, each meeting returns at most k candidates a query, and these are merged
+same), and be asked by any number: members and queries are dealt into chunks
+of about ``CHUNK``, which meet chunk by chunk, each meeting returns at most k candidates a query, and these are merged
 by rank. Only the bounded sample and the classifier pass through the driver.
 
 The partitions' number grows with the square root of the vectors' number, up
@@ -198,6 +198,22 @@ def nearest(queries: pd.DataFrame, members: pd.DataFrame, k: int) -> pd.DataFram
         {"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
 
+def dealt(routed: DataFrame, is_query, size: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+    """The queries and the members of ``routed`` (vec_id, v, parts), both
+    dealt into chunks of about ``size``: each query of a partition meets each
+    of its members in one (part, chunk, query_chunk)."""
+    def chunks(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / F.lit(size)).cast("int").alias(name))
+    members = routed.select("vec_id", "v", F.col("parts")[0].alias("part"))
+    asked = routed.filter(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min(F.struct("v", "parts")).alias("a"))
+    asked = asked.select("query_id", F.col("a.v").alias("q"), F.explode("a.parts").alias("part"))
+    both = chunks(members, "chunks").join(chunks(asked, "query_chunks"), "part")
+    members = members.join(both, "part").withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int"))
+    asked = asked.join(both, "part").withColumn("query_chunk", F.pmod(F.xxhash64("query_id"), F.col("query_chunks")).cast("int"))
+    return (asked.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))),
+            members.withColumn("query_chunk", F.explode(F.sequence(F.lit(0), F.col("query_chunks") - 1))))
+
+
 def search(vectors: DataFrame, is_query, k: int = 10, recall: float = RECALL, vec_id: str = "vec_id",
            embedding: str = "embedding", sample: int = SAMPLE, max_partitions: int = MAX_PARTITIONS) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows where ``is_query`` (a
@@ -216,20 +232,16 @@ def search(vectors: DataFrame, is_query, k: int = 10, recall: float = RECALL, ve
                 tops = sent.value.top(x, most)
                 yield f.assign(parts=list(tops.astype(np.int32)))
     routed = stage_table(own.mapInPandas(route, "vec_id bigint, v array<double>, parts array<int>"), "routed-vectors")
-    sizes = routed.groupBy(F.col("parts")[0].alias("part")).agg(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)).cast("int").alias("chunks"))
-    members = routed.select("vec_id", "v", F.col("parts")[0].alias("part")).join(sizes, "part").withColumn(
-        "chunk", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int"))
-    asked = routed.filter(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min(F.struct("v", "parts")).alias("a"))
-    asked = asked.select("query_id", F.col("a.v").alias("q"), F.explode("a.parts").alias("part")).join(sizes, "part").withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    asked, members = dealt(routed, is_query)
 
     def meet(q: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(m):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
                 {"query_id": "int64", "vec_id": "int64", "score": "float64"})
         return nearest(q, m, k)
-    met = asked.select("part", "chunk", "query_id", "q").groupBy("part", "chunk").cogroup(
-        members.select("part", "chunk", "vec_id", "v").groupBy("part", "chunk")).applyInPandas(
+    place = ["part", "chunk", "query_chunk"]
+    met = asked.select(*place, "query_id", "q").groupBy(*place).cogroup(
+        members.select(*place, "vec_id", "v").groupBy(*place)).applyInPandas(
         meet, "query_id bigint, vec_id bigint, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))   # at most k a chunk met
     return met.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

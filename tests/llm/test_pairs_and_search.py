@@ -115,3 +115,15 @@ def test_neighbours_odd_rows(spark, monkeypatch):
     few = spark.createDataFrame([(1, [1.0]), (2, [2.0])], "vec_id bigint, embedding array<double>")
     assert [(r.query_id, r.vec_id) for r in neighbours.search(few, F.col("vec_id") == 1).collect()] == [(1, 2)]
     assert neighbours.search(few.limit(0), F.col("vec_id") == 1).count() == 0
+
+
+def test_neighbour_queries_are_dealt_into_bounded_chunks(spark):
+    rows = [(i, [float(i)], [i % 2, 1 - i % 2] if i % 5 else [i % 2]) for i in range(400)]
+    routed = spark.createDataFrame(rows, "vec_id bigint, v array<double>, parts array<int>")
+    asked, members = neighbours.dealt(routed, F.col("vec_id") >= 0, size=50)
+    place = ["part", "chunk", "query_chunk"]
+    for side in (asked, members):
+        assert max(r["count"] for r in side.groupBy(*place).count().collect()) <= 100
+    met = [(r.query_id, r.vec_id) for r in asked.join(members, place).select("query_id", "vec_id").collect()]
+    want = {(q, m) for q, _, parts in rows for m, _, own in rows if own[0] in parts}
+    assert len(met) == len(want) and set(met) == want              # each pair once
