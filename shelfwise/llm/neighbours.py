@@ -10,7 +10,8 @@
    to its most probable ones, meets their vectors, and is reranked by exact
    distance in double precision. How many it is sent to is read off the
    sample: the fewest that hold ``recall`` of the sample's own neighbours (on
-   vectors without any structure that is most of them).
+   vectors without any structure that is most of them). A query whose
+   partitions hold fewer than k others is sent to its next ones as well.
 
 A partition may hold any number of vectors (a third of all may be one and the
 same), and be asked by any number: members and queries are dealt into chunks
@@ -198,15 +199,19 @@ def nearest(queries: pd.DataFrame, members: pd.DataFrame, k: int) -> pd.DataFram
         {"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
 
-def dealt(routed: DataFrame, is_query, size: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+def dealt(routed: DataFrame, is_query, size: int = CHUNK, cover=None) -> tuple[DataFrame, DataFrame]:
     """The queries and the members of ``routed`` (vec_id, v, parts), both
     dealt into chunks of about ``size``: each query of a partition meets each
     of its members in one (part, chunk, query_chunk)."""
     def chunks(rows: DataFrame, name: str) -> DataFrame:
         return rows.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / F.lit(size)).cast("int").alias(name))
     members = routed.select("vec_id", "v", F.col("parts")[0].alias("part"))
-    asked = routed.filter(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min(F.struct("v", "parts")).alias("a"))
-    asked = asked.select("query_id", F.col("a.v").alias("q"), F.explode("a.parts").alias("part"))
+    asked = routed.filter(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(
+        F.min(F.struct("v", "parts")).alias("a"), F.count(F.lit(1)).alias("own"))
+    asked = asked.select("query_id", F.col("a.v").alias("q"), F.col("a.parts").alias("parts"), "own")
+    if cover is not None:                                    # more partitions for queries that need them
+        asked = asked.mapInPandas(cover, "query_id bigint, q array<double>, parts array<int>, own bigint")
+    asked = asked.select("query_id", "q", F.explode("parts").alias("part"))
     both = chunks(members, "chunks").join(chunks(asked, "query_chunks"), "part")
     members = members.join(both, "part").withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int"))
     asked = asked.join(both, "part").withColumn("query_chunk", F.pmod(F.xxhash64("query_id"), F.col("query_chunks")).cast("int"))
@@ -232,7 +237,18 @@ def search(vectors: DataFrame, is_query, k: int = 10, recall: float = RECALL, ve
                 tops = sent.value.top(x, most)
                 yield f.assign(parts=list(tops.astype(np.int32)))
     routed = stage_table(own.mapInPandas(route, "vec_id bigint, v array<double>, parts array<int>"), "routed-vectors")
-    asked, members = dealt(routed, is_query)
+    counts = np.zeros(parts, dtype=np.int64)
+    for r in routed.groupBy(F.col("parts")[0].alias("part")).agg(F.count(F.lit(1)).alias("n")).collect():   # a row a partition
+        counts[r["part"]] = r["n"]
+
+    def cover(frames):
+        for f in frames:
+            if len(f):
+                order = sent.value.top(np.stack(f["q"].to_numpy()), parts)
+                held = np.cumsum(counts[order], axis=1)
+                needed = (held < (k + f["own"].to_numpy())[:, None]).sum(axis=1) + 1   # its own rows are no candidates
+                yield f.assign(parts=[o[:max(most, m)].astype(np.int32) for o, m in zip(order, needed.tolist())])
+    asked, members = dealt(routed, is_query, cover=cover)
 
     def meet(q: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(m):

@@ -127,3 +127,12 @@ def test_neighbour_queries_are_dealt_into_bounded_chunks(spark):
     met = [(r.query_id, r.vec_id) for r in asked.join(members, place).select("query_id", "vec_id").collect()]
     want = {(q, m) for q, _, parts in rows for m, _, own in rows if own[0] in parts}
     assert len(met) == len(want) and set(met) == want              # each pair once
+
+
+def test_neighbours_of_small_partitions_are_k(spark):
+    rng = np.random.default_rng(2)
+    points = [(c * 50.0 * np.eye(4)[c % 4] + rng.normal(size=4)).tolist() for c in range(1, 5) for _ in range(6)]
+    rows = list(enumerate(points)) + [(0, points[0])] * 12 + [(100 + i, [9.0, 9.0, 9.0, 9.0]) for i in range(1000)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = neighbours.search(table, F.col("vec_id") < 24, recall=0.01).groupBy("query_id").count().collect()
+    assert {r.query_id: r["count"] for r in got} == {i: 10 for i in range(24)}      # one partition holds about six
