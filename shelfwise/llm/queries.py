@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, langid, neighbours, ngram_join, packing, pii, preferences, spelling, substrings, toxicity, urls
+from . import decontaminate, langid, neighbours, ngram_join, packing, pii, preferences, sharding, spelling, substrings, toxicity, urls
 
 QUERIES = {
     "op1_url_filters": urls.query,
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_toxicity": toxicity.query,
     "op10_decontamination": decontaminate.query,
     "op12_spelling_variants": spelling.query,
+    "op13_sharding": sharding.query,
     "pipeline": corpus_pipeline.run,
 }
 
