@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, langid, neighbours, ngram_join, packing, pii, preferences, sharding, spelling, substrings, toxicity, urls
+from . import decontaminate, langid, neighbours, ngram_join, packing, pii, preferences, sharding, spelling, substrings, toxicity, urls, whitening
 
 QUERIES = {
     "op1_url_filters": urls.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_nearest_neighbours": neighbours.query,
     "op9_toxicity": toxicity.query,
     "op10_decontamination": decontaminate.query,
+    "op11_embedding_whitening": whitening.query,
     "op12_spelling_variants": spelling.query,
     "op13_sharding": sharding.query,
     "pipeline": corpus_pipeline.run,
