@@ -22,8 +22,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, stage_table
-from .words import SLICE_BYTES, slices
+from .common import batch_slices, partitions, stage_table
+from .words import SLICE_BYTES
+
+BUCKET_BYTES = 8_000_000
 
 _ANSWERS = "array<struct<bucket:int,bits:binary>>"
 
@@ -38,12 +40,20 @@ def make_blocks(docs: DataFrame, doc_id: str, text: str, limit: int = SLICE_BYTE
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts, limit):
-                payload = pack.compress(pickle.dumps((ids[a:b], texts[a:b])))
-                yield pa.RecordBatch.from_arrays([pa.array([payload], pa.binary())], names=["payload"])
-    packed = docs.select(F.col(f"`{doc_id}`").cast("bigint"), F.col(f"`{text}`")).mapInArrow(run, "payload binary")
-    return stage_table(packed.select(F.monotonically_increasing_id().alias("block"), "payload"), "blocks")
+            for a, b in batch_slices(batch.column(1), limit):
+                ids, texts = (batch.column(k).slice(a, b - a).to_pylist() for k in (0, 1))
+                data = pickle.dumps((ids, texts))
+                yield pa.RecordBatch.from_arrays([pa.array([pack.compress(data)], pa.binary()), pa.array([len(data)], pa.int64())],
+                                                 names=["payload", "size"])
+    packed = docs.select(F.col(f"`{doc_id}`").cast("bigint"), F.col(f"`{text}`")).mapInArrow(run, "payload binary, size bigint")
+    return stage_table(packed.select(F.monotonically_increasing_id().alias("block"), "payload", "size"), "blocks")
+
+
+def bucket_count(blocks: DataFrame) -> int:
+    """Buckets that names are dealt into: so many that the names of one, sent
+    by blocks of this many bytes in all, take about ``BUCKET_BYTES``."""
+    size = blocks.agg(F.sum("size")).first()[0] or 0
+    return max(partitions(blocks.sparkSession) * 2, -(-size // BUCKET_BYTES))
 
 
 def buckets_of(names: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -66,14 +76,13 @@ def read_answers(answers, names: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def shared(frame: DataFrame, names_of: Callable[..., tuple[np.ndarray, np.ndarray | None]], label: str) -> DataFrame:
+def shared(frame: DataFrame, names_of: Callable[..., tuple[np.ndarray, np.ndarray | None]], label: str, n: int) -> DataFrame:
     """(block, answers) for the blocks of ``frame`` that have any shared name.
     ``names_of`` gives a row's distinct names, in an order that it always
     gives them in, and perhaps a second array of values that must agree too
     (``names_of.wide``). With ``names_of.short`` only the upper 32 bits travel
     beside the bucket: names may then be called shared that are not, evenly
-    for all that hold them."""
-    n = partitions(frame.sparkSession) * 2
+    for all that hold them. ``n``: buckets (``bucket_count``)."""
     columns = frame.columns
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,12 +7,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stage_table
 
-__all__ = ["add_struct", "fresh_name", "read", "stage_table", "partitions"]
+__all__ = ["add_struct", "apart", "batch_slices", "drop_stage", "fresh_name", "read", "stage_table", "partitions"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -33,6 +35,40 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def apart(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with its key computed anew, so that Spark does not take it as
+    partitioned by the key and plans an exchange below the next join on it:
+    AQE splits a hot key's rows only between two exchanges."""
+    kind, c = dict(df.dtypes)[key], F.col(f"`{key}`")
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return df.withColumn(key, F.bitwise_not(F.bitwise_not(c)))
+    if kind in ("string", "binary"):
+        return df.withColumn(key, F.concat(c, F.lit("" if kind == "string" else b"")))
+    raise TypeError(f"no exchange of its own for {kind}")
+
+
+def drop_stage(df: DataFrame) -> None:
+    """Deletes a stage table whose readers have all been written."""
+    jvm, sc = df.sparkSession._jvm, df.sparkSession.sparkContext
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/shelfwise-stages/" in folder:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def batch_slices(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """(from, to) ranges of a batch's texts of about ``limit`` bytes, found
+    without making Python objects; a longer text makes a range of its own."""
+    size = np.asarray(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64) + 1
+    total = np.cumsum(size)
+    begin = 0
+    while begin < len(size):
+        before = total[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(total, before + limit, side="right")))
+        yield begin, end
+        begin = end
+
+
 def by_group(df: DataFrame, keys: list[str], rows_of: Callable[[dict[str, np.ndarray]], list[tuple]], schema: str) -> DataFrame:
     """``rows_of`` applied to each group's columns. Groups are dealt and
     sorted by their keys and cut out of the batches, so a small group costs a

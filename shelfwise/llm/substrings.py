@@ -15,7 +15,8 @@ that decided it (its context): wherever those words recur, so does the symbol.
    kept). Hashes of just these windows (two times 64 bits) are exchanged.
 3. The words of windows that occur twice are removed, judged on the input.
 
-The answer is exact but for collisions of 128-bit hashes. Texts are shuffled
+The answer is exact but for collisions of 128-bit hashes (two independent
+64-bit hashes of every word and of every window). Texts are shuffled
 as compressed blocks, twice; words never are. A window in a third of all
 documents is sent once a block.
 
@@ -34,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import _ANSWERS, make_blocks, read_answers, shared, unpack
-from .common import partitions, read
+from .blocks import bucket_count, make_blocks, read_answers, shared, unpack
+from .common import read
 from .words import SPACES, Words, mix, sequence_hashes, within
 
 WINDOW = 35
@@ -116,7 +117,7 @@ class Parsed:
         may = self.windows_with(twice[self.which]) | ~self.windows_with(np.ones(len(self.name), dtype=bool))
         places = places[may[places]]
         one = sequence_hashes(self.words.hash, self.window)[places]
-        two = sequence_hashes(self.words.hash, self.window, salt=0x5851F42D4C957F2D)[places]
+        two = sequence_hashes(self.words.hash2, self.window)[places]
         return places, one, two
 
 
@@ -137,8 +138,9 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     that are removed) and kept (the words that stay, joined by a space)."""
     if window < 1:
         raise ValueError("window must be at least 1")
-    buckets = partitions(docs.sparkSession) * 2
     blocks = make_blocks(docs, doc_id, text)
+    buckets = bucket_count(blocks)
+    blocks = blocks.select("block", "payload")
 
     def symbol_names(payload):
         return Parsed(unpack(payload)[1], window).names, None
@@ -150,9 +152,9 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         return one, two
     window_names.wide = True
 
-    found = shared(blocks, symbol_names, "shared-symbols").withColumnRenamed("answers", "symbols")
+    found = shared(blocks, symbol_names, "shared-symbols", buckets).withColumnRenamed("answers", "symbols")
     known = blocks.join(found, "block", "left")
-    repeats = shared(known, window_names, "shared-windows").withColumnRenamed("answers", "windows")
+    repeats = shared(known, window_names, "shared-windows", buckets).withColumnRenamed("answers", "windows")
     whole = known.join(repeats, "block", "left").select("payload", "symbols", "windows")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,19 +2,26 @@
 
 Works on UTF-8 bytes with numpy, a bounded slice of documents at a time, so
 the cost per byte is a few nanoseconds and no Python object is made per word.
+
+A word is hashed eight bytes at a time by a chain of bijective, non-linear
+steps, so words of up to eight bytes and one length never collide, and no
+pattern inside a longer word makes it collide with another. Two independent
+lanes (``hash``, ``hash2``) make 128 bits where words stand for themselves.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 
 SLICE_BYTES = 2_000_000          # text handled at once inside a task
+LONG = 512                       # bytes; a longer stretch is hashed as a whole by BLAKE2
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
-_RADIX = 0xD6E8FEB86659FD93      # odd, so it has an inverse modulo 2**64
-_RADIX_SEQ = 0xA0761D6478BD642F
+_SEEDS = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
+_STEPS = (np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -26,24 +33,29 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-_BYTE_VALUES = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _MUL)
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: masks that keep a little-endian word's first 0 to 8 bytes
+_KEEP = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
 
 
-def _powers(radix: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """radix**i and radix**-i modulo 2**64 for i < n; kept up to a slice's length."""
-    have = _POWERS.get(radix)
-    if have is None or len(have[0]) < n:
-        inverse = pow(radix, -1, 1 << 64)
-        out = []
-        for r in (radix, inverse):
-            a = np.full(n, r, dtype=np.uint64)
-            a[0] = 1
-            out.append(np.cumprod(a, dtype=np.uint64))
-        have = (out[0], out[1])
-        if n <= 2 * SLICE_BYTES:
-            _POWERS[radix] = have
-    return have[0][:n], have[1][:n]
+def stretch_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lane: int = 0) -> np.ndarray:
+    """One 64-bit value a stretch of ``data`` (bytes, with at least eight more
+    after the last stretch's end); equal bytes give equal values."""
+    eight = np.ndarray((max(0, len(data) - 7),), dtype="<u8", buffer=data, strides=(1,))
+    size = end - start
+    h = mix(size.astype(np.uint64) * _MUL + _SEEDS[lane])
+    short = size <= LONG
+    at = np.flatnonzero(short & (size > 0))
+    begin, left, own = start[at], size[at], h[at]
+    while len(at):
+        own = mix((own ^ (eight[begin] & _KEEP[np.minimum(left, 8)])) * _STEPS[lane])
+        done = left <= 8
+        h[at[done]] = own[done]
+        going = ~done
+        at, begin, left, own = at[going], begin[going] + 8, left[going] - 8, own[going]
+    for i in np.flatnonzero(~short).tolist():
+        digest = hashlib.blake2b(data[start[i]:end[i]].tobytes(), digest_size=16).digest()
+        h[i] = np.frombuffer(digest, "<u8")[lane]
+    return h
 
 
 def separators(pattern_bytes) -> np.ndarray:
@@ -63,13 +75,13 @@ _FOLD[0x41:0x5B] += 0x20
 
 
 class Words:
-    """Words of some texts. ``hash``: one 64-bit value a word; ``first``:
-    index of each text's first word, with the total at the end; ``start``
-    and ``end``: byte places in ``data`` (lower-cased if folded)."""
+    """Words of some texts. ``hash`` and ``hash2``: a 64-bit value a word each;
+    ``first``: index of each text's first word, with the total at the end;
+    ``start`` and ``end``: byte places in ``data`` (lower-cased if folded)."""
 
     def __init__(self, texts: list[str | None], sep: np.ndarray, fold: bool):
         raw = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
-        buf = np.frombuffer(b" " + b" ".join(raw) + b" ", dtype=np.uint8)
+        buf = np.frombuffer(b" " + b" ".join(raw) + b" " * 9, dtype=np.uint8)
         if fold:
             buf = _FOLD[buf]
         inside = ~sep[buf]
@@ -79,16 +91,19 @@ class Words:
         begins = np.zeros(len(raw) + 1, dtype=np.int64)
         begins[1:] = np.cumsum(np.fromiter((len(r) + 1 for r in raw), np.int64, len(raw)))
         self.first = np.searchsorted(self.start, begins + 1, side="left")
-        power, inverse = _powers(_RADIX, len(buf))
-        sums = np.zeros(len(buf) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_VALUES[buf] * power, out=sums[1:])
-        self._sums, self._inverse = sums, inverse
         self.hash = self.hash_of(self.start, self.end)
+        self._second: np.ndarray | None = None
 
-    def hash_of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def hash_of(self, start: np.ndarray, end: np.ndarray, lane: int = 0) -> np.ndarray:
         """Hash of any stretches of ``data``; equal bytes give equal values."""
-        length = (end - start).astype(np.uint64)
-        return mix((self._sums[end] - self._sums[start]) * self._inverse[start] + length * _MUL)
+        return stretch_hashes(self.data, start, end, lane)
+
+    @property
+    def hash2(self) -> np.ndarray:
+        """The second lane, independent of the first."""
+        if self._second is None:
+            self._second = self.hash_of(self.start, self.end, 1)
+        return self._second
 
     def __len__(self) -> int:
         return len(self.hash)
@@ -101,15 +116,18 @@ class Words:
 
 
 def sequence_hashes(hashes: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
-    """Hash of every run of ``size`` consecutive values (length n - size + 1)."""
-    n = len(hashes)
-    if n < size:
+    """Hash of every run of ``size`` consecutive values (length n - size + 1):
+    runs of doubled width are put together from two halves, the last step from
+    two that overlap. Equal runs give equal values."""
+    n = len(hashes) - size + 1
+    if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    values = mix(hashes + np.uint64(salt)) if salt else hashes
-    power, inverse = _powers(_RADIX_SEQ, n)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(values * power, out=sums[1:])
-    return mix((sums[size:] - sums[:-size]) * inverse[:n - size + 1] + np.uint64(size * int(_MUL) % (1 << 64)))
+    h, width = mix(hashes + np.uint64(salt) + _SEEDS[0]), 1
+    while width * 2 <= size:
+        h = mix(h[:-width] * _STEPS[0] + mix(h[width:] ^ _STEPS[1]))
+        width *= 2
+    rest = size - width
+    return h[:n] if not rest else mix(h[:n] * _STEPS[1] + mix(h[rest:rest + n] ^ _STEPS[0]))
 
 
 def within(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
