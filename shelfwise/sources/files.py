@@ -52,22 +52,28 @@ def _raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ContractError(f"{path} lacks the columns {', '.join(missing)}; it has {', '.join(df.columns)}")
-    return df.select(*[_present(F.col(f"`{f.name}`")).alias(f.name) for f in schema.fields])
+    return df.select(*[_present(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _present(cell: F.Column) -> F.Column:
-    """The cell without blanks around it; NULL for a text that means no value."""
-    text = F.trim(cell)
+#: a date, or a date and a time of day, and nothing else in the cell
+DATE_CELL = r"\A\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?\z"
+
+
+def _present(cell: F.Column, kind: T.DataType) -> F.Column:
+    """The cell, NULL for a text that means no value. Blanks around numbers
+    and dates are no part of them; a text is kept as delivered (`` East`` and
+    ``East`` are two regions)."""
+    text = cell if isinstance(kind, T.StringType) else F.trim(cell)
     return F.when(~text.isin(MISSING_TEXTS), text)
 
 
 def _parsed(name: str, kind: T.DataType) -> F.Column:
-    """The cell as its contract type, NULL where it cannot be read. Whole
-    numbers may be written with a fraction of zero (``2.0``)."""
+    """The cell as its contract type, NULL where the whole cell cannot be read
+    as one. Whole numbers may be written with a fraction of zero (``2.0``), a
+    date with a time of day."""
     cell = F.col(f"`{name}`")
     if isinstance(kind, T.DateType):
-        return F.try_to_date(F.substring(cell, 1, 10), "yyyy-MM-dd") if hasattr(F, "try_to_date") else F.expr(
-            f"CAST(try_to_timestamp(substring(`{name}`, 1, 10), 'yyyy-MM-dd') AS DATE)")
+        return F.when(cell.rlike(DATE_CELL), cell.try_cast("timestamp_ntz").cast("date"))
     if isinstance(kind, (T.LongType, T.IntegerType)):
         number = cell.try_cast("double")
         whole = F.when(number == F.floor(number), number).try_cast(kind)

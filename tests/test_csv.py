@@ -67,3 +67,24 @@ def test_predictions_get_their_month_parts(spark, tmp_path):
                           f"{out}/{name}", "csv")
     preds = files.load_reports(spark, out, "csv")["predictions"].first()
     assert (str(preds.Month), preds.Year, preds.MonthNum, preds.MonthLabel, preds.Net_Profit) == ("2024-03-01", 2024, 3, "Mar 2024", 1.5)
+
+
+@pytest.mark.parametrize("cell", ["2022-01-15xyz", "2022-01-155", "2022-01-15 25:00", "2022-02-30", "22-01-15", "2022-01-15 10:00 x"])
+def test_a_date_is_the_whole_cell(spark, tmp_path, cell):
+    path = _write(tmp_path, [SALES | {"Sale_Date": cell}])
+    with pytest.raises(Exception, match="column Sale_Date cannot take"):
+        files.read_sales_csv(spark, path).collect()
+    assert files.read_sales_csv(spark, path, on_bad="null").first().Sale_Date is None
+
+
+def test_dates_with_a_time_of_day(spark, tmp_path):
+    cells = ["2022-01-15", " 2022-01-15 ", "2022-01-15 23:59:59", "2022-01-15T10:00", "2022-01-15 00:00:00.123"]
+    got = files.read_sales_csv(spark, _write(tmp_path, [SALES | {"Sale_Date": c} for c in cells])).collect()
+    assert {str(r.Sale_Date) for r in got} == {"2022-01-15"} and len(got) == len(cells)
+
+
+def test_texts_are_kept_as_delivered(spark, tmp_path):
+    """Blanks are part of a text, not of a number; a missing-value text with blanks is a text."""
+    rows = [SALES | {"Region": r, "Unit_Cost": " 3 "} for r in (" East", "East", "East ", " NA")]
+    got = files.read_sales_csv(spark, _write(tmp_path, rows)).collect()
+    assert [r.Region for r in got] == [" East", "East", "East ", " NA"] and {r.Unit_Cost for r in got} == {3.0}
