@@ -24,17 +24,20 @@ are read once. A size shared by a third of all pieces is no hot key: the sort
 breaks ties by id and the ranges split anywhere.
 
 Defined results: null text is empty text (one token, the end id); repeated
-rows are separate documents; an empty table gives no rows.
+rows and ids are separate documents; pieces of equal length are placed in the
+order of their rows, documents of any length are tokenised part by part and
+cut; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import bisect
+import itertools
 import math
 import os
 import re
-import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,15 +48,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from .common import by_group, partitions, read, stage_table
+from .common import batch_slices, by_group, partitions, read, stage_table
+from .words import SLICE_BYTES, Words, separators, stretch_hashes
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 200_000
+CACHE_UNITS = 400_000
 
-_BLANK = re.compile(r"[ \t\n\r]+")
-_CONTROL = re.compile("[\x1c-\x1f]")
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
+_BLANK = re.compile(r"[ \t\n\r]")
+BLANKS = separators([0x20, 0x09, 0x0A, 0x0D])
+_ASCII_UPPER = separators(range(0x41, 0x5B))
+_ASCII_LETTER = _ASCII_UPPER | separators(range(0x61, 0x7B))
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -61,58 +66,128 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class Encoder(dict):
-    """Whole-text ids as little-endian unsigned 32-bit bytes.
+def _letters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of UTF-8 bytes: is it part of an ASCII or Latin-1 letter, and is it
+    the second byte of a Latin-1 one."""
+    second = np.zeros(len(data), dtype=bool)
+    second[1:] = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)       # but for the signs of times and division
+    letter = _ASCII_LETTER[data] | second
+    letter[:-1] |= second[1:]
+    return letter, second
+
+
+class Units:
+    """The stretches of some texts that are encoded one by one: blank-separated
+    chunks, parted before a last full stop or comma that follows a letter.
+    ``plain``: nothing but Latin-1 letters, lower-cased here as the tokenizer
+    does (the others keep their bytes). ``first`` as in ``Words``."""
+
+    def __init__(self, texts: list[str | None]):
+        w = Words(texts, BLANKS, fold=False)
+        letter, second = _letters(w.data)
+        last = w.data[w.end - 1]
+        parted = ((last == 0x2E) | (last == 0x2C)) & (w.end - w.start > 1) & letter[w.end - 2]
+        before = np.append(0, np.cumsum(parted))
+        at = np.arange(len(w)) + before[:-1]
+        self.start, self.end = np.empty(len(w) + before[-1], np.int64), np.empty(len(w) + before[-1], np.int64)
+        self.start[at], self.end[at] = w.start, w.end - parted
+        self.start[at[parted] + 1], self.end[at[parted] + 1] = w.end[parted] - 1, w.end[parted]
+        self.first = w.first + before[w.first]
+        other = np.append(0, np.cumsum(~letter, dtype=np.int32))
+        self.plain = other[self.end] == other[self.start]
+        edge = np.zeros(len(w.data) + 1, dtype=np.int8)
+        edge[self.start[self.plain]] += 1
+        edge[self.end[self.plain]] -= 1
+        inside = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+        upper = inside & np.where(second, w.data <= 0x9E, _ASCII_UPPER[w.data])
+        self.data = w.data + (upper.astype(np.uint8) << np.uint8(5))
+
+
+class Encoder:
+    """Whole-text ids as unsigned 32-bit arrays.
 
     This tokenizer drops white space and never joins what it parts, so a
-    text's ids are those of its blank-separated chunks in turn. The dict
-    keeps the ids of chunks met before (two generations of ``CACHE_WORDS``).
-    A plain chunk (Latin-1 letters and perhaps one full stop or comma, where
-    normalising means lower-casing and the letters are one pre-token) goes
-    straight to the tokenizer's BPE model; any other through all its steps."""
+    text's ids are those of its units (``Units``) in turn. A slice's units are
+    split and hashed in numpy; each distinct one is looked up by 128 bits, or
+    encoded, once; the texts' ids are gathered by offsets from the ids of
+    units met so far (about ``CACHE_UNITS``, then afresh). A plain unit is one
+    pre-token and goes straight to the tokenizer's BPE model; any other
+    through all its steps."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.older: dict[str, bytes] = {}
         # the byte-level alphabet: each byte's stand-in character, as the library maps it
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = str.maketrans({c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x100)})
-
-    def __missing__(self, chunk: str) -> bytes:
-        out = self.older.get(chunk)
-        if out is None:
-            plain = _PLAIN.fullmatch(chunk)
-            if plain is None:
-                out = self.pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        self.forget()
+
+    def forget(self) -> None:
+        """Start the store of units anew: slot 0 is the end id."""
+        self.slots: dict[int, int] = {}
+        self.pool, self.begin, self.size, self.check = array("I", [END_ID]), array("q", [0]), array("q", [1]), array("Q", [0])
+
+    def add(self, units: list[bytes], plain: list[bool], checks: np.ndarray) -> np.ndarray:
+        """Slots of units not met before."""
+        first, pool, begin, sizes, tokens = len(self.begin), self.pool, self.begin, [], self.model.tokenize
+        for unit, is_plain in zip(units, plain):
+            text = unit.decode("utf-8", "surrogatepass")
+            if is_plain:
+                ids = [t.id for t in tokens(text if text.isascii() else text.translate(self.letters))]
             else:
-                word, end = plain.groups()
-                lower = word.lower()
-                if end or lower != chunk:
-                    out = self[lower] + (self[end] if end else b"")
-                else:
-                    out = self.pack([t.id for t in self.model.tokenize(
-                        lower if lower.isascii() else lower.translate(self.letters))])
-        if len(self) >= CACHE_WORDS:
-            self.older = dict(self)
-            self.clear()
-        if len(chunk) <= 64:
-            self[chunk] = out
-        return out
-
-    @staticmethod
-    def pack(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        for text in texts:
-            text = text or ""
-            # str.split also parts at U+001C..1F, which this tokenizer doesn't count as white space
-            chunks = text.split() if _CONTROL.search(text) is None else _BLANK.split(text)
-            yield b"".join(map(self.__getitem__, chunks))
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            begin.append(len(pool))
+            sizes.append(len(ids))
+            pool.extend(ids)
+        self.size.extend(sizes)
+        self.check.extend(checks.tolist())
+        return np.arange(first, len(begin))
+
+    def __call__(self, texts: list[str | None], end: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids one after the other, and where each text's begin
+        (with the total at the end); ``end``: each text closes with the end id."""
+        if len(self.begin) > CACHE_UNITS:
+            self.forget()
+        u = Units(texts)
+        one, two = (stretch_hashes(u.data, u.start, u.end, lane) for lane in (0, 1))
+        value, index, number = np.unique(one, return_index=True, return_inverse=True)
+        if not (two == two[index][number]).all():            # unlike units of one 64-bit value: parted by the second lane
+            _, index, number = np.unique(np.stack([one, two], axis=1), axis=0, return_index=True, return_inverse=True)
+            value, number = one[index], number.reshape(-1)
+        keys, checks = value.tolist(), two[index]
+        found = np.fromiter(map(self.slots.get, keys, itertools.repeat(-1)), np.int64, len(keys))
+        stored = np.frombuffer(self.check, np.uint64).copy()
+        found[(found >= 0) & (stored[found] != checks)] = -1
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            begin, stop = u.start[index[new]].tolist(), u.end[index[new]].tolist()
+            data = u.data.tobytes()
+            found[new] = self.add([data[a:b] for a, b in zip(begin, stop)], u.plain[index[new]].tolist(), checks[new])
+            self.slots.update(zip(value[new].tolist(), found[new].tolist()))
+        slots = found[number]
+        stop = u.first[1:].copy()
+        if end:
+            slots = np.insert(slots, stop, 0)
+            stop += np.arange(1, len(stop) + 1)
+        pool, begin, size = np.array(self.pool, dtype=np.uint32), np.array(self.begin), np.array(self.size)
+        length = size[slots]
+        total = np.append(0, np.cumsum(length))
+        at = np.repeat(begin[slots] - total[:-1], length) + np.arange(total[-1])
+        return pool[at], np.append(0, total[stop])
+
+
+def cut_long(text: str, limit: int = SLICE_BYTES) -> list[str]:
+    """A long text in parts that begin and end at blanks."""
+    parts, begin = [], 0
+    while len(text) - begin > limit:
+        blank = _BLANK.search(text, begin + limit)
+        if blank is None:
+            break
+        parts.append(text[begin:blank.start()])
+        begin = blank.end()
+    return [*parts, text[begin:]]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -136,34 +211,40 @@ def tokenize(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
              text: str = "text", with_ids: bool = False) -> DataFrame:
     """Pieces of every document; ``with_ids`` adds their ids (array<int>)."""
     path = path or tokenizer_path()
-    end = np.array([END_ID], dtype="<u4").tobytes()
     schema = T.StructType([*PIECES.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]) if with_ids else PIECES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         for batch in batches:
-            rows: list[list] = [[] for _ in schema]
-            for key, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
-                ids += end
-                for n, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at:at + 4 * capacity]
-                    values = [key, n, at // 4, len(part) // 4, zlib.crc32(part)]
-                    if with_ids:
-                        values.append(np.frombuffer(part, "<u4").astype(np.int32))
-                    for column, v in zip(rows, values):
-                        column.append(v)
-                if with_ids and len(rows[0]) >= 2000:
-                    yield _batch(rows, with_ids)
-                    rows = [[] for _ in schema]
-            yield _batch(rows, with_ids)
+            for a, b in batch_slices(batch.column(1), SLICE_BYTES):
+                texts = batch.column(1).slice(a, b - a).to_pylist()
+                if len(texts) == 1 and len(texts[0] or "") > 2 * SLICE_BYTES:
+                    *most, last = cut_long(texts[0])                  # encoded part by part
+                    ids = np.concatenate([*(encode([t], end=False)[0] for t in most), encode([last])[0]])
+                    first = np.array([0, len(ids)])
+                else:
+                    ids, first = encode(texts)
+                yield _pieces(batch.column(0).slice(a, b - a), ids, first, capacity, with_ids)
     return docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text")
                        ).mapInArrow(run, schema)
 
 
-def _batch(rows: list[list], with_ids: bool) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.list_(pa.int32())] * with_ids
-    return pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds)],
-                                      names=[f.name for f in PIECES] + ["ids"] * with_ids)
+def _pieces(keys: pa.Array, ids: np.ndarray, first: np.ndarray, capacity: int, with_ids: bool) -> pa.RecordBatch:
+    """Rows of the pieces of some texts, whose ids begin at ``first``."""
+    ids = np.ascontiguousarray(ids, dtype="<u4")
+    size = np.diff(first)
+    count = -(-size // capacity)
+    doc = np.repeat(np.arange(len(size)), count)
+    piece = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+    start = piece * capacity
+    length = np.minimum(size[doc] - start, capacity)
+    begin = first[doc] + start
+    crc = [zlib.crc32(ids[a:a + n]) for a, n in zip(begin.tolist(), length.tolist())]
+    columns = [keys.take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
+               pa.array(crc, pa.int64())]
+    if with_ids:                                  # pieces stand one after the other
+        columns.append(pa.ListArray.from_arrays(pa.array(np.append(begin, len(ids)), pa.int32()), pa.array(ids.astype(np.int32))))
+    return pa.RecordBatch.from_arrays(columns, names=[f.name for f in PIECES] + ["ids"] * with_ids)
 
 
 # --- rounds ---------------------------------------------------------------

@@ -91,22 +91,28 @@ class Words:
         begins = np.zeros(len(raw) + 1, dtype=np.int64)
         begins[1:] = np.cumsum(np.fromiter((len(r) + 1 for r in raw), np.int64, len(raw)))
         self.first = np.searchsorted(self.start, begins + 1, side="left")
-        self.hash = self.hash_of(self.start, self.end)
-        self._second: np.ndarray | None = None
+        self._lanes: list[np.ndarray | None] = [None, None]
 
     def hash_of(self, start: np.ndarray, end: np.ndarray, lane: int = 0) -> np.ndarray:
         """Hash of any stretches of ``data``; equal bytes give equal values."""
         return stretch_hashes(self.data, start, end, lane)
 
+    def _lane(self, lane: int) -> np.ndarray:
+        if self._lanes[lane] is None:
+            self._lanes[lane] = self.hash_of(self.start, self.end, lane)
+        return self._lanes[lane]
+
+    @property
+    def hash(self) -> np.ndarray:
+        return self._lane(0)
+
     @property
     def hash2(self) -> np.ndarray:
         """The second lane, independent of the first."""
-        if self._second is None:
-            self._second = self.hash_of(self.start, self.end, 1)
-        return self._second
+        return self._lane(1)
 
     def __len__(self) -> int:
-        return len(self.hash)
+        return len(self.start)
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
