@@ -1,8 +1,9 @@
-"""Command line: the two batch stages.
+"""Command line: the batch stages.
 
   python -m shelfwise master --sales S.csv --inventory I.csv --out DIR
   python -m shelfwise master --tables /path/to/sf_dir --out DIR
   python -m shelfwise model  --out DIR [--trees N --rounds N --no-cv]
+  python -m shelfwise score  --out DIR [--fill]      (models saved by ``model``; no fitting)
 
 On a cluster run it with ``spark-submit``; the session (master URL,
 checkpoint folder, partitions) comes from the submit configuration.
@@ -16,7 +17,7 @@ from dataclasses import replace
 from pyspark.sql import SparkSession
 
 from .plans import master as master_plan
-from .plans import modelling
+from .plans import modelling, scoring
 from .schema import ModelParams
 from .session import ensure_checkpoint_dir, ensure_sql_settings, remove_stages
 
@@ -36,6 +37,10 @@ def main(argv: list[str] | None = None) -> None:
     d.add_argument("--trees", type=int)
     d.add_argument("--rounds", type=int)
     d.add_argument("--no-cv", action="store_true")
+    s = sub.add_parser("score", help="master table + saved models → predictions by year")
+    s.add_argument("--out", required=True)
+    s.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    s.add_argument("--fill", action="store_true", help="score rows that lack a feature on the training medians")
     args = ap.parse_args(argv)
 
     from pyspark import SparkConf
@@ -54,6 +59,8 @@ def main(argv: list[str] | None = None) -> None:
             ap.error("give --tables or both --sales and --inventory")
         path = master_plan.write_master(table, args.out, args.format)
         print(f"master table written to {path}")
+    elif args.cmd == "score":
+        print(f"predictions written to {scoring.run(spark, args.out, args.format, args.fill)}")
     else:
         p = ModelParams()
         if args.trees:

@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 
 from .catalog import register
 from .oracle import master_sql, with_ctes, RAW_CTES, ROLLUP_CTES
-from .operators import features, rollups
+from .operators import features
 from .plans import master as master_plan
 from .schema import KEY
-from .sources import tables
 
 SALES_AGG_DOUBLES = ("Total_Sales_Amount", "Avg_Unit_Cost", "Avg_Unit_Price", "Avg_Discount_Sales")
 INV_AGG_DOUBLES = ("Inventory_Level", "Demand_Forecast", "Avg_Price", "Avg_Discount_Inv",
@@ -57,10 +56,8 @@ def inventory_rollup(spark, sf_dir):
 @register("category_remap", _rollup_sql(
     "SELECT Category, count(*) AS n_rows FROM inv_m GROUP BY Category"))
 def category_remap(spark, sf_dir):
-    """Categories after the remap, with their line counts."""
-    inv = rollups.remap_category(tables.inventory_view(spark, sf_dir),
-                                 tables.TESTDATA_CATEGORY_MAP)
-    return inv.groupBy("Category").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Categories after the remap, with their line counts, from the one line pass."""
+    return master_plan.staged_parts(spark, sf_dir).filter("kind = 'I'").groupBy("Category").agg(F.sum("rows").alias("n_rows"))
 
 
 # ------------------------------------------------------------ join/master
@@ -175,18 +172,9 @@ FROM (SELECT count(*) AS sales_rows,
       FROM (SELECT * REPLACE (CASE WHEN Category = 'Groceries' THEN 'STANDARD' ELSE Category END
                               AS Category) FROM inventory)) i"""))
 def input_profile(spark, sf_dir):
-    """Shapes and sorted distinct categories / regions of both inputs."""
-    raw = master_plan.raw_from_tables(spark, sf_dir)
-    s = quality.input_profile(raw.sales, "Product_Category", "Region").select(
-        F.col("rows").alias("sales_rows"),
-        F.col("Product_Category_values").alias("sales_categories"),
-        F.col("Region_values").alias("sales_regions"))
-    i = quality.input_profile(rollups.remap_category(raw.inventory, raw.category_map),
-                              "Category", "Region").select(
-        F.col("rows").alias("inventory_rows"),
-        F.col("Category_values").alias("inventory_categories"),
-        F.col("Region_values").alias("inventory_regions"))
-    return s.crossJoin(i)
+    """Shapes and sorted distinct categories / regions of both inputs,
+    from the one line pass."""
+    return quality.profile_of_parts(master_plan.staged_parts(spark, sf_dir))
 
 
 # ------------------------------------------------------- modelling frame

@@ -7,6 +7,8 @@ level is an aggregation over the partitions of the (small) modelling frame.
 
 from __future__ import annotations
 
+import math
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -19,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import np_round
 from ..schema import FEATURE_COLS, HIGH_PROFIT, KEY, LOW_PROFIT, BusinessRules, ModelParams
+from ..session import path_exists, stage_folder, stage_table
 from . import prep
 
 SALES, MARGIN, QTY = "Total_Sales_Amount", "Net_Profit_Margin", "Total_Qty_Sold"
@@ -138,25 +141,21 @@ class Fitted:
         self.frame.unpersist()
 
 
-# Partitions of the training frame. A fixed number, dealt by the row key and
-# sorted inside: bagging is seeded per partition, so the fitted models depend
-# on the rows and the seed alone, not on the cluster, the session's shuffle
-# setting or the frame's size. Two, because every tree level aggregates one
-# array of all its nodes per partition: on a frame of some thousand rows (one
-# per month and segment) more partitions only multiply that.
-TRAINING_PARTITIONS = 2
-
-
 def training_frame(master: DataFrame, p: ModelParams = ModelParams()) -> DataFrame:
     """Model frame + split flag + fold + class label + feature vector, cached
-    once and reused by every fit; ``TRAINING_PARTITIONS`` partitions."""
+    once and reused by every fit. Its partitions follow its rows (one for each
+    ``partition_rows``), are dealt by the row key and sorted inside: bagging is
+    seeded per partition, so the fitted models depend on the rows, the seed
+    and that parameter, not on the cluster or the session's shuffle setting.
+    (Every tree level aggregates one array of all its nodes per partition: on
+    some thousand rows more partitions would only multiply that.)"""
     frame = prep.model_frame(master)
     frame = prep.with_split(frame, p)
     frame = prep.with_folds(frame, p.folds)
     frame = prep.with_class_label(frame)
-    frame = prep.assembler().transform(frame)
-    return (frame.repartition(TRAINING_PARTITIONS, *KEY).sortWithinPartitions(*KEY)
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    frame = stage_table(prep.assembler().transform(frame), "training-frame")
+    parts = max(1, math.ceil(frame.count() / p.partition_rows))
+    return frame.repartition(parts, *KEY).sortWithinPartitions(*KEY).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def fit_all(jobs: list[tuple[object, DataFrame]], parallelism: int = 4) -> list:
@@ -183,59 +182,73 @@ def fit_models(master: DataFrame, p: ModelParams = ModelParams()) -> Fitted:
     return Fitted(sales=sales, margin=margin, qty=qty, cls=cls, frame=frame, params=p)
 
 
+def cv_regressors(p: ModelParams) -> list[tuple[str, object, str]]:
+    """The three cross-validated regressors as (name, estimator, label)."""
+    return [("Profit_Margin", margin_estimator(p, "_cv"), MARGIN), ("Sales_Amount", sales_estimator(p, "_cv"), SALES),
+            ("Sell_Quantity", qty_estimator(p, "_cv"), QTY)]
+
+
+def cv_folds(frame: DataFrame, regressors: list[tuple[str, object, str]], k: int, store: str | None = None,
+             parallelism: int = 8, pred: str = "_cv") -> DataFrame:
+    """M8, fold by fold → (Model, fold, R2): each of k contiguous folds held
+    out and scored by a model fitted on the others. All fits run side by side
+    (tree learning on a small frame is a chain of small jobs), and each writes
+    its one row to a folder of its own below ``store`` when it is done; a run
+    that was stopped goes on with the fits that are missing there. ``store``
+    must belong to the frame and the parameters (see ``result_folder``)."""
+    spark = frame.sparkSession
+    store = store or f"{stage_folder(spark)}/cv-{uuid.uuid4().hex}"
+    schema = "Model string, fold int, R2 double"
+
+    def one(job) -> str:
+        name, est, label, f = job
+        path = f"{store}/{name}-{f}"
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            model = est.copy().fit(frame.filter(F.col("fold") != f))
+            held = model.transform(frame.filter(F.col("fold") == f))
+            r2 = regression_metrics(held, label, pred).select(F.lit(name).alias("Model"), F.lit(f).alias("fold"), "R2")
+            r2.coalesce(1).write.mode("overwrite").parquet(path)
+        return path
+    jobs = [(name, est, label, f) for name, est, label in regressors for f in range(k)]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs)))) as pool:
+        paths = list(pool.map(one, jobs))
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def cv_all(frame: DataFrame, regressors: list[tuple[str, object, str]], k: int, store: str | None = None,
+           parallelism: int = 8, pred: str = "_cv") -> DataFrame:
+    """M8: mean R² over the folds → (Model, CV_R2)."""
+    return cv_folds(frame, regressors, k, store, parallelism, pred).groupBy("Model").agg(F.avg("R2").alias("CV_R2"))
+
+
 def cv_r2(frame: DataFrame, estimator, label: str, pred: str, k: int) -> DataFrame:
-    """M8: mean R² over k contiguous folds, each fitted on the other folds
-    (an unfitted copy per fold; folds fitted concurrently)."""
-    fitted = fit_all([(estimator.copy(), frame.filter(F.col("fold") != f)) for f in range(k)], k)
-    per_fold = []
-    for f, model in enumerate(fitted):
-        held = model.transform(frame.filter(F.col("fold") == f))
-        per_fold.append(regression_metrics(held, label, pred).select(F.lit(f).alias("fold"), "R2"))
-    out = per_fold[0]
-    for d in per_fold[1:]:
-        out = out.unionByName(d)
-    return out.agg(F.avg("R2").alias("CV_R2"))
-
-
-def cv_all(frame: DataFrame, regressors: list[tuple[str, object, str]], k: int, parallelism: int = 8) -> DataFrame:
-    """M8 for several (name, estimator, label) at once: all folds of all of
-    them are fitted side by side → (Model, CV_R2)."""
-    jobs = [(est.copy(), frame.filter(F.col("fold") != f)) for _, est, _ in regressors for f in range(k)]
-    fitted = fit_all(jobs, parallelism)
-    out = None
-    for i, (name, _, label) in enumerate(regressors):
-        for f in range(k):
-            held = fitted[i * k + f].transform(frame.filter(F.col("fold") == f))
-            r2 = regression_metrics(held, label, "_cv").select(F.lit(name).alias("Model"), "R2")
-            out = r2 if out is None else out.unionByName(r2)
-    return out.groupBy("Model").agg(F.avg("R2").alias("CV_R2"))
+    """M8 for one estimator that predicts into ``pred``: (CV_R2)."""
+    return cv_all(frame, [(label, estimator, label)], k, pred=pred).select("CV_R2")
 
 
-def score_table(fitted: Fitted, with_cv: bool | None = None) -> DataFrame:
+def score_table(fitted: Fitted, with_cv: bool | None = None, cv: DataFrame | None = None) -> DataFrame:
     """U1 + M13: one row per model, sparse columns, rounded like the
-    reference (MAE 2 dp, margin MAE 4 dp, R² 4 dp, accuracy 4 dp)."""
+    reference (MAE 2 dp, margin MAE 4 dp, R² 4 dp, accuracy 4 dp). ``cv``:
+    the regressors' (Model, CV_R2) if they are there already; else they are
+    cross-validated when ``with_cv`` (or the parameters) asks for it."""
     p = fitted.params
-    with_cv = p.cv if with_cv is None else with_cv
+    if cv is None and (p.cv if with_cv is None else with_cv):
+        cv = cv_all(fitted.frame, cv_regressors(p), p.folds)
     test = fitted.frame.filter(F.col("is_test"))
-    specs = [("Sales_Amount", fitted.sales, SALES, "Predicted_Sales", 2,
-              sales_estimator(p, "_cv")),
-             ("Profit_Margin", fitted.margin, MARGIN, "Predicted_Margin_Pct", 4,
-              margin_estimator(p, "_cv")),
-             ("Sell_Quantity", fitted.qty, QTY, "_pred_qty", 2, qty_estimator(p, "_cv"))]
-    rows = []
-    for name, model, label, pred, mae_dp, est in specs:
-        m = regression_metrics(model.transform(test), label, pred)
-        if with_cv:
-            m = m.crossJoin(cv_r2(fitted.frame, est, label, "_cv", p.folds))
-        else:
-            m = m.withColumn("CV_R2", F.lit(None).cast("double"))
-        rows.append(m.select(F.lit(name).alias("Model"), np_round("MAE", mae_dp).alias("MAE"),
-                             np_round("R2", 4).alias("R2"), np_round("CV_R2", 4).alias("CV_R2")))
+    specs = [("Sales_Amount", fitted.sales, SALES, "Predicted_Sales", 2),
+             ("Profit_Margin", fitted.margin, MARGIN, "Predicted_Margin_Pct", 4),
+             ("Sell_Quantity", fitted.qty, QTY, "_pred_qty", 2)]
+    out = None
+    for name, model, label, pred, mae_dp in specs:
+        row = regression_metrics(model.transform(test), label, pred).select(
+            F.lit(name).alias("Model"), np_round("MAE", mae_dp).alias("MAE"), np_round("R2", 4).alias("R2"))
+        out = row if out is None else out.unionByName(row)
+    if cv is None:
+        out = out.withColumn("CV_R2", F.lit(None).cast("double"))
+    else:
+        out = out.join(cv.select("Model", np_round("CV_R2", 4).alias("CV_R2")), "Model", "left")
     acc = accuracy(fitted.cls.transform(test)).select(
         F.lit("Profit_Classifier").alias("Model"), np_round("Accuracy", 4).alias("Accuracy"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
     return out.unionByName(acc, allowMissingColumns=True)
 
 
@@ -268,10 +281,11 @@ def derive_predictions(df: DataFrame, rules: BusinessRules = BusinessRules()) ->
                         F.col("Predicted_Gross_Profit") - F.col("Predicted_Transport_Cost")))
 
 
-def score(fitted: Fitted, rules: BusinessRules = BusinessRules()) -> DataFrame:
-    """Every modelling row scored by the four models (chained
-    transforms with distinct output columns), then F19-F23."""
-    df = fitted.frame
+def score(fitted: Fitted, rules: BusinessRules = BusinessRules(), frame: DataFrame | None = None) -> DataFrame:
+    """Every row of the modelling frame (or of another ``frame`` with the
+    feature vector) scored by the four models (chained transforms with
+    distinct output columns), then F19-F23."""
+    df = fitted.frame if frame is None else frame
     for model in (fitted.sales, fitted.margin, fitted.qty, fitted.cls):
         df = model.transform(df)
     df = derive_predictions(df, rules)

@@ -9,7 +9,7 @@ counts and offsets instead of one global window.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,19 +20,27 @@ from ..schema import ENCODED_COLS, FEATURE_COLS, SEGMENT, TARGET_COLS, ModelPara
 NULL_LABEL = "nan"   # text a missing category gets before encoding (fixed value)
 
 
-def encode_labels(master: DataFrame) -> DataFrame:
-    """``<col>_enc`` = position of the value among the sorted distinct
-    values (missing → the text ``nan``), fitted on the whole master table
-    before any row is dropped. StringIndexer collects only the distinct
-    labels (a handful per column) to the driver."""
-    staged = master
+def _label_texts(master: DataFrame) -> DataFrame:
     for c in ENCODED_COLS:
-        staged = staged.withColumn(f"_{c}_txt", F.coalesce(F.col(c), F.lit(NULL_LABEL)))
-    indexer = StringIndexer(
+        master = master.withColumn(f"_{c}_txt", F.coalesce(F.col(c), F.lit(NULL_LABEL)))
+    return master
+
+
+def fit_labels(master: DataFrame) -> StringIndexerModel:
+    """the code of a value is its position among the sorted distinct
+    values (missing → the text ``nan``). StringIndexer collects only the
+    distinct labels (a handful per column) to the driver."""
+    return StringIndexer(
         inputCols=[f"_{c}_txt" for c in ENCODED_COLS],
         outputCols=[f"{c}_enc" for c in ENCODED_COLS],
-        stringOrderType="alphabetAsc", handleInvalid="keep")
-    out = indexer.fit(staged).transform(staged)
+        stringOrderType="alphabetAsc", handleInvalid="keep").fit(_label_texts(master))
+
+
+def encode_labels(master: DataFrame, labels: StringIndexerModel | None = None) -> DataFrame:
+    """``<col>_enc`` columns by ``labels``, else by codes fitted on the
+    whole master table before any row is dropped. A value that ``labels`` has
+    not seen gets the code after the last."""
+    out = (labels or fit_labels(master)).transform(_label_texts(master))
     for c in ENCODED_COLS:
         # plain numbers, as the reference's trees see them (no nominal metadata)
         out = out.withMetadata(f"{c}_enc", {}).drop(f"_{c}_txt")
@@ -111,6 +119,22 @@ def assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=FEATURE_COLS, outputCol="features")
 
 
+def feature_medians(train: DataFrame) -> DataFrame:
+    """The exact (interpolated) median of each feature over the training
+    rows, one row, from one range sort."""
+    return exact_quantiles(train, {c: (c, 0.5) for c in FEATURE_COLS})
+
+
+def fill_features(df: DataFrame, medians: DataFrame) -> DataFrame:
+    """A8 in use: the rows that P5 would drop for a missing feature get the
+    training rows' medians in its place, so that they can be scored. Features
+    become doubles."""
+    med = F.broadcast(medians.select(*[F.col(c).cast("double").alias(f"_med_{c}") for c in FEATURE_COLS]))     # one row
+    out = df.crossJoin(med)
+    return out.select(*[F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")).alias(c) if c in FEATURE_COLS else F.col(c)
+                        for c in df.columns])
+
+
 def median_fill(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Fill NULLs of each column with its exact (interpolated) median.
     After ``model_frame`` drops incomplete rows this changes nothing (as in

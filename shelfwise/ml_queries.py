@@ -14,13 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .catalog import register
-from .functions.columns import np_round
 from .ml import models
 from .operators import dashboard, summaries
 from .plans import master as master_plan
 from .plans import modelling
 from .schema import ModelParams
-from .session import stage_table
+from .session import result_folder, stage_table
 
 PARAMS = ModelParams()
 
@@ -85,14 +84,12 @@ _CV: dict[tuple, DataFrame] = {}
 
 
 def _cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cross-validated R² per regressor, staged."""
+    """Cross-validated R² per regressor, staged. Each fold's result lies in a
+    folder named by the tables' state and the parameters: a run that was
+    stopped, in this session or another, does only the fits that are missing."""
     def make():
-        frame, p = _frame(spark, sf_dir), PARAMS
-        parts = models.cv_all(frame, [
-            ("Sales_Amount", models.sales_estimator(p, "_cv"), models.SALES),
-            ("Profit_Margin", models.margin_estimator(p, "_cv"), models.MARGIN),
-            ("Sell_Quantity", models.qty_estimator(p, "_cv"), models.QTY)], p.folds)
-        return stage_table(parts, "cv_scores")
+        store = result_folder(spark, "cv", master_plan.stage_key(spark, sf_dir)[1:], PARAMS, spark.version)
+        return stage_table(models.cv_all(_frame(spark, sf_dir), models.cv_regressors(PARAMS), PARAMS.folds, store), "cv_scores")
     return master_plan.remember(_CV, master_plan.stage_key(spark, sf_dir), make)
 
 
@@ -106,9 +103,7 @@ def cv_scores(spark, sf_dir):
 def model_scores(spark, sf_dir):
     """The full score table — holdout MAE and R², CV R² (4 dp),
     classifier accuracy — one row per model, sparse columns."""
-    holdout = models.score_table(_fitted(spark, sf_dir), with_cv=False).drop("CV_R2")
-    cv = _cv(spark, sf_dir).select("Model", np_round("CV_R2", 4).alias("CV_R2"))
-    return holdout.join(cv, "Model", "left").select("Model", "MAE", "R2", "CV_R2", "Accuracy")
+    return models.score_table(_fitted(spark, sf_dir), cv=_cv(spark, sf_dir))
 
 
 @register("feature_importance")
@@ -117,16 +112,25 @@ def feature_importance(spark, sf_dir):
     return models.feature_importance(_fitted(spark, sf_dir))
 
 
+_SCORED: dict[tuple, DataFrame] = {}
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every modelling row scored by the four models, written once."""
+    return master_plan.remember(_SCORED, master_plan.stage_key(spark, sf_dir), lambda: stage_table(
+        models.score(_fitted(spark, sf_dir)), "scored"))
+
+
 @register("scored_frame")
 def scored_frame(spark, sf_dir):
     """M11 + F19-F23: the prediction output table."""
-    return modelling.select_prediction_columns(models.score(_fitted(spark, sf_dir)))
+    return modelling.select_prediction_columns(_scored(spark, sf_dir))
 
 
 @register("monthly_summary_scored")
 def monthly_summary_scored(spark, sf_dir):
     """A3: monthly summary including predicted sales and profit."""
-    return summaries.monthly_summary(models.score(_fitted(spark, sf_dir)))
+    return summaries.monthly_summary(_scored(spark, sf_dir))
 
 
 @register("score_union")

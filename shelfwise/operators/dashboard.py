@@ -54,8 +54,11 @@ def filter_choices(preds: DataFrame) -> DataFrame:
 
 
 def with_month_parts(preds: DataFrame) -> DataFrame:
-    """Year, MonthNum and the ``Mon YYYY`` label from Month."""
-    return (preds.withColumn("Year", F.year("Month").cast("bigint"))
+    """Year, MonthNum and the ``Mon YYYY`` label from Month. A Year
+    that is there already (the folder a row was written to) stays, so that a
+    year filter still prunes folders."""
+    year = F.col("Year") if "Year" in preds.columns else F.year("Month")
+    return (preds.withColumn("Year", year.cast("bigint"))
             .withColumn("MonthNum", F.month("Month").cast("bigint"))
             .withColumn("MonthLabel", F.date_format("Month", "MMM yyyy")))
 

@@ -50,3 +50,15 @@ def input_profile(df: DataFrame, *columns: str) -> DataFrame:
     aggs += [F.array_join(F.sort_array(F.collect_set(c)), ",").alias(f"{c}_values")
              for c in columns]
     return df.agg(*aggs)
+
+
+def profile_of_parts(parts: DataFrame) -> DataFrame:
+    """A21 from the line pass's parts: lines, sorted distinct categories and
+    regions of both inputs, in one row."""
+    out = []
+    for name, kind in (("sales", "S"), ("inventory", "I")):
+        mine = F.col("kind") == kind
+        out.append(F.coalesce(F.sum(F.when(mine, F.col("rows"))), F.lit(0)).alias(f"{name}_rows"))
+        for column, plural in (("Category", "categories"), ("Region", "regions")):
+            out.append(F.array_join(F.sort_array(F.collect_set(F.when(mine, F.col(column)))), ",").alias(f"{name}_{plural}"))
+    return parts.agg(*out)

@@ -203,8 +203,8 @@ def _typed_nulls(types: dict, cols: list[str]) -> list:
 
 def _parts_by_key(rows: DataFrame) -> DataFrame:
     mode_keys = [src for _, src in _MODES]
-    return (_non_null_keys(rows).groupBy("kind", *KEY, *mode_keys)
-            .agg(*_parts(_SALES_SPEC), *_parts(_INVENTORY_SPEC),
+    return (rows.groupBy("kind", *KEY, *mode_keys)
+            .agg(F.count(F.lit(1)).alias("rows"), *_parts(_SALES_SPEC), *_parts(_INVENTORY_SPEC),
                  *[F.count(src).alias(f"{src}__n") for src in mode_keys]))
 
 
@@ -261,21 +261,13 @@ def raw_rollup_parts(sales: DataFrame, inventory: DataFrame,
                          .unionByName(_inventory_rows(inventory, s_types, category_map)))
 
 
-def sales_parts(sales: DataFrame) -> DataFrame:
-    """Step 1 over sales rows only (same schema as :func:`raw_rollup_parts`)."""
-    return _parts_by_key(_sales_rows(sales, _contract_types()[1]))
-
-
-def inventory_parts(inventory: DataFrame, category_map: dict[str, str] | None = None) -> DataFrame:
-    """Step 1 over inventory rows only (same schema as :func:`raw_rollup_parts`)."""
-    return _parts_by_key(_inventory_rows(inventory, _contract_types()[0], category_map))
-
-
 def combined_rollup_finish(parts: DataFrame) -> DataFrame:
     """Step 2 (small table): totals and modes per (kind, month, region,
     category): kind, month, region, category, then every sales and
-    inventory measure (only the row kind's own measures are meaningful)."""
+    inventory measure (only the row kind's own measures are meaningful).
+    Lines that lack a key were counted in the parts and go here."""
     keys = ["kind", *KEY]
+    parts = _non_null_keys(parts)
     totals = parts.groupBy(*keys).agg(*_finals(_SALES_SPEC), *_finals(_INVENTORY_SPEC))
     for name, src in _MODES:
         counts = (parts.filter(F.col(src).isNotNull()).groupBy(*keys, src)

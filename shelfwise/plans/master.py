@@ -65,9 +65,19 @@ def remember(store: dict, key: tuple[str, str, str], make):
     return store[key]
 
 
+_PARTS: dict[tuple[str, str, str], DataFrame] = {}
 _ROLLUPS: dict[tuple[str, str, str], DataFrame] = {}
 
 
+def staged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line-level stage's output: additive parts of both roll-ups and the
+    number of lines behind each, from the one pass over the line table."""
+    def make():
+        ensure_checkpoint_dir(spark)
+        return stage_table(combined_rollup_parts(tables.line_facts(spark, sf_dir), dict(tables.TESTDATA_CATEGORY_MAP)), "rollup_parts")
+    return remember(_PARTS, stage_key(spark, sf_dir), make)
+
+
 def rollups_from_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(sales_agg, inv_agg) from one pass over the line table
     (``tables.line_facts`` → ``rollups.combined_rollup_parts``, a plain hash
@@ -75,12 +85,8 @@ def rollups_from_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     stage's output, written once per session and state of the tables as a
     stage table (and the finished roll-up after it), so the totals, the two
     modes and the J1 join, which all read it, never re-run the line pass."""
-    def make():
-        ensure_checkpoint_dir(spark)
-        parts = stage_table(combined_rollup_parts(tables.line_facts(spark, sf_dir),
-                                                  dict(tables.TESTDATA_CATEGORY_MAP)), "rollup_parts")
-        return stage_table(combined_rollup_finish(parts), "rollups")
-    return split_rollup(remember(_ROLLUPS, stage_key(spark, sf_dir), make))
+    return split_rollup(remember(_ROLLUPS, stage_key(spark, sf_dir), lambda: stage_table(
+        combined_rollup_finish(staged_parts(spark, sf_dir)), "rollups")))
 
 
 def master_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,6 +123,5 @@ def staged_model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_master(df: DataFrame, out_dir: str, fmt: str = "parquet") -> str:
-    """One file set, sorted by segment and month inside each task."""
-    return files.write_table(df.sortWithinPartitions("Region", "Category", "Month"),
-                             f"{out_dir}/master_dataset", fmt)
+    """One file set in the order of segment and month as a whole."""
+    return files.write_table(df, f"{out_dir}/master_dataset", fmt, order_by=["Region", "Category", "Month"])

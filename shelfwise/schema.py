@@ -199,3 +199,4 @@ class ModelParams:
     gbt_subsample: float = 0.8
     max_bins: int = 32
     cv: bool = True
+    partition_rows: int = 100_000      # rows of the training frame a partition

@@ -8,6 +8,7 @@ tests, the bench and the driver smoke check only.
 from __future__ import annotations
 
 import atexit
+import hashlib
 import os
 import re
 import shutil
@@ -97,32 +98,45 @@ def stage_table(df, name: str):
     and a columnar input for every later step. The folder is the shared
     one the cluster names, so the table survives lost executors."""
     spark = df.sparkSession
-    path = f"{_stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def _stage_folder(spark: SparkSession) -> str:
+def stage_folder(spark: SparkSession) -> str:
+    """Where this application's stage tables lie."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/shelfwise-stages/{spark.sparkContext.applicationId}"
 
 
+def result_folder(spark: SparkSession, kind: str, *state) -> str:
+    """A folder for results that outlive the application (fits that a stopped
+    run need not do again), named by what they were computed from."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/shelfwise-results/{kind}-{hashlib.sha256(repr(state).encode()).hexdigest()[:32]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def remove_stages(spark: SparkSession) -> None:
     """Delete this application's stage tables; call it when a run has ended
     and its results are written (frames that read stage tables end with it)."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stage_folder(spark))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def tables_stamp(spark: SparkSession, folder: str, tables: tuple[str, ...]) -> str:
-    """Names, sizes and modification times of the files of some tables: what
-    a remembered result was computed from. A replaced table changes it."""
+def tables_stamp(spark: SparkSession, folder: str, tables: tuple[str, ...], suffix: str = ".parquet") -> str:
+    """What a remembered result was computed from: of each table its bytes,
+    number of files and time of change. A replaced table changes it. Three
+    calls a table, however many files it has (the file system adds them up)."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     found = []
     for table in tables:
-        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{table}.parquet")
-        files = path.getFileSystem(conf).listFiles(path, True)
-        while files.hasNext():
-            f = files.next()
-            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{table}{suffix}")
+        fs = path.getFileSystem(conf)
+        whole = fs.getContentSummary(path)
+        found.append((table, whole.getLength(), whole.getFileCount(), fs.getFileStatus(path).getModificationTime()))
     return repr(sorted(found))

@@ -147,17 +147,23 @@ def load_reports(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> dic
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
-                partition_by: list[str] | None = None, single_file: bool = False) -> str:
+                partition_by: list[str] | None = None, single_file: bool = False, order_by: list[str] | None = None) -> str:
     """Executor-parallel write (the writer creates the folder).
 
+    ``partition_by`` makes a folder for each value; only the folders that
+    ``df`` has rows for are replaced, others stay. ``order_by`` puts the whole
+    output in order: rows are dealt by key range and sorted, so that files in
+    the order of their names hold successive ranges.
     ``single_file`` is for the tiny tables (importances, scores, report); only
     the finished rows meet in one task (a repartition, not a coalesce, which
     would pull the stage above into that task)."""
     if single_file:
         df = df.repartition(1)
+    if order_by:
+        df = df.orderBy(*order_by)
     writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)

@@ -1,32 +1,46 @@
-"""The model stage's outputs on closed-form scorers, so that SQL can check
-them: the segment-mean scorer (``ml.baseline``) in place of the four models,
-the category mean in the folds, and absolute correlations in place of the
-importances. The code after the models is the library's own."""
+"""The model stage on closed-form estimators, so that SQL can check it: group
+means (``ml.standin``) by segment in place of the four models, by category in
+the folds, with absolute correlations as importances. Fitting, folds, score
+table, scoring and importances are the library's own code."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from .catalog import register
-from .dashboard_queries import _preds
-from .functions.columns import davg, np_round
 from .ml import models, prep
+from .ml.standin import GroupMean
 from .operators import dashboard, summaries
 from .oracle import dash_sql
+from .plans import master as master_plan
 from .plans.modelling import select_prediction_columns
-from .schema import FEATURE_COLS, IMPORTANCE_LABELS, PREDICTION_COLS
+from .schema import FEATURE_COLS, IMPORTANCE_LABELS, PREDICTION_COLS, SEGMENT, ModelParams
 
 _KEYS = {"Month", "Region", "Category", "Total_Qty_Sold", "Predicted_Sell_Qty", "Predicted_Profit_Class"}
 _MORE = ["Predicted_Gross_Profit", "Predicted_Transport_Cost"]
 _DOUBLES = tuple(c for c in PREDICTION_COLS + _MORE if c not in _KEYS)
 
 
+def _fitted(spark, sf_dir, everything: bool = False) -> models.Fitted:
+    """The four stand-in models, on the training rows (or on all)."""
+    frame = prep.with_folds(master_plan.staged_model_frame(spark, sf_dir), 5)
+    rows = frame if everything else frame.filter(~F.col("is_test"))
+    made = [GroupMean(models.SALES, "Predicted_Sales", SEGMENT), GroupMean(models.MARGIN, "Predicted_Margin_Pct", SEGMENT),
+            GroupMean(models.QTY, "_pred_qty", SEGMENT, exact=False),
+            GroupMean("label_cls", "_pred_cls", SEGMENT, majority=True, exact=False)]
+    return models.Fitted(*models.fit_all([(m, rows) for m in made]), frame=frame, params=ModelParams())
+
+
+def _scored(spark, sf_dir):
+    return dashboard.with_month_parts(models.score(_fitted(spark, sf_dir)))
+
+
 @register("predictions_table", dash_sql(
     f"SELECT {', '.join(PREDICTION_COLS)}, Predicted_Sales * (Predicted_Margin_Pct / 100) AS Predicted_Gross_Profit, "
     "Avg_Unit_Cost * Predicted_Sell_Qty * CAST(0.02 AS DOUBLE) AS Predicted_Transport_Cost FROM preds"), _DOUBLES)
 def predictions_table(spark, sf_dir):
     """P6 + F19-F23: the prediction output table with the derived money columns."""
-    preds = _preds(spark, sf_dir)
+    preds = _scored(spark, sf_dir)
     kept = select_prediction_columns(preds).columns
     return preds.select(*kept, *_MORE)
 
@@ -36,23 +50,25 @@ def predictions_table(spark, sf_dir):
     ("Monthly_Sales", "Monthly_Profit", "Pred_Sales", "Pred_Profit"))
 def monthly_summary_predicted(spark, sf_dir):
     """A3: monthly actual and predicted totals."""
-    return summaries.monthly_summary(_preds(spark, sf_dir)).select(
+    return summaries.monthly_summary(_scored(spark, sf_dir)).select(
         "Year", "MonthNum", "Region", "Category", "Monthly_Sales", "Monthly_Profit", "Pred_Sales", "Pred_Profit")
 
 
 _SPECS = (("Sales_Amount", "Total_Sales_Amount", "Predicted_Sales", 2),
           ("Profit_Margin", "Net_Profit_Margin", "Predicted_Margin_Pct", 4),
-          ("Sell_Quantity", "Total_Qty_Sold", "Predicted_Sell_Qty", 2))
+          ("Sell_Quantity", "Total_Qty_Sold", "raw_qty", 2))
 
 _SCORES_CTES = """
+hold AS (SELECT p.*, q.raw_qty FROM preds p LEFT JOIN (
+  SELECT Region, Category, avg(Total_Qty_Sold) AS raw_qty FROM preds WHERE NOT is_test GROUP BY ALL) q USING (Region, Category)),
 pos AS (SELECT *, row_number() OVER (ORDER BY Region, Category, Month) - 1 AS i, count(*) OVER () AS n FROM preds),
 fld AS (SELECT *, CASE WHEN i < (n % 5) * (n // 5 + 1) THEN i // (n // 5 + 1)
                        ELSE (n % 5) + (i - (n % 5) * (n // 5 + 1)) // (n // 5) END AS fold FROM pos),
 sc AS (""" + " UNION ALL ".join(f"""
   SELECT '{m}' AS Model,
-         (SELECT round_even(avg(abs({y} - {p})) * 1e{d}, 0) / 1e{d} FROM preds WHERE is_test) AS MAE,
+         (SELECT round_even(avg(abs({y} - {p})) * 1e{d}, 0) / 1e{d} FROM hold WHERE is_test) AS MAE,
          (SELECT round_even((1.0 - sum(({y} - {p}) * ({y} - {p})) / (var_pop({y}) * count({y}))) * 1e4, 0) / 1e4
-          FROM preds WHERE is_test) AS R2,
+          FROM hold WHERE is_test) AS R2,
          (SELECT round_even(avg(r) * 1e4, 0) / 1e4 FROM (
             SELECT 1.0 - sum((h.{y} - k.m) * (h.{y} - k.m)) / (var_pop(h.{y}) * count(h.{y})) AS r
             FROM fld h JOIN (SELECT g.fold AS f, t.Category AS c, avg(t.{y}) AS m
@@ -65,28 +81,10 @@ sc AS (""" + " UNION ALL ".join(f"""
 
 
 def _scores(spark, sf_dir):
-    """The score table (U1, M13) of the closed-form scorers."""
-    preds = _preds(spark, sf_dir)
-    test = preds.filter(F.col("is_test"))
-    folded = prep.with_folds(preds, 5)
-    folds = spark.range(5).select(F.col("id").cast("int").alias("held"))
-    rows = None
-    for name, label, pred, digits in _SPECS:
-        means = folded.join(F.broadcast(folds), F.col("fold") != F.col("held")).groupBy("held", "Category").agg(
-            davg(F.col(label).cast("double")).alias("_cv"))
-        scored = folded.join(means.withColumnRenamed("held", "fold"), ["fold", "Category"])
-        err = F.col(label) - F.col("_cv")
-        per_fold = scored.groupBy("fold").agg(
-            (F.lit(1.0) - F.sum(err * err) / (F.var_pop(label) * F.count(label))).alias("r"))
-        cv = per_fold.agg(F.avg("r").alias("CV_R2"))
-        row = models.regression_metrics(test, label, pred).crossJoin(F.broadcast(cv)).select(      # one row each
-            F.lit(name).alias("Model"), np_round("MAE", digits).alias("MAE"), np_round("R2", 4).alias("R2"),
-            np_round("CV_R2", 4).alias("CV_R2"), F.lit(None).cast("double").alias("Accuracy"))
-        rows = row if rows is None else rows.unionByName(row)
-    hit = test.withColumn("_p", (F.col("Predicted_Profit_Class") == "High Profit").cast("double"))
-    acc = models.accuracy(hit, "label_cls", "_p").select(
-        F.lit("Profit_Classifier").alias("Model"), np_round("Accuracy", 4).alias("Accuracy"))
-    return rows.unionByName(acc, allowMissingColumns=True)
+    """The score table (U1, M13) of the stand-ins, cross-validated (M8)."""
+    fitted = _fitted(spark, sf_dir)
+    folds = [(name, GroupMean(label, "_cv", ["Category"]), label) for name, label, _, _ in _SPECS]
+    return models.score_table(fitted, cv=models.cv_all(fitted.frame, folds, 5))
 
 
 @register("score_union_standin", dash_sql("SELECT * FROM sc", extra_ctes=_SCORES_CTES), ("MAE", "R2", "CV_R2", "Accuracy"))
@@ -118,14 +116,8 @@ _IMP_CTES = "imp AS (" + " UNION ALL ".join(
 
 
 def _importance(spark, sf_dir):
-    """U2 with |correlation| (6 dp; 0 for a constant feature) as importance."""
-    preds = _preds(spark, sf_dir)
-    whole = preds.agg(*[F.corr(F.col(f).cast("double"), F.col(y).cast("double")).alias(f"{f}|{n}")
-                        for f in FEATURE_COLS for n, y in _TARGETS.items()])
-    rows = F.array(*[F.struct(F.lit(f).alias("Feature"), *[
-        np_round(F.coalesce(F.abs(F.nanvl(F.col(f"`{f}|{n}`"), F.lit(None).cast("double"))), F.lit(0.0)), 6).alias(n)
-        for n in _TARGETS]) for f in FEATURE_COLS])
-    return whole.select(F.explode(rows).alias("r")).select("r.*")
+    """U2 with |correlation| (6 dp; 0 for a constant feature) over all rows as importance."""
+    return models.feature_importance(_fitted(spark, sf_dir, everything=True))
 
 
 @register("top_features_standin", dash_sql("""

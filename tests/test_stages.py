@@ -54,8 +54,8 @@ def test_stage_folder_guard(spark, monkeypatch):
 
 def test_stage_tables_lie_in_the_applications_folder(spark):
     t = session.stage_table(spark.range(5), "t")
-    assert t.count() == 5 and session._stage_folder(spark).split(":")[-1] in t.inputFiles()[0]
-    assert spark.sparkContext.applicationId in session._stage_folder(spark)
+    assert t.count() == 5 and session.stage_folder(spark).split(":")[-1] in t.inputFiles()[0]
+    assert spark.sparkContext.applicationId in session.stage_folder(spark)
 
 
 def test_models_do_not_depend_on_partitions(spark):
@@ -66,7 +66,7 @@ def test_models_do_not_depend_on_partitions(spark):
         old = spark.conf.get("spark.sql.shuffle.partitions")
         spark.conf.set("spark.sql.shuffle.partitions", parts)
         frame = models.training_frame(master.repartition(n), p)
-        assert frame.rdd.getNumPartitions() == models.TRAINING_PARTITIONS
+        assert frame.rdd.getNumPartitions() == 1          # one for each ``partition_rows`` rows
         model = models.fit_one(frame, "sales", p)
         found.append(sorted(tuple(r) for r in model.transform(frame).select(*KEY, "Predicted_Sales").collect()))
         frame.unpersist()
