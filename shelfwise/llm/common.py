@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stage_table
+from .words import SLICE_BYTES
 
 __all__ = ["add_struct", "apart", "batch_slices", "drop_stage", "fresh_name", "read", "stage_table", "partitions"]
 
@@ -69,7 +70,8 @@ def batch_slices(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
         begin = end
 
 
-def by_group(df: DataFrame, keys: list[str], rows_of: Callable[[dict[str, np.ndarray]], list[tuple]], schema: str) -> DataFrame:
+def by_group(df: DataFrame, keys: list[str], rows_of: Callable[[dict[str, np.ndarray]], list[tuple]], schema: str,
+             parts: int | None = None) -> DataFrame:
     """``rows_of`` applied to each group's columns. Groups are dealt and
     sorted by their keys and cut out of the batches, so a small group costs a
     slice of arrays, not a frame of its own. Only for groups of bounded size."""
@@ -92,7 +94,7 @@ def by_group(df: DataFrame, keys: list[str], rows_of: Callable[[dict[str, np.nda
         columns = {c: f[c].to_numpy() for c in f.columns}
         rows = [r for a, b in zip(cut[:-1], cut[1:]) for r in rows_of({c: v[a:b] for c, v in columns.items()})]
         return pd.DataFrame(rows, columns=names)
-    n = partitions(df.sparkSession)      # given, so that groups with few bytes and much work aren't coalesced
+    n = parts or partitions(df.sparkSession)      # given, so that groups with few bytes and much work aren't coalesced
     return df.repartition(n, *keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
 
 
@@ -108,8 +110,10 @@ def add_struct(df: DataFrame, base: str, struct: T.StructType, text: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
-        for batch in batches:
-            out = compute(batch.column(place).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, name])
+        for whole in batches:
+            for a, b in batch_slices(whole.column(place), SLICE_BYTES):        # texts of a few MB at once
+                batch = whole.slice(a, b - a)
+                out = compute(batch.column(place).to_pylist())
+                yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, name])
 
     return df.mapInArrow(run, schema), name

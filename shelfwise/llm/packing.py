@@ -6,7 +6,7 @@ pieces of at most ``capacity`` tokens. A full piece is a sequence of its own;
 
 * items (unplaced pieces) and gaps (room left in open sequences) are sorted
   together by size, largest first, a gap before an item of its size, and
-  dealt to tasks by range;
+  dealt to tasks by range, one for each ``RANGE_ROWS``;
 * each task sweeps its range downwards and gives every item the smallest gap
   that holds it (its successor in the order), updating the gap at once;
 * items left over are matched with gaps left over in larger ranges by rank:
@@ -48,12 +48,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from .common import batch_slices, by_group, partitions, read, stage_table
+from .common import batch_slices, by_group, read, stage_table
 from .words import SLICE_BYTES, Words, separators, stretch_hashes
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_UNITS = 400_000
+CACHE_UNITS = 1_500_000
+RANGE_ROWS = 1 << 14              # items and gaps swept in one task
 
 _BLANK = re.compile(r"[ \t\n\r]")
 BLANKS = separators([0x20, 0x09, 0x0A, 0x0D])
@@ -125,25 +126,49 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        """Start the store of units anew: slot 0 is the end id."""
-        self.slots: dict[int, int] = {}
-        self.pool, self.begin, self.size, self.check = array("I", [END_ID]), array("q", [0]), array("q", [1]), array("Q", [0])
+        """Start the store of units anew: slot 0 is the end id. ``keys`` (sorted)
+        and ``at`` lead to a unit's slot, ``check`` has its second lane."""
+        self.keys, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.pool, self.begin, self.size, self.check = array("I", [END_ID]), array("I", [0]), array("I", [1]), array("Q", [0])
 
-    def add(self, units: list[bytes], plain: list[bool], checks: np.ndarray) -> np.ndarray:
+    def add(self, units: list[bytes], plain: np.ndarray, checks: np.ndarray) -> np.ndarray:
         """Slots of units not met before."""
-        first, pool, begin, sizes, tokens = len(self.begin), self.pool, self.begin, [], self.model.tokenize
-        for unit, is_plain in zip(units, plain):
-            text = unit.decode("utf-8", "surrogatepass")
-            if is_plain:
-                ids = [t.id for t in tokens(text if text.isascii() else text.translate(self.letters))]
-            else:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            begin.append(len(pool))
-            sizes.append(len(ids))
-            pool.extend(ids)
-        self.size.extend(sizes)
-        self.check.extend(checks.tolist())
-        return np.arange(first, len(begin))
+        ids: list[list[int]] = [[]] * len(units)
+        some = np.flatnonzero(plain).tolist()
+        if some:
+            texts = b" ".join([units[i] for i in some]).decode("utf-8").translate(self.letters).split(" ")
+            tokens = self.model.tokenize
+            for i, found in zip(some, [[t.id for t in tokens(x)] for x in texts]):
+                ids[i] = found
+        some = np.flatnonzero(~plain).tolist()
+        if some:
+            texts = [units[i].decode("utf-8", "surrogatepass") for i in some]
+            for i, found in zip(some, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+                ids[i] = found.ids
+        first = len(self.begin)
+        size = np.fromiter(map(len, ids), np.uint32, len(ids))
+        self.begin.frombytes((len(self.pool) + np.append(0, np.cumsum(size))[:-1]).astype(np.uint32).tobytes())
+        self.size.frombytes(size.tobytes())
+        self.check.frombytes(checks.tobytes())
+        self.pool.extend(itertools.chain.from_iterable(ids))
+        return np.arange(first, first + len(ids), dtype=np.int32)
+
+    def slots(self, u: Units, value: np.ndarray, checks: np.ndarray, index: np.ndarray) -> np.ndarray:
+        """Slots of distinct units, by their two lanes (the first ascending)."""
+        found = np.full(len(value), -1, dtype=np.int32)
+        if len(self.keys):
+            place = np.minimum(np.searchsorted(self.keys, value), len(self.keys) - 1)
+            slot = self.at[place]
+            hit = (self.keys[place] == value) & (np.frombuffer(self.check, np.uint64)[slot] == checks)
+            found[hit] = slot[hit]
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            begin, stop = u.start[index[new]].tolist(), u.end[index[new]].tolist()
+            data = u.data.tobytes()
+            found[new] = self.add([data[a:b] for a, b in zip(begin, stop)], u.plain[index[new]], checks[new])
+            place = np.searchsorted(self.keys, value[new])
+            self.keys, self.at = np.insert(self.keys, place, value[new]), np.insert(self.at, place, found[new])
+        return found
 
     def __call__(self, texts: list[str | None], end: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids one after the other, and where each text's begin
@@ -156,26 +181,19 @@ class Encoder:
         if not (two == two[index][number]).all():            # unlike units of one 64-bit value: parted by the second lane
             _, index, number = np.unique(np.stack([one, two], axis=1), axis=0, return_index=True, return_inverse=True)
             value, number = one[index], number.reshape(-1)
-        keys, checks = value.tolist(), two[index]
-        found = np.fromiter(map(self.slots.get, keys, itertools.repeat(-1)), np.int64, len(keys))
-        stored = np.frombuffer(self.check, np.uint64).copy()
-        found[(found >= 0) & (stored[found] != checks)] = -1
-        new = np.flatnonzero(found < 0)
-        if len(new):
-            begin, stop = u.start[index[new]].tolist(), u.end[index[new]].tolist()
-            data = u.data.tobytes()
-            found[new] = self.add([data[a:b] for a, b in zip(begin, stop)], u.plain[index[new]].tolist(), checks[new])
-            self.slots.update(zip(value[new].tolist(), found[new].tolist()))
+        found = self.slots(u, value, two[index], index)
         slots = found[number]
         stop = u.first[1:].copy()
         if end:
             slots = np.insert(slots, stop, 0)
             stop += np.arange(1, len(stop) + 1)
-        pool, begin, size = np.array(self.pool, dtype=np.uint32), np.array(self.begin), np.array(self.size)
-        length = size[slots]
+        pool, begin, size = (np.frombuffer(x, np.uint32) for x in (self.pool, self.begin, self.size))
+        length = size[slots].astype(np.int64)
         total = np.append(0, np.cumsum(length))
         at = np.repeat(begin[slots] - total[:-1], length) + np.arange(total[-1])
-        return pool[at], np.append(0, total[stop])
+        ids = pool[at]
+        del pool, begin, size                     # arrays can't grow while they are looked at
+        return ids, np.append(0, total[stop])
 
 
 def cut_long(text: str, limit: int = SLICE_BYTES) -> list[str]:
@@ -375,7 +393,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(key, length) pieces of 1 to ``capacity`` tokens, keys unique →
     (key, sequence_id, offset)."""
     spark = pieces.sparkSession
-    n = partitions(spark)
     full = pieces.filter(F.col("length") == capacity).select(
         "key", (F.col("key") * 2).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     state = pieces.filter(F.col("length") < capacity).select(
@@ -393,6 +410,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             state = state.unionByName(spark.range(opened, opened + new).select(
                 F.lit(0).alias("kind"), "id", F.lit(capacity).cast("bigint").alias("size")))
             opened += new
+        n = max(1, math.ceil((sum(h["count"] for h in histogram) + new) / RANGE_ROWS))     # ranges follow the rows
         swept = stage_table(state.repartitionByRange(n, F.desc("size"), "kind", "id").sortWithinPartitions(
             F.desc("size"), "kind", "id").select("kind", "id", "size").mapInPandas(_sweep_range, _ROUND), "pack-round")
         summary = swept.filter(F.col("kind") == SUMMARY).select("part", "id", "size", "bin", "low").collect()
@@ -405,7 +423,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         slotted = left.select("kind", "id", "size", "part", "rank").mapInPandas(
             _slots(matches), "kind int, id bigint, size bigint, gap_part int, gap_rank bigint")
         settled = by_group(slotted.filter("gap_part >= 0"), ["gap_part", "gap_rank"], _fill,
-                           "kind int, id bigint, size bigint, bin bigint")
+                           "kind int, id bigint, size bigint, bin bigint", n)
         settled = stage_table(slotted.filter("gap_part < 0").select("kind", "id", "size", F.lit(-1).cast("bigint").alias("bin")).unionByName(
             settled), "pack-match")
         placements.append(settled.filter("kind = 2").select("id", "bin"))
