@@ -14,8 +14,10 @@ Defined results: turns with a null conversation or number take no part; a
 null role is ``user``, a null text empty; turns of one number stand in the
 order of role and text, repeated rows as repeated turns; equal conversations
 are all prompt with empty completions; a missing or null side has no turns;
-a pair without turns on either side has empty texts; extra columns of the
-turns are not used, so their names don't matter; empty tables give no rows.
+a pair without turns on either side has empty texts; pairs that repeat an id
+are pairs of their own, pairs without an id go; texts of any length are
+rendered whole (a conversation meets in one row); extra columns of the turns
+are not used, so their names don't matter; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import read, stage_table
 
 START, END = "<|im_start|>", "<|im_end|>"
 LEARNED = "assistant"
@@ -41,7 +43,9 @@ def format_pairs(conversations: DataFrame, pairs: DataFrame, **names: str) -> Da
     """(pair_id, chosen_id, rejected_id) → those, prompt_turns, prompt,
     chosen, chosen_mask, rejected, rejected_mask."""
     turns = ordered_turns(conversations, **names)
-    pairs = pairs.select("pair_id", "chosen_id", "rejected_id").filter("pair_id IS NOT NULL").dropDuplicates(["pair_id"])
+    given = stage_table(pairs.select("pair_id", "chosen_id", "rejected_id").filter("pair_id IS NOT NULL").withColumn(
+        "row", F.monotonically_increasing_id()), "preference-pairs")
+    pairs = given.select(F.col("row").alias("pair_id"), "chosen_id", "rejected_id")       # pairs go by their row
 
     def side(column: str, name: str) -> DataFrame:
         return pairs.select("pair_id", F.col(column).alias("conv")).join(turns, "conv").select(
@@ -74,7 +78,7 @@ def format_pairs(conversations: DataFrame, pairs: DataFrame, **names: str) -> Da
         F.count(F.when(F.col("part") == "prompt", 1)).alias("prompt_turns"), texts("prompt").alias("prompt"),
         texts("chosen").alias("chosen"), mask("chosen").alias("chosen_mask"),
         texts("rejected").alias("rejected"), mask("rejected").alias("rejected_mask"))
-    out = pairs.join(made, "pair_id", "left")
+    out = given.join(made.withColumnRenamed("pair_id", "row"), "row", "left")
     spans = "array<struct<from:bigint,to:bigint>>"
     return out.select(
         "pair_id", "chosen_id", "rejected_id", F.coalesce("prompt_turns", F.lit(0)).alias("prompt_turns"),
@@ -82,19 +86,31 @@ def format_pairs(conversations: DataFrame, pairs: DataFrame, **names: str) -> Da
           for c in ("prompt", "chosen", "chosen_mask", "rejected", "rejected_mask")])
 
 
-def neighbours_as_pairs(conversations: DataFrame, conv_id: str = "conv_id") -> DataFrame:
-    """Pairs for a table without preferences: conversation 2k is the chosen
-    one of pair k, 2k + 1 the rejected one."""
-    ids = conversations.select(F.col(f"`{conv_id}`").cast("bigint").alias("conv")).filter("conv IS NOT NULL").distinct()
-    even = F.pmod("conv", F.lit(2)) == 0
-    return ids.groupBy(F.floor(F.col("conv") / 2).alias("pair_id")).agg(
-        F.max(F.when(even, F.col("conv"))).alias("chosen_id"), F.max(F.when(~even, F.col("conv"))).alias("rejected_id"))
+def replies_as_pairs(conversations: DataFrame, **names: str) -> tuple[DataFrame, DataFrame]:
+    """Preferences for a table without any: (conversations, pairs). Chosen is
+    a conversation up to its last assistant turn; rejected is the same with
+    the last assistant turn of its partner (the id that differs in the last
+    bit) in that turn's place. Conversations without an assistant turn make
+    no pair; where the partner has none, rejected ends before it."""
+    turns = ordered_turns(conversations, **names).withColumn("conv", F.col("conv").cast("bigint"))
+    learned = F.col("role") == LEARNED
+    upto = turns.withColumn("last", F.max(F.when(learned, F.col("place"))).over(Window.partitionBy("conv"))).filter("place <= last")
+    reply = upto.filter("place = last").select("conv", "last", "text")
+    partner = F.col("conv").bitwiseXOR(F.lit(1).cast("bigint"))
+    pairs = reply.select("conv", "last", partner.alias("other")).join(
+        reply.select(F.col("conv").alias("other"), F.col("text")), "other", "left")
+
+    def named(name: str):
+        return F.concat(F.col("conv").cast("string"), F.lit(name)).alias("conv_id")
+    made = upto.select(named(" chosen"), F.col("place").alias("turn"), "role", "text").unionByName(
+        upto.filter("place < last").select(named(" rejected"), F.col("place").alias("turn"), "role", "text")).unionByName(
+        pairs.filter("text IS NOT NULL").select(named(" rejected"), F.col("last").alias("turn"), F.lit(LEARNED).alias("role"), "text"))
+    return made, pairs.select(F.col("conv").alias("pair_id"), named(" chosen").alias("chosen_id"), named(" rejected").alias("rejected_id"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """op4: all conversations as preference pairs."""
-    conversations = read(spark, sf_dir, "conversations")
-    out = format_pairs(conversations, neighbours_as_pairs(conversations))
+    """op4: every conversation's last reply against its partner's."""
+    out = format_pairs(*replies_as_pairs(read(spark, sf_dir, "conversations")))
     shown = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["from"], s["to"])), ",")
     return out.withColumn("chosen_mask", shown("chosen_mask")).withColumn("rejected_mask", shown("rejected_mask"))
 
@@ -103,11 +119,13 @@ SQL = """
 WITH t AS (SELECT conv_id AS conv, coalesce(role, 'user') AS role, coalesce(text, '') AS text,
                   row_number() OVER (PARTITION BY conv_id ORDER BY turn, coalesce(role, 'user'), coalesce(text, '')) AS place
            FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
-p AS (SELECT CAST(floor(conv_id / 2.0) AS BIGINT) AS pair_id, max(CASE WHEN conv_id % 2 = 0 THEN conv_id END) AS chosen_id,
-             max(CASE WHEN conv_id % 2 <> 0 THEN conv_id END) AS rejected_id
-      FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
-c AS (SELECT pair_id, place, role, text FROM p JOIN t ON conv = chosen_id),
-r AS (SELECT pair_id, place, role, text FROM p JOIN t ON conv = rejected_id),
+u AS (SELECT *, max(CASE WHEN role = 'assistant' THEN place END) OVER (PARTITION BY conv) AS last FROM t),
+l AS (SELECT conv, last, text FROM u WHERE place = last),
+p AS (SELECT l.conv AS pair_id, l.last AS last, o.text AS text, l.conv || ' chosen' AS chosen_id, l.conv || ' rejected' AS rejected_id
+      FROM l LEFT JOIN l o ON o.conv = xor(l.conv, 1)),
+c AS (SELECT conv AS pair_id, place, role, text FROM u WHERE place <= last),
+r AS (SELECT conv AS pair_id, place, role, text FROM u WHERE place < last
+      UNION ALL SELECT pair_id, last, 'assistant', text FROM p WHERE text IS NOT NULL),
 b AS (SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, coalesce(c.place, r.place) AS place, c.role AS cr, c.text AS ct, r.role AS rr, r.text AS rt
       FROM c FULL JOIN r ON c.pair_id = r.pair_id AND c.place = r.place),
 d AS (SELECT *, min(CASE WHEN cr IS DISTINCT FROM rr OR ct IS DISTINCT FROM rt THEN place END) OVER (PARTITION BY pair_id) AS apart FROM b),

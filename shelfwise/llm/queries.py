@@ -1,9 +1,8 @@
-"""Registered queries of the training-data operators and their SQL."""
+"""Registered queries of the training-data operators and their SQL (the entry
+point adds the pipeline, which calls the operators)."""
 
 from __future__ import annotations
 
-import corpus_pipeline
-
 from . import decontaminate, langid, neighbours, ngram_join, packing, pii, preferences, sharding, spelling, substrings, toxicity, urls, whitening
 
 QUERIES = {
@@ -20,7 +19,6 @@ QUERIES = {
     "op11_embedding_whitening": whitening.query,
     "op12_spelling_variants": spelling.query,
     "op13_sharding": sharding.query,
-    "pipeline": corpus_pipeline.run,
 }
 
 SQL = {
