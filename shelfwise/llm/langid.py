@@ -7,12 +7,15 @@ counted (each task adds up its own 4-grams, Spark adds the tasks'), and the
 lower orders' continuation counts follow from the distinct 4-grams. A model
 is, for each order, a sorted array of packed n-grams with their log
 probabilities, and one of contexts with their back-off weights; four
-characters of 16 bits make one 64-bit key.
+characters of 16 bits (UTF-16 units) make one 64-bit key.
 
 A text gets the language of the lowest cross-entropy per predicted character.
-``score`` is its share in a softmax of the cross-entropies. With ``reject``
-a text whose cross-entropy lies more than so many standard errors over its
-language's own (from the counts) is ``und``.
+``score`` is its share in a softmax of the cross-entropies. ``calibrate``
+measures, on labelled texts that did not teach, how far a language's own
+texts lie from their mean cross-entropy, in standard errors of their length;
+with that as ``reject`` a text further off than nearly all of those (the
+quantile is a parameter) is ``und``. The registered query must name a learned
+language for every text with a letter, so it rejects nothing else.
 
 Every 4-gram counts. Up to ``max_grams`` of them the models travel to every
 task (the given tables stay far below). Beyond that they are ``Tables``: the
@@ -21,7 +24,9 @@ joined; the driver then holds a few numbers a language.
 
 Defined results: null text or text without a letter is ``und`` with score 0;
 so is everything when nothing could be learned; rows with a null language
-teach nothing; ties go to the smaller language name; repeated rows count each.
+teach nothing; ties go to the smaller language name; repeated rows count each; a
+text of any length is read whole; extra columns pass through, and the added
+one takes a fresh name; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_struct, fresh_name, read, stage_table
+from .common import add_struct, apart, fresh_name, read, stage_table
 from .words import Words, separators, slices
 
 ORDER = 4
@@ -54,6 +59,20 @@ def _alpha() -> np.ndarray:
     return _ALPHA[0]
 
 
+def _units(code: np.ndarray, owner: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Characters in 16 bits each: one beyond U+FFFF becomes its two UTF-16
+    units, which no other letter shares."""
+    wide = code > 0xFFFF
+    if not wide.any():
+        return code, owner, blank
+    again = np.repeat(np.arange(len(code)), 1 + wide)
+    second = np.append(False, again[1:] == again[:-1])
+    out, rest = code[again], code[again] - np.uint64(0x10000)
+    high = np.uint64(0xD800) + (rest >> np.uint64(10))
+    low = np.uint64(0xDC00) + (rest & np.uint64(0x3FF))
+    return np.where(wide[again], np.where(second, low, high), out), owner[again], blank[again]
+
+
 class Grams:
     """Distinct words of some texts and the 4-grams of their characters.
 
@@ -71,7 +90,7 @@ class Grams:
         blank = code == 32
         owner = np.cumsum(blank) - blank                     # number of blanks before
         keep = blank | _alpha()[np.minimum(code, 0x10FFFF)]
-        code, owner, blank = np.where(code > 0xFFFF, code & 0x7FFF | 0x8000, code)[keep].astype(np.uint64), owner[keep], blank[keep]
+        code, owner, blank = _units(code[keep].astype(np.uint64), owner[keep], blank[keep])
         if not self.n_words:
             code, owner, blank = code[:0], owner[:0], blank[:0]
         begin = np.flatnonzero(np.diff(owner, prepend=-1)) if len(owner) else np.zeros(0, np.int64)
@@ -260,13 +279,50 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_grams: in
 
 
 GUESS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType()),
-                      T.StructField("entropy", T.DoubleType())])
+                      T.StructField("entropy", T.DoubleType()), T.StructField("characters", T.LongType())])
+
+#: language → (mean cross-entropy, deviation of one character, standard errors allowed)
+Limits = dict[str, tuple[float, float, float]]
 
 
-def guess(models: dict[str, Model], texts: list[str | None], reject: float | None = None) -> list[tuple[str, float, float | None]]:
+def limits(models: dict[str, Model] | Tables, reject: float | Limits) -> Limits:
+    """``reject`` as limits a language; a number means so many standard
+    errors from the counts themselves."""
+    if isinstance(reject, dict):
+        return reject
+    if isinstance(models, Tables):
+        return {r.lang: (r.mean, r.deviation, reject) for r in models.languages.collect()}          # one row a language
+    return {name: (m.mean, m.deviation, reject) for name, m in models.items()}
+
+
+def calibrate(docs: DataFrame, models: dict[str, Model] | Tables, text: str = "text", lang: str = "lang",
+              quantile: float = 0.995) -> Limits:
+    """Limits from labelled rows that did not teach: of the texts of each
+    language (as labelled), the mean cross-entropy a character, the deviation
+    that their lengths explain, and the quantile of how many standard errors
+    they lie over the mean. Languages without such rows have no limit."""
+    found, c = identify(docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("own")), models)
+    held = stage_table(found.select("own", F.col(f"{c}.*")).filter("own = lang AND characters > 0").select(
+        "own", "entropy", F.col("characters").cast("double").alias("n")), "language-calibration")
+    mean = held.groupBy("own").agg((F.sum(F.col("entropy") * F.col("n")) / F.sum("n")).alias("mean"))
+    off = held.join(F.broadcast(mean), "own").withColumn("off", (F.col("entropy") - F.col("mean")) * F.sqrt("n"))    # one row a language
+    spread = off.groupBy("own").agg(F.first("mean").alias("mean"), F.sqrt(F.avg(F.col("off") ** 2)).alias("deviation"),
+                                    F.percentile_approx("off", quantile, 10000).alias("far")).collect()
+    return {r.own: (r.mean, r.deviation, r.far / r.deviation if r.deviation else 0.0) for r in spread}
+
+
+def guess(models: dict[str, Model], texts: list[str | None], reject: float | Limits | None = None
+          ) -> list[tuple[str, float, float | None]]:
     """(language, score, cross-entropy) of each text."""
+    return [found[:3] for found in guesses(models, texts, reject)]
+
+
+def guesses(models: dict[str, Model], texts: list[str | None], reject: float | Limits | None = None
+            ) -> list[tuple[str, float, float | None, int]]:
+    """(language, score, cross-entropy, characters) of each text."""
     names = sorted(models)
-    out: list[tuple[str, float, float | None]] = []
+    allowed = limits(models, reject) if reject is not None else {}
+    out: list[tuple[str, float, float | None, int]] = []
     for a, b in slices(texts):
         g = Grams(texts[a:b])
         keys, which = np.unique(g.gram, return_inverse=True)
@@ -274,7 +330,7 @@ def guess(models: dict[str, Model], texts: list[str | None], reject: float | Non
         size = np.bincount(g.owner, minlength=g.n_words)
         n = np.bincount(text_of, weights=size[g.word_of], minlength=b - a)
         if not names:
-            out += [(UNKNOWN, 0.0, None)] * (b - a)
+            out += [(UNKNOWN, 0.0, None, int(k)) for k in n]
             continue
         entropy = np.empty((len(names), b - a))
         for k, name in enumerate(names):
@@ -285,11 +341,11 @@ def guess(models: dict[str, Model], texts: list[str | None], reject: float | Non
         share = 1 / np.exp(-TEMPERATURE * (entropy - low)).sum(axis=0)
         for d in range(b - a):
             if not n[d]:
-                out.append((UNKNOWN, 0.0, None))
+                out.append((UNKNOWN, 0.0, None, 0))
                 continue
-            m = models[names[best[d]]]
-            far = reject is not None and low[d] > m.mean + reject * m.deviation / np.sqrt(n[d])
-            out.append((UNKNOWN if far else names[best[d]], float(share[d]), float(low[d])))
+            mean, deviation, errors = allowed.get(names[best[d]], (0.0, 0.0, None))
+            far = errors is not None and low[d] > mean + errors * deviation / np.sqrt(n[d])
+            out.append((UNKNOWN if far else names[best[d]], float(share[d]), float(low[d]), int(n[d])))
     return out
 
 
@@ -311,40 +367,41 @@ def _text_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array(n.astype(np.int64))], names=["row", "gram", "n"])
 
 
-def _identify_by_tables(docs: DataFrame, models: Tables, text: str, reject: float | None) -> tuple[DataFrame, str]:
+def _identify_by_tables(docs: DataFrame, models: Tables, text: str, reject: float | Limits | None) -> tuple[DataFrame, str]:
     name, row = fresh_name(docs, "language"), fresh_name(docs, "row")
     staged = stage_table(docs.withColumn(row, F.monotonically_increasing_id()), "language-documents")
-    asked = staged.select(F.col(row), F.col(f"`{text}`")).mapInArrow(_text_grams, "row bigint, gram bigint, n bigint")
+    asked = staged.select(F.col(f"`{row}`"), F.col(f"`{text}`")).mapInArrow(_text_grams, "row bigint, gram bigint, n bigint")
     fine = models.log_p(asked.select("gram").distinct()).withColumn("fine", F.round(F.col("log_p") * FINE).cast("bigint"))
     by = fine.groupBy("gram").agg(F.collect_list(F.struct("lang", "fine")).alias("by"))
-    each = asked.join(by, "gram").select("row", "n", F.inline("by")).groupBy("row", "lang").agg(
+    each = asked.join(apart(by, "gram"), "gram").select("row", "n", F.inline("by")).groupBy("row", "lang").agg(
         (-F.sum(F.col("n") * F.col("fine")) / F.lit(float(FINE)) / F.sum("n")).alias("entropy"), F.sum("n").alias("n"))
-    each = each.join(F.broadcast(models.languages.select("lang", "mean", "deviation")), "lang")
-    best = each.groupBy("row").agg(F.min(F.struct("entropy", "lang", "n", "mean", "deviation")).alias("best"),
+    best = each.groupBy("row").agg(F.min(F.struct("entropy", "lang", "n")).alias("best"),
                                    F.collect_list("entropy").alias("all"))
     low = F.col("best.entropy")
     share = 1 / F.aggregate(F.array_sort("all"), F.lit(0.0), lambda s, e: s + F.exp(-TEMPERATURE * (e - low)))
-    far = F.lit(False) if reject is None else low > F.col("best.mean") + reject * F.col("best.deviation") / F.sqrt("best.n")
+    far = F.lit(False)
+    for name_, (mean, deviation, errors) in (limits(models, reject) if reject is not None else {}).items():       # one a language
+        far = far | ((F.col("best.lang") == name_) & (low > mean + errors * deviation / F.sqrt("best.n")))
     guessed = best.select(F.col("row").alias(row), F.struct(
-        F.when(far, UNKNOWN).otherwise(F.col("best.lang")).alias("lang"), share.alias("score"), low.alias("entropy")).alias(name))
-    nothing = F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("entropy"))
+        F.when(far, UNKNOWN).otherwise(F.col("best.lang")).alias("lang"), share.alias("score"), low.alias("entropy"), F.col("best.n").alias("characters")).alias(name))
+    nothing = F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("entropy"), F.lit(0).cast("bigint").alias("characters"))
     found = staged.join(guessed, row, "left")
     return found.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce(F.col(name), nothing).alias(name)), name
 
 
 def identify(docs: DataFrame, models: dict[str, Model] | Tables, text: str = "text",
-             reject: float | None = None) -> tuple[DataFrame, str]:
-    """``docs`` with a struct column (lang, score, entropy), and its name."""
+             reject: float | Limits | None = None) -> tuple[DataFrame, str]:
+    """``docs`` with a struct column (lang, score, entropy, characters), and its name."""
     if isinstance(models, Tables):
         return _identify_by_tables(docs, models, text, reject)
     sent = docs.sparkSession.sparkContext.broadcast(models)   # at most max_grams 4-grams
 
     def make():
         def column(texts):
-            found = guess(sent.value, texts, reject)
+            found = guesses(sent.value, texts, reject)
             return pa.StructArray.from_arrays([pa.array([f[i] for f in found], kind) for i, kind in
-                                               enumerate((pa.string(), pa.float64(), pa.float64()))],
-                                              names=["lang", "score", "entropy"])
+                                               enumerate((pa.string(), pa.float64(), pa.float64(), pa.int64()))],
+                                              names=["lang", "score", "entropy", "characters"])
         return column
     return add_struct(docs, "language", GUESS, text, make)
 
