@@ -38,6 +38,7 @@ from .words import NON_ALNUM, Words, mix, slices
 
 SAMPLE = 2000
 THRESHOLD = 0.7
+SAMPLE_BYTES = 16_000_000         # of a class's sampled texts
 SEGMENT = 48
 LEAST, EVIDENCE = 3, 10.83
 _HEADS, _TAILS = (3, 4, 5, 6, 7), (3, 4, 5)
@@ -268,19 +269,29 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 5
     return b
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text",
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, doc_id: str = "doc_id", text: str = "text",
           toxic: str = "toxic") -> Field:
-    """The field from the labelled rows' sample. ``labels``: (doc_id, toxic)."""
+    """The field from the labelled rows' sample. ``labels``: (doc_id, toxic).
+    Bounds, for each class: ``sample`` documents with a text, in the order of
+    their ids' hashes, as far as their texts take ``sample_bytes`` in all;
+    texts beyond an eighth of that don't teach. Of texts that repeat an id the
+    largest in code-point order does."""
     marked = labels.select(F.col(doc_id).cast("bigint").alias("_id"), F.col(toxic).cast("int").alias("_toxic")).filter(
         "_id IS NOT NULL AND _toxic IN (0, 1)").groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
-    some = marked.filter("_toxic = 1").orderBy(F.xxhash64("_id")).limit(sample).unionAll(
-        marked.filter("_toxic = 0").orderBy(F.xxhash64("_id")).limit(sample))
-    ids = some.collect()                                               # at most 2 * sample rows
+    texts = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("_id"), F.col(f"`{text}`").alias("_text")).filter("_text IS NOT NULL")
+    # only labels of texts that are there are drawn, and only sizes until the sample stands
+    sized = texts.groupBy("_id").agg(F.max(F.octet_length("_text")).alias("_size")).join(marked, "_id").filter(F.col("_size") <= sample_bytes // 8)
+    ids = []
+    for kind in (1, 0):
+        total = 0
+        for r in sized.filter(F.col("_toxic") == kind).orderBy(F.xxhash64("_id"), "_id").limit(sample).collect():      # at most ``sample`` rows
+            total += r["_size"]
+            if total <= sample_bytes:
+                ids.append((r["_id"], kind))
     if not ids:
         return Field()
     chosen = docs.sparkSession.createDataFrame(ids, "_id bigint, _toxic int")
-    found = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("_id"), F.col(f"`{text}`").alias("_text")).filter(
-        "_text IS NOT NULL").join(F.broadcast(chosen), "_id").select("_id", "_text", "_toxic").dropDuplicates(["_id"])
+    found = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "_toxic").agg(F.max("_text").alias("_text")).select("_id", "_text", "_toxic")
     rows = sorted(found.collect())
     return fit([r["_text"] for r in rows], [r["_toxic"] for r in rows])
 

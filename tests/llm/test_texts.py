@@ -224,6 +224,48 @@ def test_pii_replaces_everything_consistently(spark):
     assert pii.replace(None, b"k", {}) == (None, []) and pii.replace("", b"k", {}) == ("", [])
 
 
+def test_pii_names_are_one_entity_whatever_the_title():
+    text = "Mrs. Anna Müller called. Anna Müller said so; Müller left. Dr. Anna Müller and Frau Anna Müller's dog. Anna, Annabel, Müllerin."
+    new, spans = pii.replace(text, b"k", {})
+    said = [new[a:b] for a, b, _ in spans]
+    first, last = said[0].split(" ")
+    assert said == [said[0], said[0], last, said[0], said[0], first] and said[0] != "Anna Müller"
+    assert new.endswith("'s dog. " + first + ", Annabel, Müllerin.")
+    assert pii.replace("Annabel met Anna Müller.", b"k", {}) == ("Annabel met Anna Müller.", [])
+
+
+def test_pii_local_phones_birth_dates_and_passports():
+    text = ("Call 0171-1234567 or 089 1234567 or 030/12345678. Born on 12.03.1985, DOB: 1985-03-12, geboren am 13/12/1970, né le 3/4/1999. "
+            "Passport No: C01X00T47. Nothing: 12.03.1985, passport control, 007 12, born 99.99.1999.")
+    new, spans = pii.replace(text, b"k", {})
+    assert [k for *_, k in spans] == ["phone"] * 3 + ["date"] * 4 + ["passport"]
+    said = [new[a:b] for a, b, _ in spans]
+    assert said[0][0] == "0" and said[0][4] == "-" and said[2][3] == "/"
+    a, b = said[3].split("."), said[4].split("-")
+    assert a == b[::-1] and a != ["12", "03", "1985"]                    # one date, two formats
+    assert new.endswith("Nothing: 12.03.1985, passport control, 007 12, born 99.99.1999.")
+    days = [f"{d:02d}.{m:02d}.1990" for m in range(1, 13) for d in range(1, 29)]
+    moved = {pii.replace(f"born {d}", b"k", {})[0] for d in days}
+    assert len(moved) == len(days)                                        # dates stay distinct
+
+
+def test_pii_full_space_ends(spark):
+    """A space that the corpus fills: digits are added, an address space ends with an error."""
+    docs = spark.createDataFrame([(i, f"at 10.0.0.{i} now") for i in range(30)], "doc_id bigint, text string")
+    with pytest.raises(ValueError, match="no free surrogates are left for ip"):
+        pii.resolve(pii.entities(docs), b"k", make=lambda kind, value, attempt, key: "10.0.0.1", most=3)
+    for kind, value in (("phone", "5551234"), ("card", "4111111111111111"), ("iban", "DE89370400440532013000"), ("ssn", "123456789")):
+        assert len(pii.surrogate(kind, value, pii.WIDEN + 2, b"k")) > len(value)
+
+
+def test_pii_long_texts_repeated_rows_and_the_sessions_key(spark):
+    text = "Mr. Paul Berg. " + "word " * 300_000 + "Berg at paul@berg.example.org"
+    docs = spark.createDataFrame([(1, text, "x"), (1, text, "x"), (None, text, "y")], "doc_id bigint, text string, spans string")
+    got = pii.replace_pii(docs).collect()
+    assert len(got) == 3 and len({r.text for r in got}) == 1 and "Berg" not in got[0].text and "paul@berg" not in got[0].text
+    assert pii.session_key(spark) == pii.session_key(spark) and len(pii.session_key(spark)) >= 32
+
+
 @pytest.mark.parametrize("send", [100_000, 0])
 def test_pii_collisions(spark, send):
     """In a space of few surrogates all entities still get different ones, and no entity's own."""
@@ -233,7 +275,7 @@ def test_pii_collisions(spark, send):
 
     def small(kind, value, attempt, key):
         return f"10.0.0.{int(hashlib.sha256(f'{value}{attempt}'.encode()).hexdigest(), 16) % 250}"
-    found = pii.resolve(pii.entities(docs), make=small).collect()
+    found = pii.resolve(pii.entities(docs), b"k", make=small).collect()
     assert len({r.new for r in found}) == len(found) == 59 and not {r.new for r in found} & set(ips)
     out, c = pii.anonymise(docs, send=send)
     assert c == "_surrogates" and out.columns == [*docs.columns, c] and out.count() == 61
@@ -327,6 +369,35 @@ def test_preferences(spark):
     assert preferences.format_pairs(t.limit(0), pairs.limit(0)).count() == 0
 
 
+def test_pairs_that_repeat_an_id_all_stay(spark):
+    t = spark.createDataFrame([(1, 0, "user", "Q" * 200000), (1, 1, "assistant", "a"), (2, 0, "user", "Q" * 200000), (2, 1, "assistant", "b")],
+                              "conv_id bigint, turn bigint, role string, text string")
+    pairs = spark.createDataFrame([(7, 1, 2), (7, 2, 1), (7, 1, 2), (None, 1, 2)], "pair_id bigint, chosen_id bigint, rejected_id bigint")
+    got = sorted((r.pair_id, r.chosen_id, r.prompt_turns, len(r.prompt), r.chosen[-12:], r.chosen_mask[0]["to"])
+                 for r in preferences.format_pairs(t, pairs).collect())
+    assert [g[:4] for g in got] == [(7, 1, 1, 200000 + 28)] * 2 + [(7, 2, 1, 200000 + 28)]
+
+
+def test_replies_share_their_prompts(spark):
+    turns = [(0, 0, "user", "q0"), (0, 1, "assistant", "a0"), (0, 2, "user", "q1"), (0, 3, "assistant", "a1"), (0, 4, "user", "bye"),
+             (1, 0, "user", "r0"), (1, 1, "assistant", "b0"), (2, 0, "user", "alone"), (2, 1, "assistant", "c0"), (4, 0, "user", "no reply")]
+    t = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    got = {r.pair_id: r for r in preferences.format_pairs(*preferences.replies_as_pairs(t)).collect()}
+    say = lambda role, text: f"<|im_start|>{role}\n{text}<|im_end|>\n"
+    assert set(got) == {0, 1, 2}
+    assert got[0].prompt == say("user", "q0") + say("assistant", "a0") + say("user", "q1") and got[0].prompt_turns == 3
+    assert (got[0].chosen, got[0].rejected) == (say("assistant", "a1"), say("assistant", "b0"))
+    assert (got[1].prompt, got[1].chosen, got[1].rejected) == (say("user", "r0"), say("assistant", "b0"), say("assistant", "a1"))
+    assert (got[2].prompt, got[2].chosen, got[2].rejected) == (say("user", "alone"), say("assistant", "c0"), "")
+    for r in got.values():
+        assert [r.chosen[m["from"]:m["to"]] for m in r.chosen_mask] == [r.chosen[len("<|im_start|>assistant\n"):-1]]
+
+
+def test_query_has_common_prefixes(spark):
+    r = preferences.query(spark, SF).selectExpr("count(*) n", "count_if(prompt_turns > 0) k", "count_if(chosen_mask != '') m").first()
+    assert r.n > 0 and r.k > 0.5 * r.n and r.m == r.n
+
+
 def test_preferences_query_equals_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
