@@ -13,15 +13,18 @@ over each whole text: the marginals give the offending tokens' offsets, and
 three sums of them (how many, how dense, how sure) a document's score, by a
 logistic fit on the training rows.
 
-Training rows are a sample: of the labelled rows at most ``sample`` of each
-class, those with the smallest hashes of their ids, are read (a documented
-bound; the corpus itself is only scored). Everything else covers all rows
-alike. The model sent to the tasks holds at most the sample's features.
+Training rows are a sample: of the labelled rows with a text at most
+``sample`` of each class, those with the smallest hashes of their ids, as far
+as ``sample_bytes`` go (documented bounds; the corpus itself is only scored).
+Everything else covers all rows alike. The model sent to the tasks holds at
+most the sample's features.
 
 Words: lower-cased runs of letters, digits and non-ASCII characters. Defined
 results: a null or wordless text gets the score of no toxic token; a document
 labelled twice counts as toxic if one label says so; null ids and labels
-teach nothing; without training rows of both classes every score is 0.
+teach nothing; without training rows of both classes every score is 0; a text of
+any length is scored whole; extra columns pass through, and the added one
+takes a fresh name; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,6 +43,7 @@ SAMPLE = 2000
 THRESHOLD = 0.7
 SAMPLE_BYTES = 16_000_000         # of a class's sampled texts
 SEGMENT = 48
+LANE = 1024                       # tokens that run one after the other
 LEAST, EVIDENCE = 3, 10.83
 _HEADS, _TAILS = (3, 4, 5, 6, 7), (3, 4, 5)
 
@@ -86,31 +90,62 @@ class Tokens:
 def marginals(logit: np.ndarray, first: np.ndarray, trans: np.ndarray) -> np.ndarray:
     """P(toxic) of every token; ``logit``: toxic against clean weight of each
     token, texts one after the other; ``trans[i, j]``: weight of tag j after
-    i. Runs over all texts at once, longest first, as odds."""
-    n = np.diff(first)
-    order = np.argsort(-n, kind="stable")
-    begin, size = first[:-1][order], n[order]
+    i. Runs over all texts at once, as odds. Texts are cut into lanes of
+    ``LANE`` tokens that run side by side: a token takes the odds before it to
+    its own by a linear fraction, so a lane as a whole is a matrix of two by
+    two, and the odds at the lanes' borders come first."""
     if not len(logit):
         return np.zeros(0)
-    active = np.searchsorted(-size, -np.arange(1, size[0] + 1), side="right")   # texts longer than each step
+    n = np.diff(first)
+    lanes = -(-n // LANE)
+    text = np.repeat(np.arange(len(n)), lanes)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+    begin = first[:-1][text] + number * LANE
+    size = np.minimum(n[text] - number * LANE, LANE)
     e, t = np.exp(np.clip(logit, -60, 60)), np.exp(trans)
-    ahead = np.empty(len(logit))
-    odds = None
-    for k, m in enumerate(active.tolist()):
-        at = begin[:m] + k
-        odds = e[at] if odds is None else e[at] * (t[0, 1] + odds[:m] * t[1, 1]) / (t[0, 0] + odds[:m] * t[1, 0])
-        ahead[at] = odds
-    back = np.ones(len(logit))
-    after = np.ones(len(begin))                                  # backward odds of the token behind
-    seen = np.zeros(len(begin))                                  # its emission odds; 0 for none
-    for k in range(len(active) - 1, -1, -1):
-        m = int(active[k])
-        at = begin[:m] + k
-        last = size[:m] == k + 1
-        o = after[:m] * seen[:m]
-        b = np.where(last, 1.0, (t[1, 0] + o * t[1, 1]) / (t[0, 0] + o * t[0, 1]))
-        back[at] = b
-        after[:m], seen[:m] = b, e[at]
+    opens, closes = number == 0, number == lanes[text] - 1
+    order = np.argsort(-size, kind="stable")
+    active = np.searchsorted(-size[order], -np.arange(1, size.max() + 1), side="right")   # lanes longer than each step
+
+    def step_ahead(at: np.ndarray, start: np.ndarray) -> tuple:
+        """A token's matrix on the odds before it; a text's first token has odds of its own."""
+        return (np.where(start, 0.0, e[at] * t[1, 1]), np.where(start, e[at], e[at] * t[0, 1]),
+                np.where(start, 0.0, t[1, 0]), np.where(start, 1.0, t[0, 0]))
+
+    def step_back(at: np.ndarray, last: np.ndarray) -> tuple:
+        """A token's matrix on the backward odds of the token behind it; a text's last token has odds 1."""
+        behind = e[np.minimum(at + 1, len(e) - 1)]
+        return (np.where(last, 0.0, behind * t[1, 1]), np.where(last, 1.0, t[1, 0]),
+                np.where(last, 0.0, behind * t[0, 1]), np.where(last, 1.0, t[0, 0]))
+
+    def run(matrix, place, edge, forward: bool) -> np.ndarray:
+        # odds that enter each lane, from the lanes' products
+        entering = np.ones(len(text))
+        if lanes.max() > 1:
+            w, x, y, z = np.ones(len(text)), np.zeros(len(text)), np.zeros(len(text)), np.ones(len(text))
+            for k, m in enumerate(active.tolist()):
+                own = order[:m]
+                a, b, c, d = matrix(place(own, k), edge[own] & (k == 0))
+                w[own], x[own], y[own], z[own] = (a * w[own] + b * y[own], a * x[own] + b * z[own],
+                                                  c * w[own] + d * y[own], c * x[own] + d * z[own])
+                most = np.maximum(np.maximum(np.abs(w[own]), np.abs(x[own])), np.maximum(np.abs(y[own]), np.abs(z[own])))
+                for v in (w, x, y, z):
+                    v[own] /= most
+            turn = number if forward else lanes[text] - 1 - number
+            for k in range(1, int(lanes.max())):
+                own = np.flatnonzero(turn == k)
+                before = own - 1 if forward else own + 1
+                entering[own] = (w[before] * entering[before] + x[before]) / (y[before] * entering[before] + z[before])
+        out, odds = np.empty(len(logit)), entering
+        for k, m in enumerate(active.tolist()):
+            own = order[:m]
+            at = place(own, k)
+            a, b, c, d = matrix(at, edge[own] & (k == 0))
+            odds[own] = (a * odds[own] + b) / (c * odds[own] + d)
+            out[at] = odds[own]
+        return out
+    ahead = run(step_ahead, lambda own, k: begin[own] + k, opens, True)
+    back = run(step_back, lambda own, k: begin[own] + size[own] - 1 - k, closes, False)
     total = ahead * back
     return total / (1 + total)
 
