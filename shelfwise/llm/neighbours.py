@@ -234,8 +234,7 @@ def search(vectors: DataFrame, is_query, k: int = 10, recall: float = RECALL, ve
         for f in frames:
             if len(f):
                 x = np.stack(f["v"].to_numpy())
-                tops = sent.value.top(x, most)
-                yield f.assign(parts=list(tops.astype(np.int32)))
+                yield f.assign(parts=list(sent.value.top(x, 1).astype(np.int32)))      # queries get theirs in ``cover``
     routed = stage_table(own.mapInPandas(route, "vec_id bigint, v array<double>, parts array<int>"), "routed-vectors")
     counts = np.zeros(parts, dtype=np.int64)
     for r in routed.groupBy(F.col("parts")[0].alias("part")).agg(F.count(F.lit(1)).alias("n")).collect():   # a row a partition

@@ -136,3 +136,21 @@ def test_neighbours_of_small_partitions_are_k(spark):
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     got = neighbours.search(table, F.col("vec_id") < 24, recall=0.01).groupBy("query_id").count().collect()
     assert {r.query_id: r["count"] for r in got} == {i: 10 for i in range(24)}      # one partition holds about six
+
+
+def test_clustered_vectors_need_few_partitions(spark):
+    """On vectors with structure few partitions are probed, and queries outside the sample still find their neighbours."""
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(40, 16)) * 4
+    points = centres[rng.integers(0, 40, 6000)] + rng.normal(size=(6000, 16)) * 0.5
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(6)
+    router, parts, probes = neighbours.fit_router(neighbours.usable(table, "vec_id", "embedding"), sample=1024)
+    assert parts >= 8 and probes <= parts // 2
+    asked = list(range(0, 6000, 50))
+    got = {}
+    for r in neighbours.search(table, F.col("vec_id") % 50 == 0, sample=1024).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = neighbours.brute_force([i for i, _ in rows], [p for _, p in rows], asked)
+    recall = sum(len(got[q] & {v for v, _ in want[q]}) for q in asked) / (10 * len(asked))
+    assert recall >= 0.9
