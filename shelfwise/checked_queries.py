@@ -11,6 +11,7 @@ from .oracle import master_sql, with_ctes, RAW_CTES, ROLLUP_CTES
 from .operators import features
 from .plans import master as master_plan
 from .schema import KEY
+from .session import stage_table
 
 SALES_AGG_DOUBLES = ("Total_Sales_Amount", "Avg_Unit_Cost", "Avg_Unit_Price", "Avg_Discount_Sales")
 INV_AGG_DOUBLES = ("Inventory_Level", "Demand_Forecast", "Avg_Price", "Avg_Discount_Inv",
@@ -188,6 +189,15 @@ def _model_frame(spark, sf_dir):
     return master_plan.staged_model_frame(spark, sf_dir).drop(*LABEL_COLS)
 
 
+_TOP: dict[tuple, DataFrame] = {}
+
+
+def _top_margin(spark, sf_dir):
+    """A6's one row, from one range sort a state of the tables."""
+    return master_plan.remember(_TOP, master_plan.stage_key(spark, sf_dir), lambda: stage_table(
+        report.margin_quantile(_model_frame(spark, sf_dir)), "top-margin"))
+
+
 @register("model_frame", model_sql(f"SELECT {MASTER_COLS}, {', '.join(ENC_COLS)} FROM mf"),
           MASTER_DOUBLES)
 def model_frame(spark, sf_dir):
@@ -275,7 +285,7 @@ def monthly_summary_actuals(spark, sf_dir):
     ("Top_Quartile_Margin",))
 def margin_quantile(spark, sf_dir):
     """75th percentile of the modelling-frame net margin."""
-    return report.margin_quantile(_model_frame(spark, sf_dir))
+    return _top_margin(spark, sf_dir)
 
 
 METRIC_COLS = ("Avg_Margin_Pct", "Margin_Gap_vs_Top_Quartile", "Avg_Discount_Pct",
@@ -302,7 +312,7 @@ FROM (SELECT Region, Category, @davg(Net_Profit_Margin) AS m, @davg(Avg_Discount
 @register("improvement_metrics", model_sql(_METRICS_SELECT), METRIC_COLS)
 def improvement_metrics(spark, sf_dir):
     """Rounded segment metrics and the margin gap."""
-    return report.improvement_metrics(_model_frame(spark, sf_dir))
+    return report.improvement_metrics(_model_frame(spark, sf_dir), top=_top_margin(spark, sf_dir))
 
 
 def _lit(s: str) -> str:
@@ -333,4 +343,4 @@ FROM ({_METRICS_SELECT}) metrics""")
 @register("improvement_rules", RULES_SQL, METRIC_COLS)
 def improvement_rules(spark, sf_dir):
     """The improvement report with rule codes and text."""
-    return report.improvement_report(_model_frame(spark, sf_dir))
+    return report.improvement_report(_model_frame(spark, sf_dir), top=_top_margin(spark, sf_dir))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .catalog import register
-from .checked_queries import RULES_SQL, _model_frame
+from .checked_queries import RULES_SQL, _model_frame, _top_margin
 from .ml import baseline
 from .plans import master as master_plan
 from .oracle import dash_sql
@@ -26,7 +26,7 @@ def _monthly(spark, sf_dir):
 
 
 def _improve(spark, sf_dir):
-    return report.improvement_report(_model_frame(spark, sf_dir))
+    return report.improvement_report(_model_frame(spark, sf_dir), top=_top_margin(spark, sf_dir))
 
 
 def _seg_sql(names: str) -> str:

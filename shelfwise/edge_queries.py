@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .catalog import register
 from .checked_queries import _METRICS_SELECT, _RULES, JOIN_COLS, MASTER_COLS, MASTER_DOUBLES, METRIC_COLS, _lit
-from .checked_queries import INV_AGG_DOUBLES, SALES_AGG_DOUBLES, _model_frame, _rollups
+from .checked_queries import INV_AGG_DOUBLES, SALES_AGG_DOUBLES, _model_frame, _rollups, _top_margin
 from .ml import prep
 from .operators import features, report
 from .operators.quality import join_null_check
@@ -78,4 +78,4 @@ SELECT *, CASE WHEN {_CODES} = '' THEN 'ON_TRACK' ELSE {_CODES} END AS Rule_Code
 FROM ({_METRICS_SELECT}) metrics"""), METRIC_COLS)
 def improvement_rules_all(spark, sf_dir):
     """R1-R8 under thresholds that every rule crosses somewhere."""
-    return report.improvement_report(_model_frame(spark, sf_dir), EVERY_RULE)
+    return report.improvement_report(_model_frame(spark, sf_dir), EVERY_RULE, _top_margin(spark, sf_dir))

@@ -26,9 +26,10 @@ def margin_quantile(frame: DataFrame, q: float = 0.75) -> DataFrame:
     return exact_quantiles(frame, {"Top_Quartile_Margin": ("Net_Profit_Margin", q)})
 
 
-def improvement_metrics(frame: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:
+def improvement_metrics(frame: DataFrame, thresholds: Thresholds = Thresholds(), top: DataFrame | None = None) -> DataFrame:
     """A5 + F24: segment means (×100 for shares), rounded like numpy's
-    ``round`` (the reference rounds numpy floats), and the gap to the top-quartile margin floored at 0."""
+    ``round`` (the reference rounds numpy floats), and the gap to the top-quartile margin floored at 0.
+    ``top``: the frame's ``margin_quantile`` if it is there already."""
     per_seg = frame.groupBy(*SEGMENT).agg(
         davg("Net_Profit_Margin").alias("_margin"),
         davg("Avg_Discount_Sales").alias("_discount"),
@@ -38,7 +39,7 @@ def improvement_metrics(frame: DataFrame, thresholds: Thresholds = Thresholds())
         davg("Online_Sales_Ratio").alias("_online"),
         davg("Fulfillment_Rate").alias("_fulfil"),
     )
-    q = F.broadcast(margin_quantile(frame, thresholds.top_quantile))
+    q = F.broadcast(margin_quantile(frame, thresholds.top_quantile) if top is None else top)          # one row
     joined = per_seg.crossJoin(q)
     return joined.select(
         "Region", "Category",
@@ -90,6 +91,6 @@ def apply_rules(metrics: DataFrame, thresholds: Thresholds = Thresholds()) -> Da
                         F.when(joined == "", F.lit(MSG_ON_TRACK)).otherwise(joined)))
 
 
-def improvement_report(frame: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:
+def improvement_report(frame: DataFrame, thresholds: Thresholds = Thresholds(), top: DataFrame | None = None) -> DataFrame:
     """Metrics + rules, in the output column order."""
-    return apply_rules(improvement_metrics(frame, thresholds), thresholds)
+    return apply_rules(improvement_metrics(frame, thresholds, top), thresholds)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .catalog import REGISTRY, register
-from .checked_queries import INV_AGG_DOUBLES, METRIC_COLS, RULES_SQL, SALES_AGG_DOUBLES, _model_frame
+from .checked_queries import INV_AGG_DOUBLES, METRIC_COLS, RULES_SQL, SALES_AGG_DOUBLES, _model_frame, _top_margin
 from .dashboard_queries import _MONTHS, KPI_DOUBLES, KPI_SELECT, SAMPLE_FILTERS
 from .edge_queries import _LATE, _LATE_MASTER, _late
 from .ml import models, prep
@@ -111,7 +111,7 @@ def _reports(spark: SparkSession, sf_dir: str, fmt: str) -> dict[str, DataFrame]
         scored = scored.withColumns({"Year": F.year("Month").cast("bigint"), "MonthNum": F.month("Month").cast("bigint")})
         out = {"predictions": modelling.predictions_by_year(scored), "monthly_summary": summaries.monthly_summary(scored),
                "yearly_summary": summaries.yearly_summary(scored),
-               "improvement_report": report.improvement_report(_model_frame(spark, sf_dir)),
+               "improvement_report": report.improvement_report(_model_frame(spark, sf_dir), top=_top_margin(spark, sf_dir)),
                "feature_importance": _importance(spark, sf_dir), "model_scores": _scores(spark, sf_dir)}
         loaded = {}
         for kind in ("csv", "parquet"):
