@@ -57,7 +57,8 @@ def test_apart_refuses_other_types(spark):
 def test_a_hot_url_is_split(spark, tmp_path):
     path = str(tmp_path / "pages")
     spark.range(0, 40_000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, F.lit("http://a.example.net/en/x")).otherwise(
-        F.concat(F.lit("http://h"), F.col("id") % 3000, F.lit(".org/fr/"), F.sha2(F.col("id").cast("string"), 256))).alias("url")).write.parquet(path)
+        F.concat(F.lit("http://h"), F.col("id") % 3000, F.lit(".org/fr/"), F.sha2(F.col("id").cast("string"), 256))).alias("url"),
+        F.sha2(F.col("id").cast("string"), 512).alias("load")).write.parquet(path)
     with small_partitions(spark):
         out = urls.judge(spark.read.parquet(path), urls.rules_frame(spark, urls.RULES))
         assert out.groupBy("rule").count().collect()
