@@ -411,8 +411,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 F.lit(0).alias("kind"), "id", F.lit(capacity).cast("bigint").alias("size")))
             opened += new
         n = max(1, math.ceil((sum(h["count"] for h in histogram) + new) / RANGE_ROWS))     # ranges follow the rows
-        swept = stage_table(state.repartitionByRange(n, F.desc("size"), "kind", "id").sortWithinPartitions(
-            F.desc("size"), "kind", "id").select("kind", "id", "size").mapInPandas(_sweep_range, _ROUND), "pack-round")
+        ranges = state.repartitionByRange(n, F.desc("size"), "kind", "id") if n > 1 else state.repartition(1)   # one range needs no bounds
+        swept = stage_table(ranges.sortWithinPartitions(F.desc("size"), "kind", "id").select("kind", "id", "size").mapInPandas(_sweep_range, _ROUND), "pack-round")
         summary = swept.filter(F.col("kind") == SUMMARY).select("part", "id", "size", "bin", "low").collect()
         matches = assign([tuple(s) for s in summary])
         placements.append(swept.filter(F.col("kind") == PLACED).select("id", "bin"))
