@@ -18,6 +18,15 @@ from ..operators.joins import join_dimension
 from ..schema import FEATURE_COLS
 
 
+def _abs_corr(x: F.Column, y: F.Column) -> F.Column:
+    """|corr(x, y)|, 0 where it is not defined. Spark's ``corr`` divides by the
+    two spreads whatever stands around it, and under ANSI (the default) a
+    spread of zero is an error there; so the quotient is written out."""
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.sqrt(F.var_pop(F.when(both, x)) * F.var_pop(F.when(both, y)))
+    return F.coalesce(F.abs(F.nanvl(F.try_divide(F.covar_pop(x, y), spread), F.lit(None).cast("double"))), F.lit(0.0))
+
+
 class GroupMean(Estimator):
     """Predicts the training mean of ``label`` among the rows of the same
     ``keys``. ``majority``: of a 0/1 label, whether the mean reaches a half.
@@ -47,7 +56,6 @@ class GroupMeanModel(Model):
 
     @property
     def featureImportances(self) -> DenseVector:
-        row = self.fitted_on.agg(*[np_round(F.coalesce(F.abs(F.nanvl(
-            F.corr(F.col(f).cast("double"), F.col(self.label).cast("double")), F.lit(None).cast("double"))), F.lit(0.0)), 6).alias(f)
-            for f in FEATURE_COLS]).first()
+        label = F.col(self.label).cast("double")
+        row = self.fitted_on.agg(*[np_round(_abs_corr(F.col(f).cast("double"), label), 6).alias(f) for f in FEATURE_COLS]).first()
         return DenseVector([row[f] for f in FEATURE_COLS])

@@ -76,3 +76,13 @@ def test_pipeline_fit_on_driver_tables(spark):
     scored = models.score(fitted)
     assert scored.filter(F.col("Predicted_Profit_Class").isNull()).count() == 0
     fitted.unpersist()
+
+
+def test_group_mean_importances_of_constant_columns(spark):
+    from shelfwise.ml.standin import GroupMean
+    rows = [tuple(float(i % 7 + j) if j != 3 else 5.0 for j in range(len(FEATURE_COLS))) + (float(i % 7), 2.0, "K") for i in range(50)]
+    df = spark.createDataFrame(rows, FEATURE_COLS + ["y", "flat", "key"])
+    imp = GroupMean("y", "p", ["key"]).fit(df).featureImportances
+    assert imp[3] == 0.0 and [imp[i] for i in range(len(FEATURE_COLS)) if i != 3] == [1.0] * (len(FEATURE_COLS) - 1)
+    assert not GroupMean("flat", "p", ["key"]).fit(df).featureImportances.toArray().any()
+    assert not GroupMean("y", "p", ["key"]).fit(df.limit(1)).featureImportances.toArray().any()
