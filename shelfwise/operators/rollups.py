@@ -2,8 +2,8 @@
 
 Two forms with the same results (tested against each other):
 
-* ``sales_rollup`` / ``inventory_rollup``: one ``groupBy(K).agg`` per input,
-  with ``mode`` for the weather / season columns (reference form; tests).
+* ``sales_rollup`` / ``inventory_rollup``: one per input, lazy (inventory in
+  two aggregations: by key, weather and season, then by key).
 * ``*_parts`` + ``combined_rollup_finish``: a hash aggregation of additive
   parts (line level, partial aggregation map-side, one small shuffle), then
   totals and modes on the small result. Parts of disjoint inputs add up, so
@@ -44,22 +44,6 @@ def _non_null_keys(df: DataFrame) -> DataFrame:
                      & F.col("Category").isNotNull())
 
 
-def _inventory_measures(c=lambda n: n) -> list:
-    """A1 measures; ``c`` maps an inventory column name to the input column."""
-    return [
-        davg(c("Inventory_Level")).alias("Inventory_Level"),
-        sum0(c("Units_Sold")).alias("Units_Sold_Online"),
-        sum0(c("Units_Ordered")).alias("Units_Ordered"),
-        davg(c("Demand_Forecast")).alias("Demand_Forecast"),
-        davg(c("Price")).alias("Avg_Price"),
-        davg(c("Discount")).alias("Avg_Discount_Inv"),
-        F.mode(c("Weather_Condition"), deterministic=True).alias("Weather_Mode"),
-        sum0(c("Holiday_Promotion")).cast("bigint").alias("Holiday_Days"),
-        davg(c("Competitor_Pricing")).alias("Competitor_Pricing"),
-        F.mode(c("Seasonality"), deterministic=True).alias("Seasonality"),
-    ]
-
-
 def _sales_measures(c=lambda n: n) -> list:
     """A2 measures; ``c`` maps a sales column name to the input column."""
     return [
@@ -92,11 +76,25 @@ INVENTORY_INPUTS = ["Inventory_Level", "Units_Sold", "Units_Ordered", "Demand_Fo
 def inventory_rollup(inventory: DataFrame, category_map: dict[str, str] | None = None) -> DataFrame:
     """A1: inventory records → inv_agg (means, zero-default sums, modes).
 
-    ``mode(…, deterministic=True)`` returns the smallest of tied values and
-    NULL for an all-NULL group; its buffer is a value→count map bounded by
-    the number of distinct values (weather and season: a handful)."""
-    df = remap_category(inventory, category_map).withColumn("Month", month_start("Date"))
-    return _non_null_keys(df).groupBy(*KEY).agg(*_inventory_measures())
+    The records meet in a plain hash aggregation of additive parts by key,
+    weather and season; each key's few (value, count) pairs then give its
+    modes: the most frequent value, the smallest of tied ones, NULL if there
+    is none."""
+    rows = _non_null_keys(_inventory_rows(remap_category(inventory, category_map), {}, {}))
+    sources = [src for _, src in _MODES]
+    parts = rows.groupBy(*KEY, *sources).agg(F.count(F.lit(1)).alias("rows"), *_parts(_INVENTORY_SPEC))
+    found = [F.collect_list(F.when(F.col(src).isNotNull(), F.struct(F.col(src).alias("v"), "rows"))).alias(name)
+             for name, src in _MODES]
+    out = parts.groupBy(*KEY).agg(*_finals(_INVENTORY_SPEC), *found)
+    return out.withColumns({name: _most_frequent(name) for name, _ in _MODES}).select(*KEY, *INVENTORY_MEASURES)
+
+
+def _most_frequent(pairs: str) -> F.Column:
+    """Of (v, rows) pairs the v with the most rows, the smallest of tied ones."""
+    def counted(v):
+        mine = F.filter(pairs, lambda p: p["v"] == v)
+        return F.struct((-F.aggregate(mine, F.lit(0).cast("bigint"), lambda n, p: n + p["rows"])).alias("c"), v.alias("v"))
+    return F.array_min(F.transform(F.array_distinct(F.transform(pairs, lambda p: p["v"])), counted))["v"]
 
 
 def sales_rollup(sales: DataFrame) -> DataFrame:
@@ -120,7 +118,7 @@ def split_rollup(combined: DataFrame) -> tuple[DataFrame, DataFrame]:
 # ``mode`` is an object aggregate; with more than a few hundred keys per
 # task Spark's object hash aggregation falls back to sorting every input
 # row. The line-level step therefore only computes additive parts (sums,
-# counts, the integer / fraction halves of exact sums) in a plain hash
+# counts, the integer / fraction parts of exact sums) in a plain hash
 # aggregation, with the two mode columns added to the group key (their
 # values are few: weather conditions, seasons). The second step runs on that
 # small table: it adds the parts up per (kind, month, region, category) and
@@ -129,15 +127,24 @@ def split_rollup(combined: DataFrame) -> tuple[DataFrame, DataFrame]:
 _SCALE = 1024.0   # same split as functions.columns.dsum
 
 
+_LOW = 24         # bits of the lower half of an exact sum's integers
+
+
 def _exact_parts(col: str, name: str) -> list:
+    """The integers are summed as two halves in BIGINT, which costs a line a
+    fraction of a DECIMAL sum; together they hold what no BIGINT sum could
+    (values of 2^40 in 2^37 lines of a group)."""
     y = F.col(col) * F.lit(_SCALE)
     hi = F.floor(y)
-    return [F.sum(hi.cast("bigint").cast(EXACT_TYPE)).alias(f"{name}__hi"),
+    whole = hi.cast("bigint")
+    return [F.sum(F.shiftright(whole, _LOW)).alias(f"{name}__hi"),
+            F.sum(whole.bitwiseAND(F.lit((1 << _LOW) - 1).cast("bigint"))).alias(f"{name}__mid"),
             F.sum(y - hi).alias(f"{name}__lo")]
 
 
 def _exact_total(name: str) -> F.Column:
-    return (F.sum(f"{name}__hi").cast("double") + F.sum(f"{name}__lo")) / F.lit(_SCALE)
+    hi, mid = (F.sum(F.col(f"{name}__{half}").cast(EXACT_TYPE)) for half in ("hi", "mid"))
+    return ((hi * F.lit(1 << _LOW) + mid).cast("double") + F.sum(f"{name}__lo")) / F.lit(_SCALE)
 
 
 # (output name, kind of measure, input column or (column, value) to count)
@@ -238,11 +245,10 @@ def _sales_rows(sales: DataFrame, i_types: dict) -> DataFrame:
 
 def _inventory_rows(inventory: DataFrame, s_types: dict,
                     category_map: dict[str, str] | None) -> DataFrame:
-    s_cols = [f"s_{n}" for n in SALES_INPUTS]
     return inventory.select(
         F.lit("I").alias("kind"), month_start("Date").alias("Month"), "Region",
         _remapped("Category", category_map).alias("Category"),
-        *_typed_nulls(s_types, s_cols), *[F.col(n).alias(f"i_{n}") for n in INVENTORY_INPUTS])
+        *_typed_nulls(s_types, list(s_types)), *[F.col(n).alias(f"i_{n}") for n in INVENTORY_INPUTS])
 
 
 def _contract_types() -> tuple[dict, dict]:

@@ -1,10 +1,11 @@
-"""The line pass: joins of the line table."""
+"""The line pass: joins of the line table, and the lazy inventory roll-up."""
 import datetime as dt
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise.operators import rollups
 from shelfwise.sources import tables
 
 
@@ -50,3 +51,17 @@ def test_line_facts_hold_the_sales_view(spark, odd_tables):
 def test_few_suppliers_do_not_shuffle_the_lines(spark, odd_tables):
     plan = tables.line_facts(spark, odd_tables)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(l_suppkey" not in plan and "hashpartitioning(l_orderkey" in plan
+
+
+def test_inventory_rollup_is_a_hash_aggregation_of_lines(spark):
+    rows = [(dt.date(2020, 1, 1 + i % 9), "E", "Toys", 5.0, i, i, 1.0, 2.0, 0.1, w, i % 2, 3.0, s)
+            for i, (w, s) in enumerate([("Sunny", "Winter"), ("Rainy", None), ("Rainy", "Spring"), ("Sunny", "Spring"), (None, "Spring")])]
+    df = spark.createDataFrame(rows, "Date date, Region string, Category string, Inventory_Level double, Units_Sold long, "
+                                     "Units_Ordered long, Demand_Forecast double, Price double, Discount double, "
+                                     "Weather_Condition string, Holiday_Promotion int, Competitor_Pricing double, Seasonality string")
+    out = rollups.inventory_rollup(df)
+    assert "mode(" not in out._jdf.queryExecution().executedPlan().toString()
+    row = out.first()
+    assert (row.Weather_Mode, row.Seasonality, row.Units_Ordered, row.Holiday_Days) == ("Rainy", "Spring", 10, 2)
+    none = rollups.inventory_rollup(df.withColumn("Seasonality", F.lit(None).cast("string"))).first()
+    assert none.Seasonality is None and none.Weather_Mode == "Rainy"
