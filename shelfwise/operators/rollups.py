@@ -248,7 +248,7 @@ def _inventory_rows(inventory: DataFrame, s_types: dict,
     return inventory.select(
         F.lit("I").alias("kind"), month_start("Date").alias("Month"), "Region",
         _remapped("Category", category_map).alias("Category"),
-        *_typed_nulls(s_types, list(s_types)), *[F.col(n).alias(f"i_{n}") for n in INVENTORY_INPUTS])
+        *_typed_nulls(s_types, [f"s_{n}" for n in SALES_INPUTS if s_types]), *[F.col(n).alias(f"i_{n}") for n in INVENTORY_INPUTS])
 
 
 def _contract_types() -> tuple[dict, dict]:
