@@ -5,6 +5,7 @@ table, scoring and importances are the library's own code."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .catalog import register
@@ -15,15 +16,29 @@ from .oracle import dash_sql
 from .plans import master as master_plan
 from .plans.modelling import select_prediction_columns
 from .schema import FEATURE_COLS, IMPORTANCE_LABELS, PREDICTION_COLS, SEGMENT, ModelParams
+from .session import stage_table
 
 _KEYS = {"Month", "Region", "Category", "Total_Qty_Sold", "Predicted_Sell_Qty", "Predicted_Profit_Class"}
 _MORE = ["Predicted_Gross_Profit", "Predicted_Transport_Cost"]
 _DOUBLES = tuple(c for c in PREDICTION_COLS + _MORE if c not in _KEYS)
 
 
+_FRAMES: dict[tuple, DataFrame] = {}
+_SCORED: dict[tuple, DataFrame] = {}
+_SCORES: dict[tuple, DataFrame] = {}
+
+
+def _frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The modelling frame with its folds, written once: fits, folds and
+    scores read it some thirty times, and with the folds' windows in each of
+    their plans the driver ran out of memory."""
+    return master_plan.remember(_FRAMES, master_plan.stage_key(spark, sf_dir), lambda: stage_table(
+        prep.with_folds(master_plan.staged_model_frame(spark, sf_dir), 5), "standin-frame"))
+
+
 def _fitted(spark, sf_dir, everything: bool = False) -> models.Fitted:
     """The four stand-in models, on the training rows (or on all)."""
-    frame = prep.with_folds(master_plan.staged_model_frame(spark, sf_dir), 5)
+    frame = _frame(spark, sf_dir)
     rows = frame if everything else frame.filter(~F.col("is_test"))
     made = [GroupMean(models.SALES, "Predicted_Sales", SEGMENT), GroupMean(models.MARGIN, "Predicted_Margin_Pct", SEGMENT),
             GroupMean(models.QTY, "_pred_qty", SEGMENT, exact=False),
@@ -32,7 +47,9 @@ def _fitted(spark, sf_dir, everything: bool = False) -> models.Fitted:
 
 
 def _scored(spark, sf_dir):
-    return dashboard.with_month_parts(models.score(_fitted(spark, sf_dir)))
+    """Every modelling row scored by the stand-ins, written once."""
+    return master_plan.remember(_SCORED, master_plan.stage_key(spark, sf_dir), lambda: stage_table(
+        dashboard.with_month_parts(models.score(_fitted(spark, sf_dir))), "standin-scored"))
 
 
 @register("predictions_table", dash_sql(
@@ -81,10 +98,12 @@ sc AS (""" + " UNION ALL ".join(f"""
 
 
 def _scores(spark, sf_dir):
-    """The score table (U1, M13) of the stand-ins, cross-validated (M8)."""
-    fitted = _fitted(spark, sf_dir)
-    folds = [(name, GroupMean(label, "_cv", ["Category"]), label) for name, label, _, _ in _SPECS]
-    return models.score_table(fitted, cv=models.cv_all(fitted.frame, folds, 5))
+    """The score table (U1, M13) of the stand-ins, cross-validated (M8), written once."""
+    def make():
+        fitted = _fitted(spark, sf_dir)
+        folds = [(name, GroupMean(label, "_cv", ["Category"]), label) for name, label, _, _ in _SPECS]
+        return stage_table(models.score_table(fitted, cv=models.cv_all(fitted.frame, folds, 5, parallelism=2)), "standin-scores")
+    return master_plan.remember(_SCORES, master_plan.stage_key(spark, sf_dir), make)
 
 
 @register("score_union_standin", dash_sql("SELECT * FROM sc", extra_ctes=_SCORES_CTES), ("MAE", "R2", "CV_R2", "Accuracy"))
