@@ -153,9 +153,29 @@ def training_frame(master: DataFrame, p: ModelParams = ModelParams()) -> DataFra
     frame = prep.with_split(frame, p)
     frame = prep.with_folds(frame, p.folds)
     frame = prep.with_class_label(frame)
-    frame = stage_table(prep.assembler().transform(frame), "training-frame")
+    return kept_for_fits(stage_table(prep.assembler().transform(frame), "training-frame"), p)
+
+
+#: fold fits that run side by side
+PARALLEL_FITS = 8
+
+
+def _executors(spark: SparkSession) -> int:
+    """Executors there are now, none in local mode (the driver counts itself)."""
+    return spark.sparkContext._jsc.sc().getExecutorMemoryStatus().size() - 1
+
+
+def kept_for_fits(frame: DataFrame, p: ModelParams) -> DataFrame:
+    """``frame`` in its partitions, cached. Where there are fewer partitions
+    than executors, each is kept on several (no more than fits run at a time,
+    one partition an executor): a fit runs where its rows lie, so with one
+    copy of a frame of one partition all fits would wait for the cores of one
+    executor. The rows of a partition are the same in every copy."""
     parts = max(1, math.ceil(frame.count() / p.partition_rows))
-    return frame.repartition(parts, *KEY).sortWithinPartitions(*KEY).persist(StorageLevel.MEMORY_AND_DISK)
+    copies = max(1, min(PARALLEL_FITS, _executors(frame.sparkSession) // parts))
+    one = StorageLevel.MEMORY_AND_DISK
+    level = StorageLevel(one.useDisk, one.useMemory, one.useOffHeap, one.deserialized, copies)
+    return frame.repartition(parts, *KEY).sortWithinPartitions(*KEY).persist(level)
 
 
 def fit_all(jobs: list[tuple[object, DataFrame]], parallelism: int = 4) -> list:
@@ -189,7 +209,7 @@ def cv_regressors(p: ModelParams) -> list[tuple[str, object, str]]:
 
 
 def cv_folds(frame: DataFrame, regressors: list[tuple[str, object, str]], k: int, store: str | None = None,
-             parallelism: int = 8, pred: str = "_cv") -> DataFrame:
+             parallelism: int = PARALLEL_FITS, pred: str = "_cv") -> DataFrame:
     """M8, fold by fold → (Model, fold, R2): each of k contiguous folds held
     out and scored by a model fitted on the others. All fits run side by side
     (tree learning on a small frame is a chain of small jobs), and each writes
@@ -216,7 +236,7 @@ def cv_folds(frame: DataFrame, regressors: list[tuple[str, object, str]], k: int
 
 
 def cv_all(frame: DataFrame, regressors: list[tuple[str, object, str]], k: int, store: str | None = None,
-           parallelism: int = 8, pred: str = "_cv") -> DataFrame:
+           parallelism: int = PARALLEL_FITS, pred: str = "_cv") -> DataFrame:
     """M8: mean R² over the folds → (Model, CV_R2)."""
     return cv_folds(frame, regressors, k, store, parallelism, pred).groupBy("Model").agg(F.avg("R2").alias("CV_R2"))
 
