@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from .common import batch_slices, by_group, read, stage_table
+from .common import batch_slices, by_group, kept, read, stage_table
 from .words import SLICE_BYTES, Words, separators, stretch_hashes
 
 CAPACITY = 4096
@@ -208,14 +208,9 @@ def cut_long(text: str, limit: int = SLICE_BYTES) -> list[str]:
     return [*parts, text[begin:]]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The worker process's encoder for this file; it outlives a task, so later tasks find words met before."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return kept(f"encoder {path}", lambda: Encoder(path))
 
 
 PIECES = T.StructType([

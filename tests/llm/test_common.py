@@ -1,14 +1,17 @@
 """Shared helpers: hot keys split behind an exchange, slices by bytes, stage tables dropped."""
 
 import contextlib
+import gc
 import os
+import weakref
 from collections import Counter
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfwise.llm import graph, urls
+from shelfwise.llm import blocks, common, graph, packing, pii, urls
 from shelfwise.llm.common import apart, batch_slices, drop_stage, stage_table
 
 
@@ -89,3 +92,34 @@ def test_stage_tables_are_dropped_and_others_are_not(spark, tmp_path):
     mine = spark.read.parquet(str(tmp_path / "mine"))
     drop_stage(mine)
     assert mine.count() == 5
+
+
+@pytest.mark.parametrize("task", ["add_struct", "make_blocks", "entities"])
+def test_another_operators_task_frees_the_encoder(monkeypatch, task):
+    """pipeline: the tokenizer and the units it met stayed in the workers of all later stages."""
+    runs, struct = [], T.StructType([T.StructField("n", T.LongType())])
+
+    class Docs:                                                        # a frame that hands out its task's function
+        columns, schema = ["doc_id", "text"], T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+        mapInArrow = lambda self, run, schema: runs.append(run) or self
+        select = distinct = lambda self, *_: self                          # noqa: E731
+
+    monkeypatch.setattr(blocks, "stage_table", lambda df, name: df)
+    monkeypatch.setattr(blocks.F, "col", lambda name: _Column())
+    monkeypatch.setattr(blocks.F, "monotonically_increasing_id", _Column)
+    rows = {"add_struct": [[1, 2], ["a b", None]], "make_blocks": [[1, 2], ["a b", None]], "entities": [["a@example.org", None]]}[task]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in rows], names=[f"c{i}" for i in range(len(rows))])
+    {"add_struct": lambda: common.add_struct(Docs(), "x", struct, "text", lambda: lambda texts: pa.array([{"n": 1}] * len(texts))),
+     "make_blocks": lambda: blocks.make_blocks(Docs(), "doc_id", "text"), "entities": lambda: pii.entities(Docs())}[task]()
+    path = packing.tokenizer_path()
+    held = packing.encoder(path)
+    assert packing.encoder(path) is held                               # later tasks of the same operator find it
+    gone = weakref.ref(held)
+    del held
+    assert list(runs[0](iter([batch])))
+    gc.collect()
+    assert gone() is None
+
+
+class _Column:
+    cast = alias = lambda self, *_: self                               # noqa: E731
