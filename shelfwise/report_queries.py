@@ -3,7 +3,8 @@ the report tables read back from what the modelling stage's writers wrote.
 
 The inputs are the driver's views written as CSV with their columns in another
 order and further ones between them; the reports are written once as CSV and
-once as Parquet (predictions a folder a year) and loaded by ``load_reports``.
+once as Parquet, each when first asked for (predictions a folder a year), and
+loaded by ``load_reports``.
 Each query is held to the same SQL as its twin without files.
 """
 
@@ -101,11 +102,11 @@ def master_in_order(spark, sf_dir):
 
 
 # ------------------------------------------------------------ written reports
-_REPORTS: dict[tuple, dict[str, dict[str, DataFrame]]] = {}
+_REPORTS: dict[str, dict[tuple, dict[str, DataFrame]]] = {"csv": {}, "parquet": {}}
 
 
 def _reports(spark: SparkSession, sf_dir: str, fmt: str) -> dict[str, DataFrame]:
-    """The six report tables of the stand-in models, written and loaded."""
+    """The six report tables of the stand-in models, written as ``fmt`` and loaded."""
     def make():
         scored = _scored(spark, sf_dir).drop("Year", "MonthNum", "MonthLabel")
         scored = scored.withColumns({"Year": F.year("Month").cast("bigint"), "MonthNum": F.month("Month").cast("bigint")})
@@ -113,14 +114,11 @@ def _reports(spark: SparkSession, sf_dir: str, fmt: str) -> dict[str, DataFrame]
                "yearly_summary": summaries.yearly_summary(scored),
                "improvement_report": report.improvement_report(_model_frame(spark, sf_dir), top=_top_margin(spark, sf_dir)),
                "feature_importance": _importance(spark, sf_dir), "model_scores": _scores(spark, sf_dir)}
-        loaded = {}
-        for kind in ("csv", "parquet"):
-            folder = _folder(spark, f"reports-{kind}")
-            for name, df in out.items():
-                files.write_table(df, f"{folder}/{name}", kind, partition_by=["Year"] if name == "predictions" else None)
-            loaded[kind] = files.load_reports(spark, folder, kind)
-        return loaded
-    return master_plan.remember(_REPORTS, master_plan.stage_key(spark, sf_dir), make)[fmt]
+        folder = _folder(spark, f"reports-{fmt}")
+        for name, df in out.items():
+            files.write_table(df, f"{folder}/{name}", fmt, partition_by=["Year"] if name == "predictions" else None)
+        return files.load_reports(spark, folder, fmt)
+    return master_plan.remember(_REPORTS[fmt], master_plan.stage_key(spark, sf_dir), make)
 
 
 _WHERE = "Region IN ('AMERICA', 'ASIA') AND Category IN ('ECONOMY', 'SMALL', 'STANDARD')"
