@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from shelfwise.llm import graph, langid, ngram_join, packing, pii, preferences, substrings, toxicity
+from shelfwise.llm import blocks, common, graph, langid, ngram_join, packing, pii, preferences, substrings, toxicity
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string"
@@ -73,6 +73,45 @@ def test_ngram_join_against_brute_force(spark, monkeypatch, chunk):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i in want if want[i][0] == 0 or want[i][1] == i)
 
 
+def test_ngram_join_gathers_nothing_that_grows(spark, monkeypatch):
+    """No join's side passes the driver, whatever the broadcast threshold."""
+    plans, real = [], common.stage_table
+
+    def told(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name)
+    for module in (blocks, graph, ngram_join):
+        monkeypatch.setattr(module, "stage_table", told)
+    monkeypatch.setattr(ngram_join, "CHUNK", 12)
+    rng = random.Random(3)
+    base = [rng.choices([f"w{i}" for i in range(200)], k=60) for _ in range(3)]
+    texts = [" ".join(b[:k] + ["x"] + b[k + 1:]) for b in base for k in range(0, 60, 3)]
+    texts += ["p q r s t u v"] * 20
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS).coalesce(1)
+    hot, hottest = [], ngram_join._hottest
+    monkeypatch.setattr(ngram_join, "_hottest", lambda often: hot.extend(r.hot for r in often.collect()) or hottest(often))
+    joined = ngram_join.join_sets(docs)
+    assert hot and not {*ngram_join.Sets(["p q r s t u v"]).shingle.astype(np.int64).tolist()} & {*hot}       # equal sets count once
+    told(joined, "joined")
+    assert any("Join" in p for p in plans)
+    assert not [p for p in plans if "Broadcast" in p]
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in joined.collect()} == ngram_join.brute_force(list(enumerate(texts)))
+
+
+def test_hot_list_is_cut_before_the_driver(spark, monkeypatch):
+    """The largest counts; of ties that don't all fit a part, never more than the list holds."""
+    monkeypatch.setattr(ngram_join, "HOT", 100)
+    rows = [(i, 500 - i) for i in range(80)] + [(1000 + i, 9) for i in range(2000)] + [(5000 + i, 8) for i in range(3000)]
+    got = ngram_join._hottest(spark.createDataFrame(rows, "hot bigint, n bigint")).tolist()
+    assert got[:80] == list(range(80)) and 80 < len(got) <= 100 and all(1000 <= i < 3000 for i in got[80:])
+    monkeypatch.setattr(ngram_join, "BINS", 9)
+    got = ngram_join._hottest(spark.createDataFrame(rows, "hot bigint, n bigint")).tolist()
+    assert 50 < len(got) <= 100 and set(got) <= {r[0] for r in rows if r[1] >= 9}
+    few = [(-1, 8), (7, 10)]
+    assert ngram_join._hottest(spark.createDataFrame(few, "hot bigint, n bigint")).tolist() == [7, (1 << 64) - 1]
+    assert not len(ngram_join._hottest(spark.createDataFrame([], "hot bigint, n bigint")))
+
+
 def test_ngram_join_nulls_and_empty(spark):
     docs = spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f"), (None, None)], DOCS)
     got = sorted((r.doc_id or -1, r.n_shingles, r.component_id or -1) for r in ngram_join.join_sets(docs).collect())
